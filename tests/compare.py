@@ -1,0 +1,53 @@
+"""Compare a query with its SQL: same columns, same rows, exact values."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
+    for file in sorted(Path(folder).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def _plain(frame: pd.DataFrame) -> pd.DataFrame:
+    columns = sorted(frame.columns)
+    frame = frame[columns]
+    for name in columns:
+        if pd.api.types.is_numeric_dtype(frame[name]) and not pd.api.types.is_bool_dtype(frame[name]):
+            frame = frame.assign(**{name: frame[name].astype("float64")})
+        elif not pd.api.types.is_bool_dtype(frame[name]):
+            text = frame[name].astype(object)
+            if text.notna().sum() == 0:
+                frame = frame.assign(**{name: [None] * len(frame)})
+            else:
+                frame = frame.assign(**{name: text.where(text.notna(), None)})
+    return frame.sort_values(columns, kind="stable", na_position="first").reset_index(drop=True)
+
+
+def differences(spark_rows: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    ours = spark_rows.toPandas()
+    theirs = connection.execute(sql).fetchdf()
+    if sorted(ours.columns) != sorted(theirs.columns):
+        return f"columns {sorted(ours.columns)} and {sorted(theirs.columns)}"
+    kinds = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for name, kind in spark_rows.dtypes:
+        if TYPES.get(kind) != kinds[name]:
+            return f"column {name} is {kind} and {kinds[name]}"
+    if len(ours) != len(theirs):
+        return f"{len(ours)} and {len(theirs)} rows"
+    try:
+        pd.testing.assert_frame_equal(_plain(ours), _plain(theirs), check_dtype=False, check_exact=True)
+    except AssertionError as difference:
+        return str(difference)
+    return None
