@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.schemas import PAYLOAD_POLLUTANTS
+from smogline.sources.tables import spread
 
 # Coordinates by id, in units of the fifth decimal plus 0.03 of one, so that no
 # value lies on a rounding tie; distinct for 10^14 ids. {div} is integer division.
@@ -46,13 +47,17 @@ def _pollutant(place: int, name: str) -> str:
         for field, text in VALUES.items()
         if not (name == WITHOUT_MEASURE and field == "value_upm")
     ]
-    return f"struct({', '.join(fields)}) AS {name}"
+    return f"struct({', '.join(fields)})"
 
 
 def payload() -> Column:
     """One forecast as JSON text: the reading's hour first, then a later hour that must not be used."""
-    now = ", ".join(_pollutant(place, name) for place, name in enumerate(PAYLOAD_POLLUTANTS))
-    later = ", ".join(_pollutant(place + 100, name) for place, name in enumerate(PAYLOAD_POLLUTANTS))
+    now = ", ".join(f"{_pollutant(place, name)} AS {name}" for place, name in enumerate(PAYLOAD_POLLUTANTS))
+    later = ", ".join(
+        # Typed NULLs, which to_json leaves out: the later hour has one pollutant only.
+        f"if({str(name == 'overall').lower()}, {_pollutant(place + 100, name)}, NULL) AS {name}"
+        for place, name in enumerate(PAYLOAD_POLLUTANTS)
+    )
     hours = (
         f"array(struct({HOUR} AS timestamp, struct({now}) AS avg), "
         f"struct({HOUR} + 3600L AS timestamp, struct({later}) AS avg))"
@@ -63,7 +68,8 @@ def payload() -> Column:
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id``, ``ts``, ``event_type`` and the payload as ``value``."""
-    return table(spark, folder, "events").select("event_id", "ts", "event_type", payload().alias("value"))
+    events = spread(table(spark, folder, "events").drop("props"))
+    return events.select("event_id", "ts", "event_type", payload().alias("value"))
 
 
 def spoiled_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +83,8 @@ def spoiled_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("value") < 10, F.replace(F.to_json(place), F.lit("}"), F.lit(',"hourly":[]}')))
         .otherwise(payload())
     )
-    return table(spark, folder, "events").select("event_id", "ts", "event_type", text.alias("value"))
+    events = spread(table(spark, folder, "events").drop("props"))
+    return events.select("event_id", "ts", "event_type", text.alias("value"))
 
 
 def stations(spark: SparkSession, folder: str) -> DataFrame:

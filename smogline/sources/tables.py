@@ -17,6 +17,15 @@ def read_table(spark: SparkSession, path: str | None = None, fmt: str = "parquet
     return reader.load(path) if path else reader.load()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table of fewer splits than cores; a larger one stays as it is split.
+
+    For work that costs more than moving the rows, such as parsing text.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def sample(df: DataFrame, rows: int = 5, *order: str) -> DataFrame:
     """A few rows to look at; which ones is only fixed when an order is given."""
     return (df.orderBy(*order) if order else df).limit(rows)
