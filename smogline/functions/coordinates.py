@@ -11,7 +11,8 @@ from smogline.schemas import COORDINATE_PATTERN
 def coord_key(degrees: str | Column) -> Column:
     """Round to five decimals for lookups; NULL when the value is no coordinate.
 
-    ``format_number`` rounds the exact binary value half-even, and the cast to
+    ``format_number`` rounds the exact binary value half-even, as a decimal
+    formatter with the same pattern does on stored keys; the cast to
     DECIMAL(9,5) gives an 8-byte key in which -0 and 0 are the same.
     """
     text = F.call_function("format_number", _column(degrees), F.lit(COORDINATE_PATTERN))
