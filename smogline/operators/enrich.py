@@ -8,21 +8,11 @@ from pyspark.sql import functions as F
 from smogline.functions.coordinates import coord_key
 from smogline.operators.dictionary import by_rounded_key
 from smogline.operators.forecast import REASON, UNMATCHED
+from smogline.operators.sizes import MAX_BROADCAST_BYTES, in_memory_bytes
 
-# Room on each executor for the lookup side: a hash relation needs about twice this.
-MAX_BROADCAST_BYTES = 256 << 20
-# Keys, string headers and hash slot of one entry, before its text.
-ENTRY_BYTES = 96
 KEYS = ["lat_key", "lon_key"]
 
 
-def entry_bytes(dictionary: DataFrame) -> int:
-    """Upper bound of the dictionary's size in memory: one pruned scan, one row back."""
-    text = F.coalesce(F.octet_length("city"), F.lit(0)) + F.coalesce(F.octet_length("country"), F.lit(0))
-    total = F.coalesce(F.sum(text.cast("bigint") + ENTRY_BYTES), F.lit(0)).alias("bytes")
-    return dictionary.agg(total).first()["bytes"]
-
-
 def enrich(
     readings: DataFrame,
     dictionary: DataFrame,
@@ -31,21 +21,27 @@ def enrich(
 ) -> DataFrame:
     """Left lookup of each reading; unmatched rows get a ``reject_reason``.
 
-    The dictionary is broadcast only after its size was measured. A larger one
-    is joined by shuffle, with the readings of each station spread over
-    ``salts`` tasks so that a station holding a large part of them is split.
+    The dictionary is broadcast only after its size was measured, before
+    entries are merged by rounded key, which can only make it smaller. A larger
+    one is joined by shuffle.
+    """
+    names = dictionary.select("latitude", "longitude", "city", "country")
+    fits = in_memory_bytes(names) <= max_broadcast_bytes
+    return enrich_by_key(readings, by_rounded_key(names), fits, salts)
+
+
+def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool, salts: int = 16) -> DataFrame:
+    """The same for a dictionary that has its rounded keys already.
+
+    Without a broadcast, the readings of each station spread over ``salts``
+    tasks, so that a station holding a large part of them is split.
     """
-    lookup = by_rounded_key(dictionary)
     keyed = readings.withColumns({"lat_key": coord_key("latitude"), "lon_key": coord_key("longitude")})
-    if entry_bytes(dictionary) <= max_broadcast_bytes:
-        joined = keyed.join(F.broadcast(lookup.withColumn("found", F.lit(True))), KEYS, "left")
-    else:
-        joined = salted_left_join(keyed, lookup.withColumn("found", F.lit(True)), salts)
-    missing = F.col("found").isNull()
+    marked = lookup.withColumn("found", F.lit(True))
+    joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else salted_left_join(keyed, marked, salts)
+    reason = F.when(F.col("found").isNull(), UNMATCHED)
     if REASON in readings.columns:
-        reason = F.coalesce(REASON, F.when(missing, UNMATCHED))
-    else:
-        reason = F.when(missing, UNMATCHED)
+        reason = F.coalesce(REASON, reason)
     return joined.withColumn(REASON, reason).drop("found", *KEYS)
 
 

@@ -21,13 +21,18 @@ def last_write(df: DataFrame, key: list[str] | tuple[str, ...], order: list[str]
 
 
 def newest_first_rank(df: DataFrame, station: list[str], timestamp: str, rank: str = "newest_rank") -> DataFrame:
-    """Number the readings of each station, newest first; expects one row per station and second.
+    """Number the readings of each station, newest first.
 
-    Ranks are counted inside days and shifted by the number of readings on
-    later days, so no task sorts more than one station day, however long or
-    frequent a station's history is.
+    Expects the rows of a keyed table: no NULL in the key, one row per station
+    and second. Ranks are counted inside days and shifted by the number of
+    readings on later days, so no task sorts more than one station day, however
+    long or frequent a station's history is.
     """
+    # Stated before the plan splits in two, so that both sides are the same and
+    # the shuffle below them runs once: Catalyst would infer it for one side.
     days = df.withColumn("_day", F.floor(F.col(timestamp) / SECONDS_PER_DAY))
+    for name in (*station, "_day"):
+        days = days.filter(F.col(name).isNotNull())
     later_days = Window.partitionBy(*station).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
     counts = days.groupBy(*station, "_day").agg(F.count("*").alias("_n"))
     newer = counts.select(*station, "_day", F.coalesce(F.sum("_n").over(later_days), F.lit(0)).alias("_newer"))

@@ -509,14 +509,17 @@ def create_table_if_absent(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams and the keyed log ---------------------------------------------
 
 
+def _halves(df: DataFrame) -> list[DataFrame]:
+    """Messages before and after the middle of the month; no hour is split over the two."""
+    early = F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
+    return [df.filter(early), df.filter(~early)]
+
+
 def _two_waves(spark: SparkSession, folder: str, run: Callable[[DataFrame], None]) -> None:
-    """Land the messages in two halves of the month, and run the stream to its end after each."""
+    """Land the messages in two waves, and run the stream to its end after each."""
     landing = new_folder(spark, "landing")
-    # Whole days on each side: no hour is split over the two.
-    middle = F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
-    all_messages = lens.messages(spark, folder)
-    for wave in (F.col("ts") < middle, F.col("ts") >= middle):
-        all_messages.filter(wave).select("event_id", "value").write.mode("append").parquet(landing)
+    for wave in _halves(lens.messages(spark, folder)):
+        wave.select("event_id", "value").write.mode("append").parquet(landing)
         arrived = streams.file_stream(spark, landing, "event_id BIGINT, value STRING")
         run(streams.numbered_messages(arrived, "value", "event_id"))
 
@@ -585,17 +588,44 @@ def quarantine_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(SQL_RAW)
 def compacted_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The view is the same after the log was folded into one batch."""
+    """Three batches, the second one a replay of the first, read after compaction and one more replay."""
     root, target = new_folder(spark, "log"), new_folder(spark, "compacted")
-    rows = to_raw_columns(
-        parse_forecast(streams.numbered_messages(lens.messages(spark, folder), "value", "event_id"))
-    )
-    keyed.write_batch(rows, RAW_READINGS, root, 0)
-    keyed.write_batch(rows, RAW_READINGS, root, 1)
+    early, late = [
+        to_raw_columns(parse_forecast(streams.numbered_messages(half, "value", "event_id")))
+        for half in _halves(lens.messages(spark, folder))
+    ]
+    keyed.write_batch(early, RAW_READINGS, root, 0)
+    keyed.write_batch(early, RAW_READINGS, root, 1)
+    keyed.write_batch(late, RAW_READINGS, root, 2)
     keyed.compact(spark, RAW_READINGS, root, target)
+    keyed.write_batch(late, RAW_READINGS, target, 2)
     return flat_raw(keyed.current_view(spark, RAW_READINGS, target))
 
 
+@query(
+    f"SELECT {_sql_place('c_custkey')}, CASE WHEN c_mktsegment = 'BUILDING' THEN n_name ELSE lower(n_name) END AS city,"
+    " r_name AS country FROM customer"
+    " JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"
+)
+def dictionary_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """All places, and then some of them once more under another name."""
+    root = new_folder(spark, "upserted")
+    rows = lens.places(spark, folder).select(
+        lens.latitude("c_custkey").alias("latitude"),
+        lens.longitude("c_custkey").alias("longitude"),
+        F.col("n_name").alias("city"),
+        F.concat_ws(", ", "n_name", "r_name").alias("locality"),
+        F.col("r_name").alias("country"),
+        F.lit(None).cast("string").alias("geometry"),
+        F.lit(None).cast("string").alias("rawgeo"),
+        "c_mktsegment",
+    )
+    keyed.write_rows(rows.withColumn("city", F.lower("city")), GEO_DICTIONARY, root, 0)
+    keyed.write_rows(rows.filter("c_mktsegment = 'BUILDING'"), GEO_DICTIONARY, root, 1)
+    view = keyed.current_view(spark, GEO_DICTIONARY, root)
+    return view.select("latitude", "longitude", "city", "country")
+
+
 def _forecast(keys: pd.DataFrame) -> pd.Series:
     # A forecast service that answers with the coordinates it was asked for.
     found = keys["request"].str.extract(r"lat=(\S+)&lon=(\S+)")

@@ -5,6 +5,9 @@ batch stores good and rejected rows together, so neither can appear without the
 other and the batch is read and parsed once. A batch writes its own folder in
 overwrite mode: a replay replaces what the first attempt left, also when it
 sorts rows differently because the dictionary has changed in between.
+
+``compact`` moves older batches to ``batch_id=-1/outcome=settled``, one row per
+key. The view then shuffles the writes since, and only scans the settled rows.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from smogline.operators.forecast import PAYLOAD, REASON
 from smogline.operators.latest import in_key_order, last_write
+from smogline.operators.sizes import MAX_BROADCAST_BYTES, broadcast_if_small
 from smogline.schemas import Table
 from smogline.sources.streams import ORDER
 
@@ -21,6 +25,9 @@ BATCH = "batch_id"
 OUTCOME = "outcome"
 ACCEPTED = "accepted"
 REJECTED = "rejected"
+SETTLED = "settled"
+# Before any batch of a stream, and no batch's own folder: a replay cannot replace it.
+SETTLED_BATCH = -1
 ORDER_TYPE = "STRUCT<at: TIMESTAMP, part: INT, pos: BIGINT>"
 
 
@@ -29,14 +36,11 @@ def _log_schema(table: Table) -> str:
     return f"{own}, {BATCH} BIGINT, {OUTCOME} STRING"
 
 
-def _log_rows(df: DataFrame, table: Table) -> DataFrame:
-    rows = table.select_from(df, ORDER, REASON, PAYLOAD)
-    return rows.withColumn(OUTCOME, F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED))
-
-
 def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
     """Store one batch; no shuffle, and safe to repeat."""
-    _log_rows(df, table).write.mode("overwrite").partitionBy(OUTCOME).parquet(f"{root}/{BATCH}={batch_id}")
+    outcome = F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED)
+    rows = table.select_from(df, ORDER, REASON, PAYLOAD).withColumn(OUTCOME, outcome)
+    rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(f"{root}/{BATCH}={batch_id}")
 
 
 def write_rows(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
@@ -49,14 +53,15 @@ def write_rows(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
 
 
 def read_log(spark: SparkSession, table: Table, root: str) -> DataFrame:
-    """Every write, accepted or not, with its batch and order."""
+    """Every stored row, accepted or not, with its batch and order."""
     return spark.read.schema(_log_schema(table)).parquet(root)
 
 
-def current_view(spark: SparkSession, table: Table, root: str) -> DataFrame:
+def current_view(
+    spark: SparkSession, table: Table, root: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     """The table as its users see it: the last accepted write of each key."""
-    writes = read_log(spark, table, root).filter(F.col(OUTCOME) == ACCEPTED)
-    return table.select_from(last_write(writes, table.key, [BATCH, ORDER]))
+    return table.select_from(_last_writes(read_log(spark, table, root), table, max_broadcast_bytes))
 
 
 def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
@@ -65,19 +70,35 @@ def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
     return table.select_from(rows, REASON, PAYLOAD, BATCH)
 
 
-def compact(spark: SparkSession, table: Table, root: str, target: str) -> None:
-    """Fold a log into one batch in a new folder, in key order; the caller switches over.
+def compact(
+    spark: SparkSession, table: Table, root: str, target: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> None:
+    """Write a log anew with all batches but the last settled; the caller switches over.
 
-    The batch takes the greatest number of the log, so that later batches of
-    the stream still count as later writes. Rejected rows are kept; they may
-    have no key, so they are spread evenly instead of by range.
+    The last batch is copied as it is, in a folder of its own: a stream that
+    stopped between its write and its commit runs it once more. Rejected rows
+    are kept; they may have no key, so they are spread evenly and not by range.
     """
     log = read_log(spark, table, root)
     last_batch = log.agg(F.max(BATCH).alias(BATCH)).first()[BATCH]
     if last_batch is None:
         raise ValueError(f"nothing to compact in {root}")
-    folder = f"{target}/{BATCH}={last_batch}/{OUTCOME}="
-    accepted = last_write(log.filter(F.col(OUTCOME) == ACCEPTED), table.key, [BATCH, ORDER]).drop(BATCH, OUTCOME)
-    rejected = log.filter(F.col(OUTCOME) == REJECTED).drop(BATCH, OUTCOME)
-    in_key_order(accepted, table.key, table.newest_first).write.mode("overwrite").parquet(folder + ACCEPTED)
+    older = log.filter(F.col(BATCH) < last_batch)
+    settled = _last_writes(older, table, max_broadcast_bytes).drop(BATCH, OUTCOME)
+    rejected = older.filter(F.col(OUTCOME) == REJECTED).drop(BATCH, OUTCOME)
+    folder = f"{target}/{BATCH}={SETTLED_BATCH}/{OUTCOME}="
+    in_key_order(settled, table.key, table.newest_first).write.mode("overwrite").parquet(folder + SETTLED)
     rejected.hint("rebalance").write.mode("overwrite").parquet(folder + REJECTED)
+    write_batch(log.filter(F.col(BATCH) == last_batch), table, target, last_batch)
+
+
+def _last_writes(log: DataFrame, table: Table, max_broadcast_bytes: int) -> DataFrame:
+    """Settled rows whose key was not written since, and the last of the later writes."""
+    settled = log.filter(F.col(OUTCOME) == SETTLED)
+    later = log.filter(F.col(OUTCOME) == ACCEPTED)
+    newest = last_write(later, table.key, [BATCH, ORDER])
+    if settled.isEmpty():
+        return newest
+    # Distinct before measuring: a key written many times counts once.
+    written = broadcast_if_small(later.select(*table.key).distinct(), max_broadcast_bytes)
+    return settled.join(written, list(table.key), "left_anti").select(*log.columns).unionByName(newest)

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from smogline.operators.enrich import MAX_BROADCAST_BYTES, enrich
+from smogline.operators.dictionary import by_rounded_key
+from smogline.operators.enrich import enrich, enrich_by_key
 from smogline.operators.forecast import parse_forecast, to_geo_columns, to_raw_columns
+from smogline.operators.sizes import MAX_BROADCAST_BYTES, in_memory_bytes
 from smogline.schemas import ENRICHED_READINGS, RAW_READINGS
 from smogline.scratch import shared_folder
 from smogline.sources.keyed import write_batch
@@ -63,14 +65,15 @@ def enriched_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, ENRICHED_READINGS, root, batch_id)
 
-    names = dictionary.select("latitude", "longitude", "city", "country")
-    return _start(enrich(parsed, frozen(names), max_broadcast_bytes), store, checkpoint, trigger)
+    lookup = frozen(by_rounded_key(dictionary))
+    fits = in_memory_bytes(lookup) <= max_broadcast_bytes
+    return _start(enrich_by_key(parsed, lookup, fits), store, checkpoint, trigger)
 
 
-def frozen(dictionary: DataFrame) -> DataFrame:
+def frozen(lookup: DataFrame) -> DataFrame:
     """A copy that later changes of the source do not reach, kept where executors can re-read it."""
-    shared_folder(dictionary.sparkSession)
-    return dictionary.checkpoint()
+    shared_folder(lookup.sparkSession)
+    return lookup.checkpoint()
 
 
 def run_until_stopped(query: StreamingQuery) -> None:

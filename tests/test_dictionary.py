@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pandas as pd
 import pytest
@@ -115,6 +116,22 @@ def test_refresh_replaces_the_dictionary(spark, tmp_path):
     assert read_version(spark, GEO_DICTIONARY, root).count() == 0
 
 
+def test_refresh_asks_once_per_coordinate(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def fetch(keys: pd.DataFrame) -> pd.Series:
+        for lat in keys["latitude"]:
+            (asked / f"{lat}-{uuid.uuid4().hex}").touch()
+        return _name(keys)
+
+    rows = [(float(i % 40), 1.0) for i in range(400)]
+    readings = spark.createDataFrame(rows, "latitude DOUBLE, longitude DOUBLE")
+    assert refresh_dictionary(readings, fetch, str(tmp_path / "dictionary"), 1, parallelism=4).count() == 40
+    # The range partitioner's sampling reads shuffled rows and does not ask again.
+    assert len(list(asked.iterdir())) == 40
+
+
 def test_forward_geocode_takes_the_first_result(spark):
     rows = spark.createDataFrame(
         [

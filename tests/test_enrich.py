@@ -1,6 +1,7 @@
 from collections import Counter
 
-from smogline.operators.enrich import enrich, entry_bytes
+from smogline.operators.enrich import enrich
+from smogline.operators.sizes import in_memory_bytes
 from tests.samples import plan
 
 
@@ -40,7 +41,7 @@ def test_salted_join_gives_the_same_rows(spark):
 
 def test_broadcast_only_within_the_bound(spark):
     names = dictionary(spark)
-    size = entry_bytes(names)
+    size = in_memory_bytes(names)
     assert size > 50 * len("city 1land")
     assert "BroadcastHashJoin LeftOuter BuildRight" in plan(enrich(mixed(spark), names, size))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -39,18 +39,49 @@ def test_replay_replaces_the_first_attempt(spark, tmp_path):
     assert len(view(spark, root)) == 2
 
 
-def test_compaction_keeps_view_rejects_and_order_of_batches(spark, tmp_path):
-    root, target = str(tmp_path / "log"), str(tmp_path / "compacted")
+def grown_log(spark, root):
     for number in range(4):
         rows = [(i, forecast(float(i), base=10 * number + i)) for i in range(number + 1)]
         keyed.write_batch(batch(spark, *rows, (9, None)), RAW_READINGS, root, number)
-    before = view(spark, root)
+    return view(spark, root)
+
+
+def test_compaction_keeps_view_rejects_and_order_of_batches(spark, tmp_path):
+    root, target, again = (str(tmp_path / name) for name in ("log", "compacted", "again"))
+    before = grown_log(spark, root)
     keyed.compact(spark, RAW_READINGS, root, target)
     assert view(spark, target) == before
-    assert keyed.read_log(spark, RAW_READINGS, target).count() == 4 + 4
-    assert keyed.quarantine(spark, RAW_READINGS, target).count() == 4
+    counts = {(row.batch_id, row.outcome): row["count"] for row in
+              keyed.read_log(spark, RAW_READINGS, target).groupBy("batch_id", "outcome").count().collect()}
+    assert counts == {(-1, "settled"): 3, (-1, "rejected"): 3, (3, "accepted"): 4, (3, "rejected"): 1}
     keyed.write_batch(batch(spark, (0, forecast(0.0, base=77))), RAW_READINGS, target, 4)
-    assert view(spark, target) == before | {(0.0, 1499047200): 77.0}
+    after = before | {(0.0, 1499047200): 77.0}
+    assert view(spark, target) == after
+    keyed.compact(spark, RAW_READINGS, target, again)
+    assert view(spark, again) == after
+    assert keyed.quarantine(spark, RAW_READINGS, again).count() == 4
+
+
+def test_last_batch_can_be_replayed_after_compaction(spark, tmp_path):
+    root, target = str(tmp_path / "log"), str(tmp_path / "compacted")
+    before = grown_log(spark, root)
+    keyed.compact(spark, RAW_READINGS, root, target)
+    rows = [(i, forecast(float(i), base=30 + i)) for i in range(4)]
+    keyed.write_batch(batch(spark, *rows, (9, None)), RAW_READINGS, target, 3)
+    assert view(spark, target) == before
+    assert keyed.quarantine(spark, RAW_READINGS, target).count() == 4
+
+
+def test_settled_rows_are_not_shuffled(spark, tmp_path):
+    root, target = str(tmp_path / "log"), str(tmp_path / "compacted")
+    before = grown_log(spark, root)
+    keyed.compact(spark, RAW_READINGS, root, target)
+    text = plan(keyed.current_view(spark, RAW_READINGS, target))
+    settled = text.split("BroadcastHashJoin LeftAnti", 1)
+    assert len(settled) == 2 and "Exchange" not in settled[1].split("BroadcastExchange", 1)[0]
+    # Beyond the bound the keys are joined by shuffle, with the same rows.
+    rows = keyed.current_view(spark, RAW_READINGS, target, max_broadcast_bytes=0).collect()
+    assert {(row.latitude, row.timestamp): row.pm_data.pi for row in rows} == before
 
 
 def test_empty_log_is_not_compacted(spark, tmp_path):
