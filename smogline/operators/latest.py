@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SECONDS_PER_DAY = 86_400
 
@@ -15,7 +16,10 @@ def last_write(df: DataFrame, key: list[str] | tuple[str, ...], order: list[str]
     shuffle, so a map task sends one row per key: a key that holds a large part
     of the input costs no more than any other.
     """
-    newest = Window.partitionBy(*key).orderBy(*[F.desc(name) for name in order])
+    # Rows are sorted by key before the limit, and sorting compares the first
+    # column's leading bytes: numbers tell more keys apart than names do.
+    numbers_first = sorted(key, key=lambda name: df.schema[name].dataType == T.StringType())
+    newest = Window.partitionBy(*numbers_first).orderBy(*[F.desc(name) for name in order])
     rank = "_write_rank"
     return df.withColumn(rank, F.row_number().over(newest)).filter(F.col(rank) == 1).drop(rank)
 
