@@ -33,6 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Events for work on text, on all cores; by default without their own JSON column."""
+    return spread(table(spark, folder, "events").select(*(columns or ("event_id", "ts", "user_id", "event_type", "value"))))
+
+
 def latitude(key: str) -> Column:
     return F.expr(LATITUDE.format(id=key))
 
@@ -68,8 +73,7 @@ def payload() -> Column:
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id``, ``ts``, ``event_type`` and the payload as ``value``."""
-    events = spread(table(spark, folder, "events").drop("props"))
-    return events.select("event_id", "ts", "event_type", payload().alias("value"))
+    return events(spark, folder).select("event_id", "ts", "event_type", payload().alias("value"))
 
 
 def spoiled_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,8 +87,7 @@ def spoiled_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("value") < 10, F.replace(F.to_json(place), F.lit("}"), F.lit(',"hourly":[]}')))
         .otherwise(payload())
     )
-    events = spread(table(spark, folder, "events").drop("props"))
-    return events.select("event_id", "ts", "event_type", text.alias("value"))
+    return events(spark, folder).select("event_id", "ts", "event_type", text.alias("value"))
 
 
 def stations(spark: SparkSession, folder: str) -> DataFrame:

@@ -417,7 +417,7 @@ def city_list_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     " json_extract_string(props, '$.k') AS k_text, CAST(NULL AS VARCHAR) AS absent FROM events"
 )
 def json_path_get(spark: SparkSession, folder: str) -> DataFrame:
-    return lens.table(spark, folder, "events").select(
+    return lens.events(spark, folder, "event_id", "props").select(
         "event_id",
         jsonpath.get_int("props", "$.k").alias("k"),
         jsonpath.get_double("props", "$.k").alias("k_double"),
@@ -428,7 +428,7 @@ def json_path_get(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lists(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as a JSON list of its user, its property and its type."""
-    return lens.table(spark, folder, "events").select(
+    return lens.events(spark, folder, "event_id", "user_id", "event_type", "props").select(
         "event_id",
         F.concat(
             F.lit("["), F.col("user_id"), F.lit(","), F.col("props"), F.lit(',"'), F.col("event_type"), F.lit('"]')
@@ -471,7 +471,7 @@ def json_dumps(spark: SparkSession, folder: str) -> DataFrame:
     """Rows to JSON text, with text that needs escaping and a NULL field, and back."""
     awkward = F.concat("event_type", F.lit('"\\'))
     row = F.struct("user_id", F.struct(awkward.alias("name"), F.col("value"), F.lit(None).cast("int").alias("none")).alias("of"))
-    text = lens.table(spark, folder, "events").select("event_id", jsonpath.dumps(row).alias("text"))
+    text = lens.events(spark, folder).select("event_id", jsonpath.dumps(row).alias("text"))
     return text.select(
         "event_id",
         jsonpath.get("text", "$.user_id", "bigint").alias("user_id"),
