@@ -36,6 +36,12 @@ def _log_schema(table: Table) -> str:
     return f"{own}, {BATCH} BIGINT, {OUTCOME} STRING"
 
 
+def create_log(spark: SparkSession, table: Table, root: str) -> None:
+    """An empty log that can be read before its first batch; a no-op if there is one."""
+    empty = spark.createDataFrame([], _log_schema(table)).drop(BATCH, OUTCOME)
+    empty.write.mode("ignore").parquet(f"{root}/{BATCH}={SETTLED_BATCH}/{OUTCOME}={SETTLED}")
+
+
 def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
     """Store one batch; no shuffle, and safe to repeat."""
     outcome = F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED)
@@ -83,13 +89,15 @@ def compact(
     last_batch = log.agg(F.max(BATCH).alias(BATCH)).first()[BATCH]
     if last_batch is None:
         raise ValueError(f"nothing to compact in {root}")
-    older = log.filter(F.col(BATCH) < last_batch)
+    only_settled = last_batch == SETTLED_BATCH
+    older = log if only_settled else log.filter(F.col(BATCH) < last_batch)
     settled = _last_writes(older, table, max_broadcast_bytes).drop(BATCH, OUTCOME)
     rejected = older.filter(F.col(OUTCOME) == REJECTED).drop(BATCH, OUTCOME)
     folder = f"{target}/{BATCH}={SETTLED_BATCH}/{OUTCOME}="
     in_key_order(settled, table.key, table.newest_first).write.mode("overwrite").parquet(folder + SETTLED)
     rejected.hint("rebalance").write.mode("overwrite").parquet(folder + REJECTED)
-    write_batch(log.filter(F.col(BATCH) == last_batch), table, target, last_batch)
+    if not only_settled:
+        write_batch(log.filter(F.col(BATCH) == last_batch), table, target, last_batch)
 
 
 def _last_writes(log: DataFrame, table: Table, max_broadcast_bytes: int) -> DataFrame:

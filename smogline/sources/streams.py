@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 # How topics are read and written.
 START_AT = "latest"
@@ -59,6 +60,14 @@ def publish(df: DataFrame, fmt: str, path: str | None = None, **options: str) ->
     outgoing.save(path) if path else outgoing.save()
 
 
+def publish_stream(
+    stream: DataFrame, fmt: str, checkpoint: str, path: str | None = None, **options: str
+) -> DataStreamWriter:
+    """The same for a stream; set a trigger and call ``start()`` on the result."""
+    outgoing = stream.select("value").writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    return outgoing.options(**options, **({"path": path} if path else {}))
+
+
 def publish_to_kafka(df: DataFrame, brokers: str, topic: str, **options: str) -> None:
     publish(df, "kafka", **kafka_producer_options(brokers, topic), **options)
 

@@ -18,7 +18,7 @@ from smogline.operators.forecast import parse_forecast, to_geo_columns, to_raw_c
 from smogline.operators.sizes import MAX_BROADCAST_BYTES, in_memory_bytes
 from smogline.schemas import ENRICHED_READINGS, RAW_READINGS
 from smogline.scratch import shared_folder
-from smogline.sources.keyed import write_batch
+from smogline.sources.keyed import create_log, write_batch
 
 # Fixed value: the pause between micro-batches.
 INTERVAL = {"processingTime": "3 seconds"}
@@ -32,6 +32,8 @@ def raw_ingest(
 ) -> StreamingQuery:
     """Store every reading under its coordinates and time."""
 
+    create_log(messages.sparkSession, RAW_READINGS, root)
+
     def store(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, RAW_READINGS, root, batch_id)
 
@@ -52,6 +54,7 @@ def enriched_stream(
     on the left. A function is called for each micro-batch instead, which picks
     up new dictionary versions without a restart.
     """
+    create_log(messages.sparkSession, ENRICHED_READINGS, root)
     parsed = to_geo_columns(parse_forecast(messages))
 
     if callable(dictionary):

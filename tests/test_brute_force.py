@@ -1,0 +1,86 @@
+"""The whole pipeline against a few lines of plain Python, on random messages."""
+
+import json
+import random
+from collections import Counter
+from decimal import ROUND_HALF_EVEN, Decimal
+
+import pytest
+
+from smogline.operators.dictionary import build_dictionary
+from smogline.operators.enrich import enrich
+from smogline.operators.forecast import accepted, parse_forecast, rejected, to_geo_columns
+from smogline.operators.latest import last_write
+from smogline.schemas import ENRICHED_READINGS
+from tests.samples import forecast, response, result
+
+
+def _key(value):
+    return Decimal(value).quantize(Decimal("0.00001"), rounding=ROUND_HALF_EVEN) + 0
+
+
+def _messages(rng, places):
+    for number in range(400):
+        # A third of all messages come from one place.
+        lat, lon = places[0] if number % 3 == 0 else rng.choice(places)
+        nudge = rng.choice([0.0, 0.000001, -0.000002])
+        hour = 3600 * rng.randrange(4)
+        text = forecast(lat + nudge, lon, timestamp=hour, base=number)
+        kind = rng.random()
+        if kind < 0.1:
+            text = text[: rng.randrange(1, len(text) - 1)]
+        elif kind < 0.15:
+            text = json.dumps({key: value for key, value in json.loads(text).items() if key != rng.choice(("hourly", "latitude"))})
+        yield number, text
+
+
+def _expected(messages, names):
+    rows, reasons = {}, Counter()
+    for number, text in messages:
+        try:
+            tree = json.loads(text)
+        except ValueError:
+            reasons["malformed"] += 1
+            continue
+        if "latitude" not in tree or not tree.get("hourly"):
+            reasons["incomplete"] += 1
+            continue
+        name = names.get((_key(tree["latitude"]), _key(tree["longitude"])))
+        if name is None:
+            reasons["unmatched"] += 1
+            continue
+        hour = tree["hourly"][0]
+        rows[(*name, hour["timestamp"])] = (tree["latitude"], hour["avg"]["NO2"]["pi"], None, number)
+    return rows, reasons
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_pipeline(spark, seed, max_bytes):
+    rng = random.Random(seed)
+    places = [(round(rng.uniform(-80, 80), 4), round(rng.uniform(-170, 170), 4)) for _ in range(30)]
+    # Some places share a city, some have no locality.
+    responses, names = [], {}
+    for index, (lat, lon) in enumerate(places):
+        city = f"City {index % 9}"
+        found = [result(f"{city}, Land {index % 2}", "locality")] if index % 5 else [result("Land", "country")]
+        responses.append((lat, lon, response(*found)))
+        if index % 5:
+            names[(_key(lat), _key(lon))] = (city, f"Land {index % 2}")
+    messages = list(_messages(rng, places))
+    rows, reasons = _expected(messages, names)
+
+    stream = spark.createDataFrame(messages, "seq INT, value STRING").repartition(7)
+    dictionary = build_dictionary(
+        spark.createDataFrame(responses, "latitude DOUBLE, longitude DOUBLE, response STRING")
+    )
+    looked_up = enrich(to_geo_columns(parse_forecast(stream)), dictionary, max_bytes, salts=3)
+    latest = last_write(accepted(looked_up), ENRICHED_READINGS.key, ["seq"]).collect()
+    found = {
+        (row.city, row.country, row.timestamp): (
+            row.latitude, row.nitrous_data.pi, row.overall_data.value_upm, row.seq
+        )
+        for row in latest
+    }
+    assert found == rows
+    assert Counter(row.reject_reason for row in rejected(looked_up).collect()) == reasons

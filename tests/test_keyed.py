@@ -91,6 +91,21 @@ def test_empty_log_is_not_compacted(spark, tmp_path):
         keyed.compact(spark, RAW_READINGS, root, str(tmp_path / "target"))
 
 
+def test_log_with_nothing_new_is_compacted_again(spark, tmp_path):
+    root, target, again = (str(tmp_path / name) for name in ("log", "compacted", "again"))
+    keyed.write_batch(batch(spark, (1, forecast(1.0)), (2, "{")), RAW_READINGS, root, 0)
+    keyed.write_batch(batch(spark, (1, "{")).limit(0), RAW_READINGS, root, 1)
+    keyed.write_batch(batch(spark, (1, forecast(2.0))), RAW_READINGS, root, 2)
+    before = view(spark, root)
+    keyed.compact(spark, RAW_READINGS, root, target)
+    # Only the settled part is left, as if later batches had been empty.
+    keyed.write_batch(batch(spark, (1, "{")).limit(0), RAW_READINGS, target, 2)
+    del before[(2.0, 1499047200)]
+    keyed.compact(spark, RAW_READINGS, target, again)
+    assert view(spark, again) == before
+    assert keyed.quarantine(spark, RAW_READINGS, again).count() == 1
+
+
 def test_key_filters_and_partitions_reach_the_scan(spark, tmp_path):
     root = str(tmp_path / "log")
     keyed.write_batch(batch(spark, (1, forecast()), (2, "{")), RAW_READINGS, root, 0)

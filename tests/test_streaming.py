@@ -117,6 +117,23 @@ def test_dictionary_is_frozen_or_refreshed(spark, folders, refreshed):
     assert {row.timestamp: row.city for row in rows} == {3600: "Old", 7200: "New" if refreshed else "Old"}
 
 
+def test_log_can_be_read_before_the_first_batch(spark, folders):
+    land(spark, folders, (1, forecast(1.0)))
+    keyed.create_log(spark, RAW_READINGS, folders["root"])
+    assert raw_view(spark, folders) == {}
+    assert keyed.quarantine(spark, RAW_READINGS, folders["root"]).count() == 0
+    ingest_raw(spark, folders)
+    keyed.create_log(spark, RAW_READINGS, folders["root"])
+    assert raw_view(spark, folders) == {1.0: 11.0}
+
+
+def test_publish_stream(spark, folders):
+    land(spark, folders, (1, "a"), (2, "b"))
+    writer = streams.publish_stream(arriving(spark, folders), "text", folders["checkpoint"], folders["root"])
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(row.value for row in spark.read.text(folders["root"]).collect()) == ["a", "b"]
+
+
 def test_kafka_rows_are_ordered_by_time_then_place(spark):
     rows = spark.createDataFrame(
         [(b"k", bytearray(b"{}"), "t", 3, 17, datetime(2024, 1, 1), 0)],
