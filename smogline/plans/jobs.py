@@ -34,7 +34,9 @@ def enriched_readings(messages: DataFrame, dictionary: DataFrame, order: list[st
     return ENRICHED_READINGS.select_from(last_write(rows, ENRICHED_READINGS.key, order))
 
 
-def refresh_dictionary(readings: DataFrame, fetch: Fetch, root: str, version: int, parallelism: int | None = None) -> DataFrame:
+def refresh_dictionary(
+    readings: DataFrame, fetch: Fetch, root: str, version: int, parallelism: int | None = None
+) -> DataFrame:
     """Look up every coordinate of the readings and replace the dictionary."""
     responses = lookup_keys(distinct_coords(readings), fetch, parallelism=parallelism)
     replace_table(build_dictionary(responses), GEO_DICTIONARY, root, version)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smogline.functions import jsonpath
@@ -470,7 +470,8 @@ def json_items(spark: SparkSession, folder: str) -> DataFrame:
 def json_dumps(spark: SparkSession, folder: str) -> DataFrame:
     """Rows to JSON text, with text that needs escaping and a NULL field, and back."""
     awkward = F.concat("event_type", F.lit('"\\'))
-    row = F.struct("user_id", F.struct(awkward.alias("name"), F.col("value"), F.lit(None).cast("int").alias("none")).alias("of"))
+    inner = F.struct(awkward.alias("name"), F.col("value"), F.lit(None).cast("int").alias("none"))
+    row = F.struct("user_id", inner.alias("of"))
     text = lens.events(spark, folder).select("event_id", jsonpath.dumps(row).alias("text"))
     return text.select(
         "event_id",
@@ -506,6 +507,53 @@ def create_table_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+@query(
+    "SELECT fmt, count(*) AS n, max(event_id) AS last_id"
+    " FROM events CROSS JOIN (VALUES ('orc'), ('json'), ('csv')) f(fmt) GROUP BY fmt"
+)
+def read_other_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """One reader for any format: the events written in three others and read back."""
+    events = lens.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    counts = []
+    for fmt in ("orc", "json", "csv"):
+        path = new_folder(spark, fmt)
+        events.write.format(fmt).save(path)
+        names = {"event_id": "event_id"} if fmt != "csv" else {"_c0": "event_id"}
+        back = tables.read_table(spark, path, fmt).withColumnsRenamed(names)
+        last = F.max(F.col("event_id").cast("bigint")).alias("last_id")
+        counts.append(back.agg(F.lit(fmt).alias("fmt"), F.count("*").alias("n"), last))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query(
+    "SELECT count(*) AS readings, CAST(0 AS BIGINT) AS out_of_order, true AS apart"
+    f" FROM (SELECT DISTINCT latitude, longitude, timestamp FROM ({SQL_READINGS}))"
+)
+def files_in_key_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table written in key order: rows in order inside each file, and no two files overlapping."""
+    path = new_folder(spark, "ordered")
+    readings = jobs.raw_readings(lens.messages(spark, folder), ["event_id"])
+    latest.in_key_order(readings, RAW_READINGS.key, RAW_READINGS.newest_first).write.parquet(path)
+    place = F.struct("latitude", "longitude", (-F.col("timestamp")).alias("age"))
+    rows = spark.read.parquet(path).select(
+        place.alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    # The files of a table are of bounded size, and so are these windows; the last one has a row per file.
+    in_file = Window.partitionBy("file").orderBy("row")
+    steps = rows.withColumn("wrong", F.lag("place").over(in_file) >= F.col("place"))
+    files = steps.groupBy("file").agg(
+        F.count("*").alias("n"),
+        F.count_if("wrong").alias("wrong"),
+        F.min("place").alias("low"),
+        F.max("place").alias("high"),
+    )
+    apart = F.lag("high").over(Window.orderBy("low")) < F.col("low")
+    by_range = files.withColumn("apart", F.coalesce(apart, F.lit(True)))
+    return by_range.agg(
+        F.sum("n").alias("readings"), F.sum("wrong").alias("out_of_order"), F.min("apart").alias("apart")
+    )
+
+
 # --- streams and the keyed log ---------------------------------------------
 
 

@@ -30,7 +30,8 @@ def _messages(rng, places):
         if kind < 0.1:
             text = text[: rng.randrange(1, len(text) - 1)]
         elif kind < 0.15:
-            text = json.dumps({key: value for key, value in json.loads(text).items() if key != rng.choice(("hourly", "latitude"))})
+            absent = rng.choice(("hourly", "latitude"))
+            text = json.dumps({key: value for key, value in json.loads(text).items() if key != absent})
         yield number, text
 
 

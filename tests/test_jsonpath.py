@@ -51,8 +51,9 @@ def test_bad_text_is_null(spark):
 
 
 def test_items(spark):
-    rows = spark.createDataFrame([(1, '["a",{"b":2},3]'), (2, '{"k":[1],"j":null}'), (3, "{bad"), (4, "[]")], "id INT, t STRING")
-    found = sorted((row.id, row.pos, row.key, row.item) for row in jsonpath.items(rows, "t", ["id"]).filter("pos IS NOT NULL").collect())
+    texts = [(1, '["a",{"b":2},3]'), (2, '{"k":[1],"j":null}'), (3, "{bad"), (4, "[]")]
+    items = jsonpath.items(spark.createDataFrame(texts, "id INT, t STRING"), "t", ["id"])
+    found = sorted((row.id, row.pos, row.key, row.item) for row in items.filter("pos IS NOT NULL").collect())
     assert found == [
         (1, 0, None, '"a"'),
         (1, 1, None, '{"b":2}'),

@@ -15,7 +15,8 @@ def test_whole_row_of_the_last_write(spark):
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
-    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = spark.range(10_000).select(key.alias("k"), "id")
     latest = last_write(rows, ["k"], ["id"])
     text = plan(latest)
     assert "WindowGroupLimit" in text and text.count("Exchange") <= 2

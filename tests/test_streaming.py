@@ -65,11 +65,12 @@ def test_batch_that_ran_without_being_committed_runs_again(spark, folders, tmp_p
     assert keyed.read_log(spark, RAW_READINGS, folders["root"]).count() == 1
 
 
-def test_enriched_stream_keeps_unmatched_and_bad_rows(spark, folders):
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_enriched_stream_keeps_unmatched_and_bad_rows(spark, folders, max_bytes):
     names = spark.createDataFrame([(1.0, 2.294, "One", "Land")], NAMES)
     land(spark, folders, (1, forecast(1.0)), (2, forecast(2.0)), (3, "{bad"))
     query = ingest.enriched_stream(
-        arriving(spark, folders), names, folders["root"], folders["checkpoint"], ingest.CATCH_UP
+        arriving(spark, folders), names, folders["root"], folders["checkpoint"], ingest.CATCH_UP, max_bytes
     )
     query.awaitTermination()
     rows = keyed.current_view(spark, ENRICHED_READINGS, folders["root"]).collect()
