@@ -13,6 +13,22 @@ def first_hour(hourly: str = "hourly") -> Column:
     return F.get(hourly, 0)
 
 
+def up_to_first_hour(text: str) -> Column:
+    """The payload without later hours, which nobody reads; NULL when it is not JSON or has no hour."""
+    tree = F.try_parse_json(text)
+    fields = {
+        '{"latitude":': "$.latitude",
+        ',"longitude":': "$.longitude",
+        ',"hourly":[': "$.hourly[0]",
+    }
+    pieces = [
+        piece
+        for prefix, path in fields.items()
+        for piece in (F.lit(prefix), F.to_json(F.try_variant_get(tree, path, "variant")))
+    ]
+    return F.concat(*pieces, F.lit("]}"))
+
+
 def pollutant_columns(hour: str) -> list[Column]:
     """One struct column per pollutant; a missing pollutant or field is NULL."""
     return [F.col(f"{hour}.avg.{name}").alias(name) for name in PAYLOAD_POLLUTANTS]

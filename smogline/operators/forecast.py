@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.functions.pollutants import first_hour, pollutant_columns, without_measure
+from smogline.functions.pollutants import first_hour, pollutant_columns, up_to_first_hour, without_measure
 from smogline.schemas import (
     CORRUPT,
     FORECAST,
@@ -21,15 +21,26 @@ REASON = "reject_reason"
 PAYLOAD = "payload"
 
 
-def parse_json(df: DataFrame, text: str, schema: str, keep: list[str]) -> DataFrame:
+def parse_json(
+    df: DataFrame, text: str, schema: str, keep: list[str], relevant: Column | None = None
+) -> DataFrame:
     """The kept columns and the fields of the parsed text.
 
+    ``relevant`` is the part of the text that has to fit the schema. It is only
+    computed, and parsed instead, for records that do not fit as a whole.
+
     ``inline`` over a one-element array gives the same columns as selecting the
     fields of a struct, but predicates stay above it: Catalyst would push a
     filter on struct fields below the projection and parse every text twice.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.select(*keep, F.inline(F.array(F.from_json(text, schema, options))))
+    parsed = F.array(F.from_json(text, schema, options))
+    if relevant is not None:
+        part = F.from_json(relevant, schema, options)
+        parsed = F.transform(
+            parsed, lambda whole: F.when(whole[CORRUPT].isNull(), whole).otherwise(F.coalesce(part, whole))
+        )
+    return df.select(*keep, F.inline(parsed))
 
 
 def parse_forecast(df: DataFrame, text: str = "value") -> DataFrame:
@@ -39,7 +50,7 @@ def parse_forecast(df: DataFrame, text: str = "value") -> DataFrame:
     kept for rejected rows only.
     """
     keep = [name for name in df.columns if name != text]
-    hours = parse_json(df, text, FORECAST, [*keep, text]).select(
+    hours = parse_json(df, text, FORECAST, [*keep, text], up_to_first_hour(text)).select(
         *keep, text, "latitude", "longitude", CORRUPT, first_hour().alias("hour")
     )
     readings = hours.select(

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,20 @@ def test_first_hour_of_a_good_payload(spark):
     assert row.reject_reason is None and row.payload is None
 
 
+def test_later_hours_need_not_fit(spark):
+    tree = json.loads(forecast(base=20))
+    tree["hourly"][1] = {"timestamp": "soon", "avg": [1]}
+    tree["hourly"].append(5)
+    row = parse(spark, json.dumps(tree)).first()
+    assert row.reject_reason is None and row.timestamp == 1499047200
+    assert row.PM.asDict() == {"value_upm": 20.5, "pi": 20.0, "aqi": 21.0, "aqi_cn": 22.0}
+    assert (row.latitude, row.longitude, row.overall.pi) == (48.85, 2.294, 25.0)
+    # The hour that is read has to fit, and the text has to be JSON to its end.
+    tree["hourly"][0]["avg"]["PM"]["pi"] = "many"
+    assert parse(spark, json.dumps(tree)).first().reject_reason == "malformed"
+    assert parse(spark, forecast()[:-1]).first().reject_reason == "malformed"
+
+
 @pytest.mark.parametrize(
     ("text", "reason"),
     [
