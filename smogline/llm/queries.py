@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import decontaminate, odd_sketch, pii_bootstrap, piece_bpe, toxicity
+from smogline.llm import decision_list, decontaminate, odd_sketch, pii_bootstrap, piece_bpe, rendezvous, toxicity
 from smogline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,41 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# CRC-32 by its table, which follows from the polynomial: eight shifts for each byte.
+CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+
+
+@query(f"""
+    WITH tabled AS MATERIALIZED (SELECT {CRC_TABLE} AS crcs),
+    bytes AS (
+        SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS hexes FROM documents),
+    sized AS (
+        SELECT row, doc_id, CAST(length(hexes) // 2 + 16 AS BIGINT) AS size,
+               xor(list_reduce(
+                   list_concat([4294967295],
+                       list_transform(range(1, length(hexes), 2), lambda i: CAST('0x' || substr(hexes, i, 2) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+        FROM bytes, tabled),
+    draws AS (
+        SELECT row, shard, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || shard), 1, 13) AS BIGINT) AS draw
+        FROM sized, (SELECT unnest(range(41)) AS shard)),
+    chosen AS (
+        SELECT row, arg_max(shard, draw) FILTER (shard < 40) AS shard, arg_max(shard, draw) AS grown_shard
+        FROM draws GROUP BY row)
+    SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+           row_number() OVER (
+               PARTITION BY shard
+               ORDER BY substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3), doc_id, text_crc32, size) - 1 AS slot,
+           CAST(grown_shard AS INT) AS grown_shard
+    FROM sized JOIN chosen USING (row)
+""")
+def op4_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
+    placed = rendezvous.place(table(spark, folder, "documents"), [1.0] * 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -116,3 +151,15 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     machine = toxicity.fit(docs, table(spark, folder, "labels"), ~away)
     scored = docs.select("doc_id", away.alias("held_out"), toxicity.score(machine, "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+@query()
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = decision_list.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        "base_failed",
+        "kept",
+        "rule",
+    )

@@ -7,7 +7,8 @@ each pair: so an insult next to a group counts for more, or less, than the sum.
 The pairwise sum needs only the vectors' sum and the sum of their squares.
 
 It is fitted on a bounded sample of labelled documents: ``per_label`` of each
-label, of which buckets are kept that speak for or against the label.
+label. Spark counts the sample's buckets, and those are kept that tell the
+labels apart.
 Everything else, scoring included, covers all texts, whole.
 """
 
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import labelled_texts, sample_ids
+from smogline.llm.common import labelled_texts, sample_ids, written
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -81,68 +82,44 @@ class Machine:
 
 
 def fit_machine(
-    bags: list[np.ndarray],
+    buckets: list[int],
+    rows: np.ndarray,
+    places: np.ndarray,
     labels: np.ndarray,
     weights: np.ndarray,
-    terms: int = 4000,
-    least: int = 4,
     factors: int = 4,
     rounds: int = 150,
     penalty: float = 1e-2,
-    evident: float = 10,
     rate: float = 0.05,
 ) -> Machine:
-    """Fit on bags of buckets. ``weights`` restores the labels' shares before sampling.
+    """Fit on texts given as (row, place of a bucket) pairs.
 
-    ``terms`` is how many buckets are kept at most, those whose presence differs most
-    between the labels (half the likelihood ratio, over ``evident``), and ``least`` in how
-    many sampled texts a bucket must occur. With one label only, the machine is
-    its bias.
+    ``weights`` restores the labels' shares before sampling. With one label
+    only, or without buckets, the machine is its bias.
     """
-    positive, negative = int(labels.sum()), int(len(labels) - labels.sum())
-    share = float((weights * labels).sum() / weights.sum()) if len(labels) else 0.0
-    bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    empty = Machine({}, bias, np.zeros(0), np.zeros((0, factors)))
-    if not positive or not negative:
-        return empty
-    flat = np.concatenate(bags) if bags else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    buckets, column = np.unique(flat, return_inverse=True)
-    total = np.bincount(column, minlength=len(buckets))
-    hits = np.bincount(column, weights=labels[rows], minlength=len(buckets))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        expected = total * positive / len(labels)
-        evidence = hits * np.log(hits / expected)
-        evidence = np.nan_to_num(evidence) + np.nan_to_num((total - hits) * np.log((total - hits) / (total - expected)))
-    evidence[total < least] = 0
-    chosen = np.sort(np.argsort(-evidence, kind="stable")[:terms])
-    chosen = chosen[evidence[chosen] > evident]
-    if not len(chosen):
-        return empty
-    new = np.full(len(buckets), -1)
-    new[chosen] = np.arange(len(chosen))
-    keep = new[column] >= 0
-    rows, column = rows[keep], new[column][keep]
-    order = np.lexsort((column, rows))
-    rows, column = rows[order], column[order]
-    size = len(bags)
-
+    size, positive = len(labels), int(labels.sum())
+    share = float((weights * labels).sum() / weights.sum()) if size else 0.0
+    prior = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
+    if not positive or positive == size or not len(buckets):
+        return Machine({}, prior, np.zeros(0), np.zeros((0, factors)))
+    order = np.lexsort((places, rows))
+    rows, places = rows[order], places[order]
     numbers = np.random.default_rng(7)
-    w, v, b = np.zeros(len(chosen)), numbers.normal(0, 0.01, (len(chosen), factors)), 0.0
+    w, v, b = np.zeros(len(buckets)), numbers.normal(0, 0.01, (len(buckets), factors)), 0.0
     # Both labels weigh the same while fitting; the bias is set back afterwards.
-    even = np.where(labels == 1, 0.5 / positive, 0.5 / negative)
+    even = np.where(labels == 1, 0.5 / positive, 0.5 / (size - positive))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, v, np.zeros(1))]
     for step in range(1, rounds + 1):
-        vectors = v[column]
+        vectors = v[places]
         sums = np.stack([np.bincount(rows, vectors[:, f], size) for f in range(factors)], axis=1)
         squares = np.bincount(rows, (vectors**2).sum(axis=1), size)
-        score = b + np.bincount(rows, w[column], size) + 0.5 * ((sums**2).sum(axis=1) - squares)
+        score = b + np.bincount(rows, w[places], size) + 0.5 * ((sums**2).sum(axis=1) - squares)
         slope = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) * even
         at = slope[rows]
+        pairwise = [np.bincount(places, at * (sums[rows, f] - vectors[:, f]), len(w)) for f in range(factors)]
         grads = (
-            np.bincount(column, at, len(w)) + penalty * w / len(w) ** 0.5,
-            np.stack([np.bincount(column, at * (sums[rows, f] - vectors[:, f]), len(w)) for f in range(factors)], axis=1)
-            + penalty * v,
+            np.bincount(places, at, len(w)) + penalty * w / len(w) ** 0.5,
+            np.stack(pairwise, axis=1) + penalty * v,
             np.array([slope.sum()]),
         )
         steps = []
@@ -151,32 +128,69 @@ def fit_machine(
             second += 0.01 * (grad**2 - second)
             steps.append(rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8))
         w, v, b = w - steps[0], v - steps[1], b - float(steps[2][0])
-    prior = np.log((share + 1e-6) / (1 - share + 1e-6))
-    return Machine({int(k): i for i, k in enumerate(buckets[chosen])}, b + float(prior), w, v)
+    return Machine({bucket: i for i, bucket in enumerate(buckets)}, b + prior, w, v)
+
 
+def _telling(terms: DataFrame, positive: int, size: int, most: int, least: int, evident: float) -> DataFrame:
+    """The ``most`` buckets whose presence differs most between the labels, by half the likelihood ratio.
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_LABEL, label: str = "toxic") -> Machine:
+    A bucket must occur in ``least`` sampled texts and tell more than ``evident``.
+    """
+    hits, total = F.col("hits"), F.col("total")
+    expected = total * positive / size
+
+    def part(seen: Column, due: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+
+    told = part(hits, expected) + part(total - hits, total - expected)
+    counted = terms.groupBy("bucket").agg(F.sum("label").alias("hits"), F.count("*").alias("total"))
+    return (
+        counted.where(total >= least)
+        .withColumn("told", told)
+        .where(F.col("told") > evident)
+        .orderBy(F.desc("told"), "bucket")
+        .limit(most)
+        .select("bucket")
+    )
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    per_label: int = PER_LABEL,
+    label: str = "toxic",
+    terms: int = 4000,
+    least: int = 4,
+    evident: float = 10.0,
+) -> Machine:
     """Fit on documents whose row of ``labels`` satisfies ``learn``.
 
     Other than 0 and 1, NULL and contradicting labels are passed over, and so are
-    NULL texts. Without usable labels every text gets one low score.
+    NULL texts. Without usable labels every text gets one low score. The driver
+    gets labels and kept buckets of the sample: at most 2 * per_label * terms numbers.
     """
 
     def bags(batches):
         for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "label": batch["label"],
-                    "weight": batch["weight"],
-                    "bag": [np.array(sorted({b for w in words_of(t) for b in buckets_of(w)}), np.int32) for t in batch["text"]],
-                }
-            )
+            found = [sorted({b for w in words_of(text) for b in buckets_of(w)}) for text in batch["text"]]
+            yield batch[["row", "label", "weight"]].assign(bag=found)
 
     texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
-    rows = texts.mapInPandas(bags, "doc_id long, label int, weight double, bag array<int>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    return fit_machine(list(rows["bag"]), rows["label"].to_numpy(float), rows["weight"].to_numpy(float))
+    texts = texts.withColumn("row", F.monotonically_increasing_id())
+    sampled = written(texts.mapInPandas(bags, "row long, label int, weight double, bag array<int>"), "term-bags")
+    heads = sampled.select("row", "label", "weight").orderBy("row").toPandas()
+    y, weights = heads["label"].to_numpy(float), heads["weight"].to_numpy(float)
+    exploded = sampled.select("row", "label", F.explode("bag").alias("bucket"))
+    kept = _telling(exploded, int(y.sum()), max(1, len(y)), terms, least, evident) if len(y) else None
+    buckets = sorted(row["bucket"] for row in kept.collect()) if kept is not None else []
+    if not buckets:
+        return fit_machine([], np.zeros(0, int), np.zeros(0, int), y, weights)
+    session = docs.sparkSession
+    chosen = session.createDataFrame(list(zip(buckets, range(len(buckets)))), "bucket int, place int")
+    pairs = exploded.join(F.broadcast(chosen), "bucket").select("row", "place").toPandas()
+    rows = np.searchsorted(heads["row"].to_numpy(), pairs["row"].to_numpy())
+    return fit_machine(buckets, rows, pairs["place"].to_numpy(), y, weights)
 
 
 def score(machine: Machine, text: Column | str) -> Column:
