@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +75,10 @@ def sample_ids(labels: DataFrame, label: str, learn: Column, per_label: int) ->
 def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """The sampled documents with label and weight; the sample's bound makes the broadcast safe."""
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller parts, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import written
+from smogline.llm.common import slices, written
 
 WORDS_IN_WINDOW = 10
 # Bytes of windows in one automaton; a trie node takes some 30 bytes for each.
@@ -79,7 +79,7 @@ def _windows(items: DataFrame, width: int) -> DataFrame:
     """(window, items): every distinct window with the sorted ids that have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             pairs = [
                 (item, window)
                 for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist())
@@ -155,7 +155,7 @@ def _scan_with(shared):
         spans = [
             pa.list_(pa.struct([(name, pa.int64()) for name in names])) for names in (("first", "last"), ("start", "end"))
         ]
-        for batch in batches:
+        for batch in slices(batches):
             found = [scanner.scan(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import small_or_shuffled, written
+from smogline.llm.common import slices, small_or_shuffled, written
 from smogline.llm.components import connected
 
 WORDS_IN_SHINGLE = 5
@@ -39,22 +39,9 @@ PERCENT = 85
 BANDS = 48
 ROWS = 6
 SKETCH_BITS = 1024
-# Word hashes that a worker remembers.
-CACHE = 1_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -71,7 +58,7 @@ def shingle_set(text: str | None, width: int = WORDS_IN_SHINGLE) -> np.ndarray:
     words = text.encode("utf-8").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     size = min(width, len(words))
     sums = np.full(len(words) - size + 1, size, np.uint64)
     for offset in range(size):
@@ -119,7 +106,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = Signatures()
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text, width)
@@ -147,7 +134,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, shingles) of the wanted documents, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, width).view(np.int64) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]

@@ -31,7 +31,7 @@ PREFIXES = (3, 4, 5, 6)
 # Labelled documents of each label that the machine is fitted on, at most.
 PER_LABEL = 3000
 THRESHOLD = 0.3
-CACHE = 300_000
+CACHE = 200_000
 
 
 def buckets_of(word: str) -> list[int]:
