@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import decision_list, decontaminate, odd_sketch, pii_bootstrap, piece_bpe, rendezvous, toxicity
+from smogline.llm import (
+    decision_list,
+    decontaminate,
+    language_id,
+    odd_sketch,
+    pii_bootstrap,
+    piece_bpe,
+    quality_mil,
+    rendezvous,
+    style_tree,
+    toxicity,
+)
 from smogline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +88,22 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = style_tree.extract(table(spark, folder, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    away = held_out("doc_id", 5, 0)
+    network = quality_mil.fit(docs, table(spark, folder, "labels"), ~away)
+    looked = docs.select("doc_id", away.alias("held_out"), quality_mil.score(network, "text").alias("look"))
+    scored = looked.select("doc_id", "held_out", F.col("look.score").alias("score"), F.col("look.passage").alias("passage"))
+    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
 # CRC-32 by its table, which follows from the polynomial: eight shifts for each byte.
 CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
 
@@ -153,6 +180,15 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
+@query()
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    away = held_out("doc_id", 4, 2)
+    hierarchy = language_id.fit(docs, ~away)
+    found = docs.select("doc_id", away.alias("held_out"), language_id.identify(hierarchy, "text").alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = decision_list.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
