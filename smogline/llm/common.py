@@ -14,6 +14,19 @@ from smogline.scratch import new_folder
 MAX_BROADCAST_ROWS = 500_000
 
 
+# Bytes of a batch on its way to or from a worker. Texts differ in length by
+# orders of magnitude, so a limit by rows would not bound memory.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT = "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small in this session, unless it has a limit of its own."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

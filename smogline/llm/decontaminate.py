@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import slices, written
+from smogline.llm.common import bounded_batches, slices, written
 
 WORDS_IN_WINDOW = 10
 # Bytes of windows in one automaton; a trie node takes some 30 bytes for each.
@@ -118,6 +118,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WORDS_IN_WINDOW,
     item_id add up; without items nothing is hit. Repeated documents are rows
     of their own. Other columns are not looked at.
     """
+    bounded_batches(docs.sparkSession)
     windows = written(_windows(items, width), "windows")
     size = windows.agg(F.coalesce(F.sum(F.octet_length("window") + 16 * F.size("items") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))

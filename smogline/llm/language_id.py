@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smogline.llm.common import bounded_batches
+
 BUCKET_BITS = 11
 BUCKETS = 1 << BUCKET_BITS
 # Documents of each language to fit on at most, and of all together.
@@ -154,6 +156,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, sample
     text has no letter teach nothing. Without documents to learn from everything
     is undetermined.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull())
     languages = rows.agg(F.count_distinct("lang")).first()[0]
     each = min(per_language, max(1, sample // max(1, languages)))

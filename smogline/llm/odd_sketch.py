@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import slices, small_or_shuffled, written
+from smogline.llm.common import bounded_batches, slices, small_or_shuffled, written
 from smogline.llm.components import connected
 
 WORDS_IN_SHINGLE = 5
@@ -185,6 +185,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
     """
     if percent < 80:
         raise ValueError("bands are laid out for similarities of 0.8 and more")
+    bounded_batches(docs.sparkSession)
     profiles = written(_profiles(docs, width), "profiles")
     classes = profiles.where("high is not null and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("id"))
     nodes = written(

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import labelled_texts, sample_ids
+from smogline.llm.common import bounded_batches, labelled_texts, sample_ids
 
 PASSAGE = 2000
 # Labelled documents of each label, and passages of each of them, to fit on at most.
@@ -206,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_
             coded = [encode(text)[:PASSAGES_TO_FIT].ravel() for text in batch["text"]]
             yield batch[["doc_id", "label", "weight"]].assign(bag=coded)
 
+    bounded_batches(docs.sparkSession)
     texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
     rows = texts.mapInPandas(bags, "doc_id long, label int, weight double, bag array<float>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")

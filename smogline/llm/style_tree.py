@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import slices, written
+from smogline.llm.common import bounded_batches, slices, written
 
 DECAY = 0.9
 THRESHOLD = 0.4
@@ -318,6 +318,7 @@ def extract(
     pages have an empty text; pages without a usable URL are judged by names
     alone. Repeated pages are rows of their own. Other columns are not looked at.
     """
+    bounded_batches(pages.sparkSession)
     low = F.greatest("importance", "content") < threshold
     cut = written(tree(pages).where((F.col("pages") >= least_pages) & low).select("host", "path"), "cut-paths")
     sources = pages.select("page_id", "url", "html")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import labelled_texts, sample_ids, written
+from smogline.llm.common import bounded_batches, labelled_texts, sample_ids, written
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -176,6 +176,7 @@ def fit(
             found = [sorted({b for w in words_of(text) for b in buckets_of(w)}) for text in batch["text"]]
             yield batch[["row", "label", "weight"]].assign(bag=found)
 
+    bounded_batches(docs.sparkSession)
     texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
     texts = texts.withColumn("row", F.monotonically_increasing_id())
     sampled = written(texts.mapInPandas(bags, "row long, label int, weight double, bag array<int>"), "term-bags")
