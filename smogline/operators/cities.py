@@ -18,10 +18,13 @@ def fill_countries(lines: DataFrame) -> DataFrame:
     """
     header = F.when(is_header("line"), F.col("line"))
     marked = lines.withColumn("header", header)
-    per_split = marked.groupBy(*FILE_SPLIT).agg(
-        F.max_by("header", F.when(F.col("header").isNotNull(), F.col("row"))).alias("last_header"),
+    # Numbers only are aggregated; the few texts wanted are fetched by their rows.
+    counted = marked.groupBy(*FILE_SPLIT).agg(
+        F.max(F.when(F.col("header").isNotNull(), F.col("row"))).alias("row"),
         F.count_if(F.col("header").isNull()).alias("cities"),
     )
+    headers = marked.filter(F.col("header").isNotNull()).select(*FILE_SPLIT, "row", F.col("header").alias("last_header"))
+    per_split = counted.join(headers, [*FILE_SPLIT, "row"], "left")
     earlier = Window.orderBy(*FILE_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_split.select(
         *FILE_SPLIT,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from smogline.functions.addresses import city_of, country_of
 from smogline.functions.coordinates import coord_key
-from smogline.operators.forecast import parse_json
+from smogline.operators.forecast import INCOMPLETE, MALFORMED, REASON, parse_json
 from smogline.operators.latest import last_write
 from smogline.schemas import CORRUPT, FORWARD_GEOCODE, GEO_DICTIONARY, GEOCODE, LOCALITY_TYPE
 
@@ -26,15 +26,18 @@ def distinct_coords(readings: DataFrame) -> DataFrame:
 def lookup_keys(keys: DataFrame, fetch: Fetch, column: str = "response", parallelism: int | None = None) -> DataFrame:
     """Add a text column that ``fetch`` fills, one Arrow batch of keys at a time.
 
-    ``fetch`` runs on executors and maps a batch of keys to as many texts. It
-    may run again for the same keys when a task is retried. ``parallelism``
+    ``fetch`` runs on executors and maps a batch of keys to as many texts, in
+    the same order; another number of texts is an error. It may run again for the same keys when a task is retried. ``parallelism``
     spreads few keys over many tasks when the wait is for a remote service.
     """
     schema = T.StructType([*keys.schema.fields, T.StructField(column, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(**{column: fetch(batch)})
+            texts = list(fetch(batch))
+            if len(texts) != len(batch):
+                raise ValueError(f"{len(texts)} texts came back for {len(batch)} keys")
+            yield batch.assign(**{column: texts})
 
     spread = keys.repartition(parallelism) if parallelism else keys
     return spread.mapInPandas(run, schema)
@@ -45,14 +48,33 @@ def lookup_saved(keys: DataFrame, responses: DataFrame, on: list[str]) -> DataFr
     return keys.join(responses, on, "left")
 
 
+def parse_responses(responses: DataFrame, text: str = "response") -> DataFrame:
+    """Coordinates, text, ``localities`` and ``reject_reason`` of each response.
+
+    Localities are the results of that type with an address, and their positions.
+    A response has at least one of them or a reason, never both.
+    """
+    parsed = parse_json(responses, text, GEOCODE, ["latitude", "longitude", text])
+    placed = F.transform("results", lambda result, pos: F.struct(pos.alias("result_pos"), result.alias("result")))
+    towns = F.filter(placed, lambda at: F.coalesce(F.array_contains(at.result.types, LOCALITY_TYPE), F.lit(False)))
+    found = parsed.select("latitude", "longitude", text, CORRUPT, "results", towns.alias("towns"))
+    named = F.filter("towns", lambda at: at.result.formatted_address.isNotNull())
+    reason = (
+        F.when(F.col(CORRUPT).isNotNull() | F.col("results").isNull(), MALFORMED)
+        .when(F.col("latitude").isNull() | F.col("longitude").isNull(), INCOMPLETE)
+        .when(F.size("towns") == 0, "no_locality")
+        .when(F.size(named) == 0, "no_address")
+    )
+    return found.select("latitude", "longitude", text, named.alias("localities"), reason.alias(REASON))
+
+
 def geocode_results(responses: DataFrame, text: str = "response", trim: bool = True) -> DataFrame:
-    """One row per result of type locality, with its position among the results.
+    """One row per result of type locality of the accepted responses, with its position among the results.
 
     Several such results of one response stay; see ``build_dictionary``.
     """
-    parsed = parse_json(responses, text, GEOCODE, ["latitude", "longitude", text])
-    results = parsed.select("latitude", "longitude", text, F.posexplode("results").alias("result_pos", "result"))
-    localities = results.filter(F.array_contains("result.types", LOCALITY_TYPE)).select(
+    accepted = parse_responses(responses, text).filter(F.col(REASON).isNull())
+    localities = accepted.select("latitude", "longitude", text, F.inline("localities")).select(
         "latitude",
         "longitude",
         "result_pos",
@@ -65,17 +87,9 @@ def geocode_results(responses: DataFrame, text: str = "response", trim: bool = T
 
 
 def bad_responses(responses: DataFrame, text: str = "response") -> DataFrame:
-    """Responses that are not readable, or hold no locality: their keys stay out of the dictionary."""
-    parsed = parse_json(responses, text, GEOCODE, ["latitude", "longitude", text])
-    has_locality = F.exists("results", lambda result: F.array_contains(result.types, LOCALITY_TYPE))
-    reason = (
-        F.when(F.col(CORRUPT).isNotNull() | F.col("results").isNull(), "malformed")
-        .when(~F.coalesce(has_locality, F.lit(False)), "no_locality")
-    )
-    return (
-        parsed.select("latitude", "longitude", F.col(text).alias("payload"), reason.alias("reject_reason"))
-        .filter(F.col("reject_reason").isNotNull())
-    )
+    """The other responses: not readable, without key, or without a locality that has an address."""
+    rejected = parse_responses(responses, text).filter(F.col(REASON).isNotNull())
+    return rejected.select("latitude", "longitude", F.col(text).alias("payload"), REASON)
 
 
 def build_dictionary(responses: DataFrame, text: str = "response", trim: bool = True) -> DataFrame:

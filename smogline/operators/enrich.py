@@ -17,7 +17,6 @@ def enrich(
     readings: DataFrame,
     dictionary: DataFrame,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    salts: int = 16,
 ) -> DataFrame:
     """Left lookup of each reading; unmatched rows get a ``reject_reason``.
 
@@ -27,32 +26,50 @@ def enrich(
     """
     names = dictionary.select("latitude", "longitude", "city", "country")
     fits = in_memory_bytes(names) <= max_broadcast_bytes
-    return enrich_by_key(readings, by_rounded_key(names), fits, salts)
+    return enrich_by_key(readings, by_rounded_key(names), fits)
 
 
-def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool, salts: int = 16) -> DataFrame:
+def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool) -> DataFrame:
     """The same for a dictionary that has its rounded keys already.
 
-    Without a broadcast, the readings of each station spread over ``salts``
-    tasks, so that a station holding a large part of them is split.
+    An entry without city or country matches nothing: both are parts of a key.
+    Without a broadcast, the stations with most readings are looked up apart.
     """
     keyed = readings.withColumns({"lat_key": coord_key("latitude"), "lon_key": coord_key("longitude")})
-    marked = lookup.withColumn("found", F.lit(True))
-    joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else salted_left_join(keyed, marked, salts)
+    usable = lookup.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
+    marked = usable.withColumn("found", F.lit(True))
+    joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else spread_left_join(keyed, marked)
     reason = F.when(F.col("found").isNull(), UNMATCHED)
     if REASON in readings.columns:
         reason = F.coalesce(REASON, reason)
     return joined.withColumn(REASON, reason).drop("found", *KEYS)
 
 
-def salted_left_join(readings: DataFrame, lookup: DataFrame, salts: int) -> DataFrame:
-    """Left join on the rounded key with each key spread over ``salts`` tasks.
+def spread_left_join(readings: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Left join on the rounded key by shuffle, in which no station fills a task.
 
-    The salt is a hash of the reading itself, so a retried task gets it again.
-    Readings without a key can match nothing; they spread over all tasks.
+    The stations with most readings are counted, twice as many as there are
+    shuffle partitions: any other one has less than half a partition's share.
+    Their entries are that many rows at most, and are broadcast. Readings that
+    these resolve, and readings without a key, then spread by a hash of their
+    content (the same in a retried task) while the rest is joined by key.
     """
-    content = F.xxhash64(*[name for name in readings.columns if name not in KEYS])
+    partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = [name for name in lookup.columns if name not in KEYS]
     has_key = F.col("lat_key").isNotNull() & F.col("lon_key").isNotNull()
-    salt = F.when(has_key, F.pmod(content, F.lit(salts))).otherwise(content)
-    copies = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return readings.withColumn("salt", salt).join(copies, [*KEYS, "salt"], "left").drop("salt")
+    counts = readings.filter(has_key).groupBy(*KEYS).count()
+    top = counts.orderBy(F.desc("count"), *KEYS).limit(2 * partitions).select(*KEYS, F.lit(True).alias("top"))
+    entries = lookup.join(F.broadcast(top.select(*KEYS)), KEYS, "left_semi")
+    frequent = top.join(F.broadcast(entries), KEYS, "left").withColumnsRenamed({name: f"top_{name}" for name in values})
+    content = F.xxhash64(*[name for name in readings.columns if name not in KEYS])
+    alone = F.col("top").isNotNull() | ~has_key
+    first = readings.join(F.broadcast(frequent), KEYS, "left").withColumn(
+        "spread", F.when(alone, content).otherwise(F.xxhash64(*KEYS))
+    )
+    rest = lookup.withColumn("spread", F.xxhash64(*KEYS))
+    rest = rest.withColumnsRenamed({name: f"rest_{name}" for name in rest.columns})
+    same = [F.col(name) == F.col(f"rest_{name}") for name in (*KEYS, "spread")]
+    joined = first.join(rest, same, "left")
+    return joined.select(
+        *readings.columns, *(F.coalesce(f"top_{name}", f"rest_{name}").alias(name) for name in values)
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from smogline.functions.coordinates import address_request, coordinate_request
 from smogline.operators.cities import normalise_cities
@@ -63,7 +64,10 @@ def publish_forecasts(
     path: str | None = None,
     parallelism: int | None = None,
     **options: str,
-) -> None:
-    """Fetch one forecast per station and send the texts on."""
+) -> int:
+    """Fetch one forecast per station and send the texts on; returns how many stations got no answer (NULL)."""
     asked = stations.select("lat", "lon", coordinate_request("lat", "lon", template).alias("request"))
-    publish(lookup_keys(asked, fetch, "value", parallelism), fmt, path, **options)
+    seen = Observation()
+    answers = lookup_keys(asked, fetch, "value", parallelism).observe(seen, F.count_if(F.col("value").isNull()).alias("none"))
+    publish(answers.filter(F.col("value").isNotNull()), fmt, path, **options)
+    return seen.get["none"]

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.schemas import PAYLOAD_POLLUTANTS
-from smogline.sources.tables import spread
 
 # Coordinates by id, in units of the fifth decimal plus 0.03 of one, so that no
 # value lies on a rounding tie; distinct for 10^14 ids. {div} is integer division.
@@ -25,14 +24,23 @@ HOUR = (
 
 # Values of one pollutant; {i} is its place in the payload.
 VALUES = {"value_upm": "value / 2", "pi": "value", "aqi": "value + {i}", "aqi_cn": "value + {i} + 10"}
-# This pollutant comes without the field; `overall` has it, and loses it when enriched.
-WITHOUT_MEASURE = "PM"
+# This pollutant comes without the field; PM and `overall` have it, and lose it when enriched.
+WITHOUT_MEASURE = "NO2"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a plain scan of fewer splits than cores; a larger one stays as it is split.
+
+    For work that costs more than moving the rows, such as making and parsing text.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Events for work on text, on all cores; by default without their own JSON column."""
     return spread(table(spark, folder, "events").select(*(columns or ("event_id", "ts", "user_id", "event_type", "value"))))
@@ -142,12 +150,36 @@ def geocode_responses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spoiled_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses spoiled in five ways, by customer; every sixth is sound."""
+    town = "struct(array('locality') AS types, concat(n_name, ', ', r_name) AS formatted_address)"
+    sound = F.to_json(F.struct(F.expr(f"array({town})").alias("results")))
+    bare = F.to_json(F.struct(F.expr("array(struct(array('locality') AS types))").alias("results")))
+    kind = F.col("c_custkey") % 6
+    text = (
+        F.when(kind == 0, bare)
+        .when(kind == 1, F.replace(sound, F.lit("}]}"), F.lit('},{"types":7,"formatted_address":"Elsewhere, Far"}]}')))
+        .when(kind == 2, F.left(sound, F.lit(20)))
+        .when(kind == 3, F.lit(None))
+        .when(kind == 4, F.replace(sound, F.lit("locality"), F.lit("country")))
+        .otherwise(sound)
+    )
+    return places(spark, folder).select(
+        latitude("c_custkey").alias("latitude"), longitude("c_custkey").alias("longitude"), text.alias("response")
+    )
+
+
 def city_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Nations as upper-case lines, each followed by its customers in order of key."""
+    return city_lines_by_nation(spark, folder).orderBy("n_name", "place").select("line")
+
+
+def city_lines_by_nation(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines with nation and place, unordered."""
     members = places(spark, folder).select(
         "n_name", F.col("c_custkey").alias("place"), F.concat_ws(" ", "c_mktsegment", "c_name").alias("line")
     )
     headers = table(spark, folder, "nation").select(
         "n_name", F.lit(-1).cast("bigint").alias("place"), F.col("n_name").alias("line")
     )
-    return headers.unionByName(members).orderBy("n_name", "place").select("line")
+    return headers.unionByName(members)

@@ -80,7 +80,7 @@ def _sql_fields(columns: dict[str, str], enriched: bool) -> str:
     for place, name in enumerate(PAYLOAD_POLLUTANTS):
         for field in POLLUTANT_FIELDS:
             text = lens.VALUES[field].format(i=place)
-            absent = name in UNMEASURED_POLLUTANTS if enriched else name == lens.WITHOUT_MEASURE
+            absent = name == lens.WITHOUT_MEASURE or enriched and name in UNMEASURED_POLLUTANTS
             if field == "value_upm" and absent:
                 text = "NULL"
             found.append(f"CAST(CAST({text} AS FLOAT) AS DOUBLE) AS {columns[name]}_{field}")
@@ -161,7 +161,8 @@ def station_history_newest_first(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "SELECT event_type, count(*) AS readings, count(value) AS raw_overall,"
-    " CAST(0 AS BIGINT) AS raw_pm, CAST(0 AS BIGINT) AS enriched_overall, CAST(0 AS BIGINT) AS enriched_pm, count(value) AS enriched_ozone FROM events GROUP BY event_type"
+    " count(value) AS raw_pm, CAST(0 AS BIGINT) AS enriched_overall, CAST(0 AS BIGINT) AS enriched_pm,"
+    " CAST(0 AS BIGINT) AS enriched_nitrous, count(value) AS enriched_ozone FROM events GROUP BY event_type"
 )
 def null_value_upm(spark: SparkSession, folder: str) -> DataFrame:
     parsed = accepted(parse_forecast(lens.messages(spark, folder)))
@@ -173,16 +174,41 @@ def null_value_upm(spark: SparkSession, folder: str) -> DataFrame:
         F.count("raw_p").alias("raw_pm"),
         F.count("overall_data.value_upm").alias("enriched_overall"),
         F.count("particulate_matter.value_upm").alias("enriched_pm"),
+        F.count("nitrous_data.value_upm").alias("enriched_nitrous"),
         F.count("ozone_data.value_upm").alias("enriched_ozone"),
     )
 
 
 SQL_OUTCOMES = (
-    "SELECT CASE WHEN event_type IN ('click', 'error') THEN 'malformed'"
-    " WHEN event_type IN ('purchase', 'signup') OR value < 10 THEN 'incomplete' ELSE 'none' END AS reason,"
-    " event_type FROM events"
+    "SELECT *, CASE WHEN event_type IN ('click', 'error') THEN 'malformed'"
+    " WHEN event_type IN ('purchase', 'signup') OR value < 10 THEN 'incomplete' ELSE 'none' END AS reason"
+    f" FROM ({SQL_READINGS})"
 )
 
+# What is left of a spoiled message: which of its coordinates were readable, and a trait of its kept text.
+SQL_SPOILED = (
+    "SELECT event_id, reason, CASE WHEN event_type IN ('purchase', 'view') THEN latitude END AS latitude,"
+    " CASE WHEN event_type = 'view' THEN longitude END AS longitude,"
+    " CASE WHEN reason = 'none' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) END AS overall_pi,"
+    " CASE WHEN reason = 'none' OR event_type = 'signup' THEN NULL WHEN event_type = 'click' THEN '{\"latitude\";'"
+    " WHEN event_type = 'error' THEN '[{\"latitude\"' ELSE '{\"latitude\":' END AS begins,"
+    " CASE WHEN reason = 'none' OR event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN ']'"
+    " ELSE '}' END AS ends"
+    f" FROM ({SQL_OUTCOMES})"
+)
+
+
+def _spoiled_rows(log: DataFrame) -> DataFrame:
+    return log.select(
+        F.col("write_order.pos").alias("event_id"),
+        F.coalesce(REASON, F.lit("none")).alias("reason"),
+        "latitude",
+        "longitude",
+        F.col("overall_data.pi").cast("double").alias("overall_pi"),
+        F.left("payload", F.lit(12)).alias("begins"),
+        F.right("payload", F.lit(1)).alias("ends"),
+    )
+
 
 @query(f"SELECT event_type, reason, count(*) AS n FROM ({SQL_OUTCOMES}) GROUP BY event_type, reason")
 def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,7 +229,7 @@ def unmatched_stations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(SQL_ENRICHED)
-def enriched_by_salted_join(spark: SparkSession, folder: str) -> DataFrame:
+def enriched_by_spread_join(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship as it runs when the dictionary is too large to broadcast."""
     readings = to_geo_columns(parse_forecast(lens.messages(spark, folder)))
     looked_up = accepted(enrich(readings, lens.dictionary(spark, folder), max_broadcast_bytes=0))
@@ -248,9 +274,9 @@ SQL_GEO_DICTIONARY = (
 )
 
 
-def _flat_dictionary(df: DataFrame) -> DataFrame:
+def _flat_dictionary(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
-        "latitude", "longitude", "city", "locality", "country",
+        *more, "latitude", "longitude", "city", "locality", "country",
         jsonpath.get("geometry", "$.location.lat", "bigint").alias("geometry_lat"),
         jsonpath.get("geometry", "$.location.lng", "int").alias("geometry_lng"),
         F.json_array_length(F.get_json_object("rawgeo", "$.results")).alias("n_results"),
@@ -264,15 +290,17 @@ def geo_dictionary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"SELECT {_sql_place('c_custkey')}, pos AS result_pos,"
-    " ' ' || r_name AS country"
+    " CASE WHEN pos = 2 THEN c_name ELSE n_name END AS city,"
+    " CASE WHEN pos = 2 THEN c_name || ', ' || n_name || ', ' || r_name || ',' ELSE n_name || ', ' || r_name END AS locality,"
+    " ' ' || r_name AS country, c_custkey AS geometry_lat, c_nationkey AS geometry_lng,"
+    " CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 2 END AS n_results"
     " FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"
     " CROSS JOIN (VALUES (1), (2)) v(pos)"
     " WHERE c_acctbal >= 0 AND (pos = 1 OR c_mktsegment = 'BUILDING')"
 )
 def geocode_localities(spark: SparkSession, folder: str) -> DataFrame:
     """Every locality result, with the country as it is written after the comma."""
-    results = dictionary.geocode_results(lens.geocode_responses(spark, folder), trim=False)
-    return results.select("latitude", "longitude", "result_pos", "country")
+    return _flat_dictionary(dictionary.geocode_results(lens.geocode_responses(spark, folder), trim=False), "result_pos")
 
 
 @query(
@@ -282,6 +310,21 @@ def geocode_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return dictionary.bad_responses(lens.geocode_responses(spark, folder)).drop("payload")
 
 
+@query(
+    f"SELECT {_sql_place('c_custkey')}, CASE c_custkey % 6 WHEN 0 THEN 'no_address' WHEN 1 THEN 'malformed'"
+    " WHEN 2 THEN 'malformed' WHEN 3 THEN 'malformed' WHEN 4 THEN 'no_locality' END AS reject_reason,"
+    " CASE WHEN c_custkey % 6 = 5 THEN n_name END AS city"
+    " FROM customer JOIN nation ON n_nationkey = c_nationkey"
+)
+def geocode_sound_and_bad(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses without an address, with a second result of a wrong type, broken, NULL, without a town, and sound."""
+    responses = lens.spoiled_responses(spark, folder)
+    rejected = dictionary.bad_responses(responses).withColumn("city", F.lit(None).cast("string"))
+    sound = dictionary.build_dictionary(responses).withColumn(REASON, F.lit(None).cast("string"))
+    wanted = ["latitude", "longitude", REASON, "city"]
+    return rejected.select(*wanted).unionByName(sound.select(*wanted))
+
+
 @query(SQL_GEO_DICTIONARY)
 def dictionary_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     """Two full refreshes; the readers see the second."""
@@ -293,6 +336,33 @@ def dictionary_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_dictionary(tables.read_version(spark, GEO_DICTIONARY, root))
 
 
+def _describe(keys: pd.DataFrame) -> pd.Series:
+    # A geocoder that names places after their degree; no town south of the equator.
+    lat, lon = (np.floor(keys[name]).astype(int).astype(str) for name in ("latitude", "longitude"))
+    address = "Cell " + lat + ", Row " + lat + ", Column " + lon
+    kind = np.where(keys["latitude"] >= 0, "locality", "country")
+    return '{"results":[{"types":["' + pd.Series(kind, keys.index) + '"],"formatted_address":"' + address + '","geometry":{"n":1}}]}'
+
+
+@query(
+    "SELECT latitude, longitude, 'Cell ' || lat AS city, 'Cell ' || lat || ', Row ' || lat || ', Column ' || lon AS locality,"
+    " 'Column ' || lon AS country, '{\"n\":1}' AS geometry,"
+    " '{\"results\":[{\"types\":[\"locality\"],\"formatted_address\":\"Cell ' || lat || ', Row ' || lat || ', Column ' || lon"
+    " || '\",\"geometry\":{\"n\":1}}]}' AS rawgeo"
+    " FROM (SELECT *, CAST(CAST(floor(latitude) AS BIGINT) AS VARCHAR) AS lat,"
+    f" CAST(CAST(floor(longitude) AS BIGINT) AS VARCHAR) AS lon FROM ({SQL_STATIONS})) WHERE latitude >= 0"
+)
+def dictionary_job(spark: SparkSession, folder: str) -> DataFrame:
+    """From readings to a new version of the dictionary, beside an unfinished one that does not count."""
+    root = new_folder(spark, "dictionary")
+    readings = accepted(parse_forecast(lens.messages(spark, folder)))
+    jobs.refresh_dictionary(readings, _describe, root, 3, spark.sparkContext.defaultParallelism)
+    unfinished = tables.read_version(spark, GEO_DICTIONARY, root, 3).withColumn("city", F.lit("unfinished"))
+    writer = unfinished.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer.parquet(f"{root}/{tables.VERSION}=4")
+    return tables.read_version(spark, GEO_DICTIONARY, root)
+
+
 SQL_NEAR = (
     "SELECT c_custkey, c_name, c_custkey // 3 AS place, c_custkey % 3 AS nudge FROM customer"
 )
@@ -400,12 +470,39 @@ def city_list_line(spark: SparkSession, folder: str) -> DataFrame:
     return cities.joined_lines(_normalised(spark, folder))
 
 
-@query(f"SELECT entry FROM ({SQL_ENTRIES})")
+def _numbered(entries: DataFrame) -> DataFrame:
+    """The place of each entry read back: lines before its split, and its place in the split."""
+    in_split = Window.partitionBy(*citylists.FILE_SPLIT).orderBy("row")
+    earlier = Window.orderBy(*citylists.FILE_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = entries.groupBy(*citylists.FILE_SPLIT).agg(F.count("*").alias("n"))
+    before = sizes.select(*citylists.FILE_SPLIT, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = entries.withColumn("place", F.row_number().over(in_split)).join(before, citylists.FILE_SPLIT)
+    return placed.select("entry", (F.col("before") + F.col("place") - 1).alias("pos"))
+
+
+@query(f"SELECT pos, entry FROM ({SQL_ENTRIES})")
 def city_list_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Normalised, written comma-joined, and read back."""
+    """Normalised, written comma-joined, and read back in the same order."""
     source = new_folder(spark, "citylist")
     lens.city_lines(spark, folder).write.text(source)
-    return jobs.normalise_city_file(spark, source, new_folder(spark, "joined")).select("entry")
+    return _numbered(jobs.normalise_city_file(spark, source, new_folder(spark, "joined"))).select("pos", "entry")
+
+
+@query(
+    "SELECT row_number() OVER (ORDER BY file, n_name, c_custkey) - 1 AS pos,"
+    " c_mktsegment || '+' || c_name || '+' || n_name AS entry FROM (SELECT *, CASE WHEN n_name < 'F'"
+    " THEN 'a_rather_long_name' WHEN n_name < 'K' THEN 'b' ELSE 'cc' END AS file FROM customer JOIN nation ON n_nationkey = c_nationkey)"
+)
+def city_list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files follow each other by name, whatever its length, and one of them has lines of another system."""
+    source = new_folder(spark, "citylists")
+    lines = lens.city_lines_by_nation(spark, folder)
+    for name, nations, ending in (
+        ("cc", "n_name >= 'K'", "\n"), ("a_rather_long_name", "n_name < 'F'", "\r\n"), ("b", "n_name >= 'F' AND n_name < 'K'", "\n"),
+    ):
+        part = lines.filter(nations).orderBy("n_name", "place").select("line")
+        part.write.option("lineSep", ending).text(f"{source}/{name}")
+    return cities.normalise_cities(citylists.read_lines(spark, f"{source}/*")).select("pos", "entry")
 
 
 # --- JSON on columns -------------------------------------------------------
@@ -449,12 +546,18 @@ def json_index_get(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id, 3 AS items, 1 AS entries FROM events")
+@query(
+    "SELECT event_id, CAST(3 + event_id % 5 AS INTEGER) AS items, CAST(1 + user_id % 3 AS INTEGER) AS entries FROM events"
+)
 def json_length(spark: SparkSession, folder: str) -> DataFrame:
-    entries = jsonpath.length(jsonpath.get("list", "$[1]"))
-    return _lists(spark, folder).select(
-        "event_id", jsonpath.length("list").alias("items"), entries.alias("entries")
+    """Lists with as many numbers as the id says after three items, the second an object of one to three entries."""
+    numbers = F.expr("repeat(',0', cast(event_id % 5 as int))")
+    extra = F.expr("array_join(transform(sequence(0, cast(user_id % 3 as int)), i -> concat('\"x', i, '\":', i)), ',')")
+    rows = lens.events(spark, folder, "event_id", "user_id").select(
+        "event_id", F.concat(F.lit('["a",{'), extra, F.lit("},[1,2,3,4]"), numbers, F.lit("]")).alias("list")
     )
+    entries = jsonpath.length(jsonpath.get("list", "$[1]"))
+    return rows.select("event_id", jsonpath.length("list").alias("items"), entries.alias("entries"))
 
 
 @query(
@@ -508,21 +611,22 @@ def create_table_if_absent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT fmt, count(*) AS n, max(event_id) AS last_id"
-    " FROM events CROSS JOIN (VALUES ('orc'), ('json'), ('csv')) f(fmt) GROUP BY fmt"
+    "SELECT fmt, event_id, CAST(epoch_us(ts) AS BIGINT) AS micros, user_id, event_type, value, props"
+    " FROM events CROSS JOIN (VALUES ('orc'), ('json'), ('csv')) f(fmt)"
 )
 def read_other_formats(spark: SparkSession, folder: str) -> DataFrame:
-    """One reader for any format: the events written in three others and read back."""
-    events = lens.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
-    counts = []
-    for fmt in ("orc", "json", "csv"):
+    """One reader for any format: the events written in three others and read back, all columns."""
+    events = lens.table(spark, folder, "events")
+    exact = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+    options = {"csv": {"escape": '"', **exact}, "json": exact, "orc": {}}
+    found = []
+    for fmt, how in options.items():
         path = new_folder(spark, fmt)
-        events.write.format(fmt).save(path)
-        names = {"event_id": "event_id"} if fmt != "csv" else {"_c0": "event_id"}
-        back = tables.read_table(spark, path, fmt).withColumnsRenamed(names)
-        last = F.max(F.col("event_id").cast("bigint")).alias("last_id")
-        counts.append(back.agg(F.lit(fmt).alias("fmt"), F.count("*").alias("n"), last))
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+        events.write.format(fmt).options(**how).save(path)
+        back = tables.read_table(spark, path, fmt, events.schema, **how)
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("micros")
+        found.append(back.select(F.lit(fmt).alias("fmt"), "event_id", micros, "user_id", "event_type", "value", "props"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query(
@@ -558,18 +662,17 @@ def files_in_key_order(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _halves(df: DataFrame) -> list[DataFrame]:
-    """Messages before and after the middle of the month; no hour is split over the two."""
-    early = F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
-    return [df.filter(early), df.filter(~early)]
+    """The odd messages, then the even ones: keys recur with other values, and arrival contradicts the order."""
+    return [df.filter(F.col("event_id") % 2 == rest) for rest in (1, 0)]
 
 
-def _two_waves(spark: SparkSession, folder: str, run: Callable[[DataFrame], None]) -> None:
+def _two_waves(spark: SparkSession, folder: str, run: Callable[[DataFrame, int], None]) -> None:
     """Land the messages in two waves, and run the stream to its end after each."""
     landing = new_folder(spark, "landing")
-    for wave in _halves(lens.messages(spark, folder)):
+    for number, wave in enumerate(_halves(lens.messages(spark, folder)), 1):
         wave.select("event_id", "value").write.mode("append").parquet(landing)
         arrived = streams.file_stream(spark, landing, "event_id BIGINT, value STRING")
-        run(streams.numbered_messages(arrived, "value", "event_id"))
+        run(streams.numbered_messages(arrived, "value", "event_id"), number)
 
 
 @query(SQL_RAW)
@@ -577,40 +680,67 @@ def stream_raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The stream is stopped and restarted from its checkpoint between the waves."""
     root, checkpoint = new_folder(spark, "raw"), new_folder(spark, "raw-checkpoint")
     _two_waves(
-        spark, folder, lambda arrived: ingest.raw_ingest(arrived, root, checkpoint, ingest.CATCH_UP).awaitTermination()
+        spark, folder, lambda arrived, _: ingest.raw_ingest(arrived, root, checkpoint, ingest.CATCH_UP).awaitTermination()
     )
     return flat_raw(keyed.current_view(spark, RAW_READINGS, root))
 
 
 @query(SQL_ENRICHED)
 def stream_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream-static join with the dictionary as it was at the start."""
+    """The dictionary as it was at the start."""
     root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
     names = lens.dictionary(spark, folder)
-    _two_waves(
-        spark,
-        folder,
-        lambda arrived: ingest.enriched_stream(arrived, names, root, checkpoint, ingest.CATCH_UP).awaitTermination(),
-    )
+
+    def run(arrived: DataFrame, _: int) -> None:
+        ingest.enriched_stream(arrived, names, root, checkpoint, ingest.CATCH_UP).awaitTermination()
+
+    _two_waves(spark, folder, run)
     return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
 
 
-@query(SQL_ENRICHED)
+@query(
+    f"SELECT city, country, latitude, longitude, timestamp, {_sql_fields(GEO_COLUMNS, True)}"
+    " FROM (SELECT r.*, CASE WHEN event_id % 2 = 1 THEN lower(city) ELSE city END AS city, country"
+    f" FROM ({SQL_READINGS}) r JOIN ({SQL_DICTIONARY}) d ON c_custkey = user_id)"
+    " QUALIFY row_number() OVER (PARTITION BY city, country, timestamp ORDER BY event_id DESC) = 1"
+)
 def stream_enriched_refreshed(spark: SparkSession, folder: str) -> DataFrame:
-    """The dictionary is read again for every micro-batch."""
+    """The dictionary gets another version between the waves, and each wave the names of its own."""
     root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
+    place = new_folder(spark, "dictionary")
+    names = lens.dictionary(spark, folder)
+    for column in set(GEO_DICTIONARY.columns) - set(names.columns):
+        names = names.withColumn(column, F.lit(None).cast("string"))
 
-    def names() -> DataFrame:
-        return lens.dictionary(spark, folder)
+    def run(arrived: DataFrame, wave: int) -> None:
+        called = names.withColumn("city", F.lower("city")) if wave == 1 else names
+        tables.replace_table(called, GEO_DICTIONARY, place, wave)
+        versions = ingest.dictionary_versions(spark, place)
+        ingest.enriched_stream(arrived, versions, root, checkpoint, ingest.CATCH_UP).awaitTermination()
 
-    _two_waves(
-        spark,
-        folder,
-        lambda arrived: ingest.enriched_stream(arrived, names, root, checkpoint, ingest.CATCH_UP).awaitTermination(),
-    )
+    _two_waves(spark, folder, run)
     return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
 
 
+@query(f"SELECT batches, v.* FROM ({SQL_RAW}) v CROSS JOIN (VALUES (1), (2), (5)) b(batches)")
+def raw_in_any_batching(spark: SparkSession, folder: str) -> DataFrame:
+    """The same messages cut into one, two and five batches, against their order, half of them compacted."""
+    rows = to_raw_columns(
+        parse_forecast(streams.numbered_messages(lens.messages(spark, folder), "value", "event_id"))
+    )
+    views = []
+    for count in (1, 2, 5):
+        root = new_folder(spark, "cut")
+        for number in range(count):
+            part = F.pmod(-F.col("write_order.pos"), F.lit(count)) == number
+            keyed.write_batch(rows.filter(part), RAW_READINGS, root, number)
+            if number == count // 2:
+                keyed.compact(spark, RAW_READINGS, root)
+        view = flat_raw(keyed.current_view(spark, RAW_READINGS, root))
+        views.append(view.withColumn("batches", F.lit(count)))
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
 def _spoiled_log(spark: SparkSession, folder: str, times: int) -> str:
     root = new_folder(spark, "replayed")
     rows = to_raw_columns(
@@ -621,33 +751,38 @@ def _spoiled_log(spark: SparkSession, folder: str, times: int) -> str:
     return root
 
 
-@query(f"SELECT reason, count(*) AS n FROM ({SQL_OUTCOMES}) GROUP BY reason")
+@query(SQL_SPOILED)
 def replay_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """A batch written twice counts once, good rows and rejected ones alike."""
-    log = keyed.read_log(spark, RAW_READINGS, _spoiled_log(spark, folder, 2))
-    return log.groupBy(F.coalesce(REASON, F.lit("none")).alias("reason")).agg(F.count("*").alias("n"))
+    return _spoiled_rows(keyed.read_log(spark, RAW_READINGS, _spoiled_log(spark, folder, 2)))
 
 
-@query(f"SELECT reason, count(*) AS n FROM ({SQL_OUTCOMES}) WHERE reason <> 'none' GROUP BY reason")
+@query(
+    f"SELECT reason, latitude, longitude, begins, ends, count(*) AS n FROM ({SQL_SPOILED}) WHERE reason <> 'none'"
+    " GROUP BY reason, latitude, longitude, begins, ends"
+)
 def quarantine_table(spark: SparkSession, folder: str) -> DataFrame:
     rejected = keyed.quarantine(spark, RAW_READINGS, _spoiled_log(spark, folder, 1))
-    return rejected.groupBy(F.col(REASON).alias("reason")).agg(F.count("*").alias("n"))
+    begins, ends = F.left("payload", F.lit(12)).alias("begins"), F.right("payload", F.lit(1)).alias("ends")
+    kinds = rejected.groupBy(F.col(REASON).alias("reason"), "latitude", "longitude", begins, ends)
+    return kinds.agg(F.count("*").alias("n"))
 
 
 @query(SQL_RAW)
 def compacted_view(spark: SparkSession, folder: str) -> DataFrame:
-    """Three batches, the second one a replay of the first, read after compaction and one more replay."""
-    root, target = new_folder(spark, "log"), new_folder(spark, "compacted")
-    early, late = [
+    """Three batches, the second one a replay of the first, read after two compactions and one more replay."""
+    root = new_folder(spark, "log")
+    odd, even = [
         to_raw_columns(parse_forecast(streams.numbered_messages(half, "value", "event_id")))
         for half in _halves(lens.messages(spark, folder))
     ]
-    keyed.write_batch(early, RAW_READINGS, root, 0)
-    keyed.write_batch(early, RAW_READINGS, root, 1)
-    keyed.write_batch(late, RAW_READINGS, root, 2)
-    keyed.compact(spark, RAW_READINGS, root, target)
-    keyed.write_batch(late, RAW_READINGS, target, 2)
-    return flat_raw(keyed.current_view(spark, RAW_READINGS, target))
+    keyed.write_batch(odd, RAW_READINGS, root, 0)
+    keyed.write_batch(odd, RAW_READINGS, root, 1)
+    keyed.compact(spark, RAW_READINGS, root)
+    keyed.write_batch(even, RAW_READINGS, root, 2)
+    keyed.compact(spark, RAW_READINGS, root)
+    keyed.write_batch(even, RAW_READINGS, root, 2)
+    return flat_raw(keyed.current_view(spark, RAW_READINGS, root))
 
 
 @query(
@@ -677,10 +812,10 @@ def dictionary_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def _forecast(keys: pd.DataFrame) -> pd.Series:
     # A forecast service that answers with the coordinates it was asked for.
     found = keys["request"].str.extract(r"lat=(\S+)&lon=(\S+)")
-    return '{"latitude":' + found[0] + ',"longitude":' + found[1] + ',"hourly":[{"timestamp":1499047200,"avg":{}}]}'
+    return '{"latitude":' + found[0] + ',"longitude":' + found[1] + ',"hourly":[{"timestamp":1700000000,"avg":{}}]}'
 
 
-@query(f"SELECT latitude, longitude, CAST(1499047200 AS BIGINT) AS timestamp FROM ({SQL_STATIONS})")
+@query(f"SELECT latitude, longitude, CAST(1700000000 AS BIGINT) AS timestamp FROM ({SQL_STATIONS})")
 def publish_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     """One forecast per station, sent to a text sink and read as messages."""
     path = new_folder(spark, "published")

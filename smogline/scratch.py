@@ -19,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getConf().get(SETTING) or spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(folder)
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")

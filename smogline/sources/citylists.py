@@ -13,15 +13,24 @@ def read_lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFra
 
     A split is read front to back by one task, so the generated id orders its
     lines; splits of a file are ordered by their start. Nothing needs the whole
-    file in one place. Files of a folder follow each other by name.
+    file in one place. Files follow each other by path; the parts of one write
+    by their numbers. Without another separator, lines end as Spark's do, by
+    line feed, carriage return or both.
     """
-    lines = spark.read.option("lineSep", separator).text(path)
-    return lines.select(
+    reader = spark.read if separator == "\n" else spark.read.option("lineSep", separator)
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_extract(file, r"^(.*/)[^/]*$", 1)
+    name = F.regexp_extract(file, r"([^/]*)$", 1)
+    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")
+    return reader.text(path).select(
         F.col("value").alias("line"),
-        # Part numbers of more than five digits sort after shorter ones.
-        F.struct(F.length("_metadata.file_path").alias("width"), F.col("_metadata.file_path").alias("path")).alias(
-            "file"
-        ),
+        # Numbers of more than five digits would sort before shorter ones as text.
+        F.struct(
+            folder.alias("folder"),
+            F.when(part.isNotNull(), F.lit("part-")).otherwise(name).alias("name"),
+            part.alias("part"),
+            file.alias("path"),
+        ).alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("row"),
     )

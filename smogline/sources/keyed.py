@@ -1,52 +1,87 @@
 """Keyed tables as a log of micro-batches, read through a last-write-wins view.
 
-Layout: ``<root>/batch_id=N/outcome=accepted|rejected/*.parquet``. One write per
-batch stores good and rejected rows together, so neither can appear without the
-other and the batch is read and parsed once. A batch writes its own folder in
-overwrite mode: a replay replaces what the first attempt left, also when it
-sorts rows differently because the dictionary has changed in between.
-
-``compact`` moves older batches to ``batch_id=-1/outcome=settled``, one row per
-key. The view then shuffles the writes since, and only scans the settled rows.
+Layout below a root:
+
+- ``log/batch_id=N/outcome=accepted|rejected``: one write per batch stores good
+  and rejected rows together, so neither can appear without the other and the
+  batch is read and parsed once. A batch overwrites its own folder: a replay
+  replaces what the first attempt left.
+- ``settled/upto=B/slice=S``: what batches up to B have settled, one row per
+  key. A slice is a day of the readings, or a part of the keys of a table without
+  time. ``compact`` writes only the slices that the batches since have touched;
+  other slices stay in the generation that wrote them last. A generation counts
+  when it is finished, and is never changed, so readers are not disturbed.
+
+The write with the greatest order wins, whatever batch it came in. Rows without
+an order follow their batches, and go before rows with one; what is equal in all
+that is decided by content. So batches may be cut anywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.operators.forecast import PAYLOAD, REASON
-from smogline.operators.latest import in_key_order, last_write
-from smogline.operators.sizes import MAX_BROADCAST_BYTES, broadcast_if_small
+from smogline.operators.forecast import INCOMPLETE, PAYLOAD, REASON
+from smogline.operators.latest import SECONDS_PER_DAY, last_write
 from smogline.schemas import Table
+from smogline.sources.files import child_folders, finished_numbers
 from smogline.sources.streams import ORDER
 
 BATCH = "batch_id"
 OUTCOME = "outcome"
 ACCEPTED = "accepted"
 REJECTED = "rejected"
-SETTLED = "settled"
-# Before any batch of a stream, and no batch's own folder: a replay cannot replace it.
-SETTLED_BATCH = -1
+SLICE = "slice"
+GENERATION = "upto"
+# Before any batch of a stream: an empty log, and rows that are settled.
+NO_BATCH = -1
 ORDER_TYPE = "STRUCT<at: TIMESTAMP, part: INT, pos: BIGINT>"
+# Slices of a table whose key has no time.
+KEY_SLICES = 64
+# Hash of a row, written with it: ties are decided without reading all columns.
+CONTENT = "content_hash"
+
+
+def _own_schema(table: Table) -> str:
+    return f"{table.ddl}, {ORDER} {ORDER_TYPE}, {CONTENT} BIGINT"
 
 
 def _log_schema(table: Table) -> str:
-    own = f"{table.ddl}, {ORDER} {ORDER_TYPE}, {REASON} STRING, {PAYLOAD} STRING"
-    return f"{own}, {BATCH} BIGINT, {OUTCOME} STRING"
+    return f"{_own_schema(table)}, {REASON} STRING, {PAYLOAD} STRING, {BATCH} BIGINT, {OUTCOME} STRING"
+
+
+def _slice(table: Table) -> Column:
+    if table.newest_first:
+        return F.floor(F.col(table.newest_first) / SECONDS_PER_DAY).cast("bigint")
+    return F.pmod(F.xxhash64(*table.key), F.lit(KEY_SLICES))
 
 
 def create_log(spark: SparkSession, table: Table, root: str) -> None:
     """An empty log that can be read before its first batch; a no-op if there is one."""
     empty = spark.createDataFrame([], _log_schema(table)).drop(BATCH, OUTCOME)
-    empty.write.mode("ignore").parquet(f"{root}/{BATCH}={SETTLED_BATCH}/{OUTCOME}={SETTLED}")
+    empty.write.mode("ignore").parquet(f"{root}/log/{BATCH}={NO_BATCH}/{OUTCOME}={ACCEPTED}")
 
 
 def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
-    """Store one batch; no shuffle, and safe to repeat."""
+    """Store one batch; safe to repeat.
+
+    A row with NULL in its key is rejected as incomplete. Rows are rebalanced on
+    their way, so that a small batch makes one file for each outcome and a large
+    one files of the advisory size, however many tasks it came from.
+    """
+    keyless = F.lit(False)
+    for name in table.key:
+        keyless = keyless | F.col(name).isNull()
+    named = table.select_from(df, ORDER, REASON, PAYLOAD).withColumn(
+        REASON, F.coalesce(REASON, F.when(keyless, INCOMPLETE))
+    )
     outcome = F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED)
-    rows = table.select_from(df, ORDER, REASON, PAYLOAD).withColumn(OUTCOME, outcome)
-    rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(f"{root}/{BATCH}={batch_id}")
+    hashed = named.withColumn(CONTENT, F.xxhash64(*table.columns))
+    rows = hashed.withColumn(OUTCOME, outcome).hint("rebalance", OUTCOME)
+    # Static, whatever the session says: a replay without rejects must remove the first attempt's.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(OUTCOME).parquet(f"{root}/log/{BATCH}={batch_id}")
 
 
 def write_rows(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
@@ -59,15 +94,8 @@ def write_rows(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
 
 
 def read_log(spark: SparkSession, table: Table, root: str) -> DataFrame:
-    """Every stored row, accepted or not, with its batch and order."""
-    return spark.read.schema(_log_schema(table)).parquet(root)
-
-
-def current_view(
-    spark: SparkSession, table: Table, root: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """The table as its users see it: the last accepted write of each key."""
-    return table.select_from(_last_writes(read_log(spark, table, root), table, max_broadcast_bytes))
+    """Every row of every batch, accepted or not, with its batch and order."""
+    return spark.read.schema(_log_schema(table)).parquet(f"{root}/log")
 
 
 def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
@@ -76,37 +104,94 @@ def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
     return table.select_from(rows, REASON, PAYLOAD, BATCH)
 
 
-def compact(
-    spark: SparkSession, table: Table, root: str, target: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
-) -> None:
-    """Write a log anew with all batches but the last settled; the caller switches over.
+def current_view(
+    spark: SparkSession, table: Table, root: str, days: tuple[int, int] | None = None
+) -> DataFrame:
+    """The table as its users see it: the last accepted write of each key.
 
-    The last batch is copied as it is, in a folder of its own: a stream that
-    stopped between its write and its commit runs it once more. Rejected rows
-    are kept; they may have no key, so they are spread evenly and not by range.
+    ``days`` (first and last, since 1970) leaves the other days' folders unread.
+    Building the view only lists folders. Settled rows whose key was not written
+    since are scanned without a shuffle of their own if adaptive execution
+    finds the later keys small; only the others compete with the later writes.
+    """
+    settled, upto = _settled(spark, table, root)
+    later = _accepted(spark, table, root).filter(F.col(BATCH) > upto)
+    if days is not None:
+        if not table.newest_first:
+            raise ValueError(f"{table.name} has no days")
+        later = later.filter(_slice(table).between(*days))
+        settled = settled.filter(F.col(SLICE).between(*days)) if settled is not None else None
+    return table.select_from(_last_writes(settled, later, table))
+
+
+def compact(spark: SparkSession, table: Table, root: str) -> None:
+    """Settle all batches but the last, by rewriting the slices that they touch.
+
+    The last batch stays as it is: a stream that stopped between its write and
+    its commit runs it once more. Settled batches' accepted folders, and
+    generations none of whose slices is the latest, are left for the owner to
+    remove. A compaction that failed leaves nothing that counts.
     """
-    log = read_log(spark, table, root)
-    last_batch = log.agg(F.max(BATCH).alias(BATCH)).first()[BATCH]
-    if last_batch is None:
-        raise ValueError(f"nothing to compact in {root}")
-    only_settled = last_batch == SETTLED_BATCH
-    older = log if only_settled else log.filter(F.col(BATCH) < last_batch)
-    settled = _last_writes(older, table, max_broadcast_bytes).drop(BATCH, OUTCOME)
-    rejected = older.filter(F.col(OUTCOME) == REJECTED).drop(BATCH, OUTCOME)
-    folder = f"{target}/{BATCH}={SETTLED_BATCH}/{OUTCOME}="
-    in_key_order(settled, table.key, table.newest_first).write.mode("overwrite").parquet(folder + SETTLED)
-    rejected.hint("rebalance").write.mode("overwrite").parquet(folder + REJECTED)
-    if not only_settled:
-        write_batch(log.filter(F.col(BATCH) == last_batch), table, target, last_batch)
-
-
-def _last_writes(log: DataFrame, table: Table, max_broadcast_bytes: int) -> DataFrame:
-    """Settled rows whose key was not written since, and the last of the later writes."""
-    settled = log.filter(F.col(OUTCOME) == SETTLED)
-    later = log.filter(F.col(OUTCOME) == ACCEPTED)
-    newest = last_write(later, table.key, [BATCH, ORDER])
-    if settled.isEmpty():
-        return newest
-    # Distinct before measuring: a key written many times counts once.
-    written = broadcast_if_small(later.select(*table.key).distinct(), max_broadcast_bytes)
-    return settled.join(written, list(table.key), "left_anti").select(*log.columns).unionByName(newest)
+    _, upto = _settled(spark, table, root)
+    prefix = f"{BATCH}="
+    batches = [int(name.removeprefix(prefix)) for name in child_folders(spark, f"{root}/log") if name.startswith(prefix)]
+    until = max((number for number in batches if number < max(batches)), default=NO_BATCH)
+    if until <= upto:
+        return
+    later = _accepted(spark, table, root).filter((F.col(BATCH) > upto) & (F.col(BATCH) <= until))
+    # Days or key slices: as many as there are folders.
+    touched = {row[SLICE] for row in later.select(_slice(table).alias(SLICE)).distinct().collect()}
+    before, _ = _settled(spark, table, root, touched)
+    rows = later.drop(OUTCOME)
+    if before is not None:
+        rows = rows.unionByName(before.drop(SLICE).withColumn(BATCH, F.lit(NO_BATCH).cast("bigint")))
+    kept = _newest(rows, table).withColumn(SLICE, _slice(table))
+    inside = [F.col(name) for name in table.key if name != table.newest_first]
+    inside += [F.desc(table.newest_first)] if table.newest_first else []
+    ordered = kept.drop(BATCH).repartitionByRange(SLICE, *inside).sortWithinPartitions(SLICE, *inside)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SLICE).parquet(
+        f"{root}/settled/{GENERATION}={until}"
+    )
+
+
+def _accepted(spark: SparkSession, table: Table, root: str) -> DataFrame:
+    """Accepted rows of all batches with their order."""
+    rows = read_log(spark, table, root).filter(F.col(OUTCOME) == ACCEPTED)
+    return rows.drop(REASON, PAYLOAD)
+
+
+def _settled(
+    spark: SparkSession, table: Table, root: str, only: set[int] | None = None
+) -> tuple[DataFrame | None, int]:
+    """Settled rows, each slice from the last generation that wrote it, and the last batch they cover."""
+    generations = finished_numbers(spark, f"{root}/settled", GENERATION)
+    latest: dict[str, int] = {}
+    for number in generations:
+        for folder in child_folders(spark, f"{root}/settled/{GENERATION}={number}"):
+            if folder.startswith(f"{SLICE}="):
+                latest[folder] = number
+    if only is not None:
+        latest = {folder: number for folder, number in latest.items() if int(folder.split("=")[1]) in only}
+    upto = generations[-1] if generations else NO_BATCH
+    if not latest:
+        return None, upto
+    reader = spark.read.schema(f"{_own_schema(table)}, {GENERATION} BIGINT, {SLICE} BIGINT")
+    paths = [f"{root}/settled/{GENERATION}={number}/{folder}" for folder, number in sorted(latest.items())]
+    return reader.option("basePath", f"{root}/settled").parquet(*paths).drop(GENERATION), upto
+
+
+def _newest(rows: DataFrame, table: Table) -> DataFrame:
+    return last_write(rows, table.key, [ORDER, BATCH, CONTENT])
+
+
+def _last_writes(settled: DataFrame | None, later: DataFrame, table: Table) -> DataFrame:
+    """Settled rows whose key was not written since, and the last writes of the keys that were."""
+    later = later.drop(OUTCOME)
+    if settled is None:
+        return _newest(later, table)
+    key = list(table.key)
+    rows = settled.drop(SLICE).withColumn(BATCH, F.lit(NO_BATCH).cast("bigint"))
+    keys = later.select(*key).distinct()
+    contested = rows.join(keys, key, "left_semi").select(*later.columns).unionByName(later)
+    untouched = rows.join(keys, key, "left_anti").select(*later.columns)
+    return untouched.unionByName(_newest(contested, table))

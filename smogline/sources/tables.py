@@ -4,28 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from smogline.operators.latest import in_key_order
 from smogline.schemas import Table
+from smogline.sources.files import finished_numbers
 
 VERSION = "version"
 
 
-def read_table(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Any batch source by format name and options."""
+def read_table(
+    spark: SparkSession,
+    path: str | None = None,
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
+    **options: str,
+) -> DataFrame:
+    """Any batch source by format name and options; ``schema`` for formats that do not keep one."""
     reader = spark.read.format(fmt).options(**options)
+    reader = reader if schema is None else reader.schema(schema)
     return reader.load(path) if path else reader.load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table of fewer splits than cores; a larger one stays as it is split.
-
-    For work that costs more than moving the rows, such as parsing text.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def sample(df: DataFrame, rows: int = 5, *order: str) -> DataFrame:
     """A few rows to look at; which ones is only fixed when an order is given."""
     return (df.orderBy(*order) if order else df).limit(rows)
@@ -52,9 +52,11 @@ def replace_table(df: DataFrame, table: Table, root: str, version: int) -> None:
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
-    """The greatest version that has files."""
-    files = spark.read.parquet(root).inputFiles()
-    return max(int(name.rsplit(f"/{VERSION}=", 1)[1].split("/", 1)[0]) for name in files)
+    """The greatest version whose write came to its end; only folders are listed."""
+    versions = finished_numbers(spark, root, VERSION)
+    if not versions:
+        raise ValueError(f"no finished version in {root}")
+    return versions[-1]
 
 
 def read_version(spark: SparkSession, table: Table, root: str, version: int | None = None) -> DataFrame:

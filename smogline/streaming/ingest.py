@@ -7,22 +7,28 @@ from the checkpoint, and a batch that runs twice replaces its own folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from smogline.operators.dictionary import by_rounded_key
-from smogline.operators.enrich import enrich, enrich_by_key
+from smogline.operators.enrich import enrich_by_key
 from smogline.operators.forecast import parse_forecast, to_geo_columns, to_raw_columns
-from smogline.operators.sizes import MAX_BROADCAST_BYTES, in_memory_bytes
-from smogline.schemas import ENRICHED_READINGS, RAW_READINGS
+from smogline.operators.sizes import in_memory_bytes
+from smogline.schemas import ENRICHED_READINGS, GEO_DICTIONARY, RAW_READINGS
 from smogline.scratch import shared_folder
 from smogline.sources.keyed import create_log, write_batch
+from smogline.sources.tables import latest_version, read_version
 
 # Fixed value: the pause between micro-batches.
 INTERVAL = {"processingTime": "3 seconds"}
 
+# A stream broadcasts its dictionary anew for every micro-batch, so it takes less
+# than a batch job would: this much is sent in well under one interval.
+STREAM_BROADCAST_BYTES = 32 << 20
+
 # Everything that has arrived, then stop: for backfills and tests.
 CATCH_UP = {"availableNow": True}
 
@@ -40,37 +46,51 @@ def raw_ingest(
     return _start(to_raw_columns(parse_forecast(messages)), store, checkpoint, trigger)
 
 
+@dataclass(frozen=True)
+class Versions:
+    """A dictionary that changes: ``current`` names its version, ``load`` reads the rows of one."""
+
+    current: Callable[[], int]
+    load: Callable[[int], DataFrame]
+
+
+def dictionary_versions(spark: SparkSession, root: str) -> Versions:
+    """The finished versions of a dictionary kept by ``replace_table``."""
+    return Versions(lambda: latest_version(spark, root), lambda version: read_version(spark, GEO_DICTIONARY, root, version))
+
+
 def enriched_stream(
     messages: DataFrame,
-    dictionary: DataFrame | Callable[[], DataFrame],
+    dictionary: DataFrame | Versions,
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_broadcast_bytes: int = STREAM_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Store every reading under its city, country and time.
 
-    A DataFrame is read once, at the start: a stream-static join with the stream
-    on the left. A function is called for each micro-batch instead, which picks
-    up new dictionary versions without a restart.
+    A DataFrame is read once, at the start. Of ``Versions`` the current one is
+    asked for at each micro-batch, and read, merged and measured only when it is
+    another than before.
     """
     create_log(messages.sparkSession, ENRICHED_READINGS, root)
-    parsed = to_geo_columns(parse_forecast(messages))
-
-    if callable(dictionary):
+    kept: dict[int, tuple[DataFrame, bool]] = {}
 
-        def refresh_and_store(batch: DataFrame, batch_id: int) -> None:
-            rows = enrich(batch, dictionary(), max_broadcast_bytes)
-            write_batch(rows, ENRICHED_READINGS, root, batch_id)
+    def lookup(version: int) -> tuple[DataFrame, bool]:
+        if version not in kept:
+            rows = frozen(by_rounded_key(dictionary.load(version) if isinstance(dictionary, Versions) else dictionary))
+            kept.clear()
+            kept[version] = rows, in_memory_bytes(rows) <= max_broadcast_bytes
+        return kept[version]
 
-        return _start(parsed, refresh_and_store, checkpoint, trigger)
+    if not isinstance(dictionary, Versions):
+        lookup(0)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, ENRICHED_READINGS, root, batch_id)
+        rows, fits = lookup(dictionary.current() if isinstance(dictionary, Versions) else 0)
+        write_batch(enrich_by_key(batch, rows, fits), ENRICHED_READINGS, root, batch_id)
 
-    lookup = frozen(by_rounded_key(dictionary))
-    fits = in_memory_bytes(lookup) <= max_broadcast_bytes
-    return _start(enrich_by_key(parsed, lookup, fits), store, checkpoint, trigger)
+    return _start(to_geo_columns(parse_forecast(messages)), store, checkpoint, trigger)
 
 
 def frozen(lookup: DataFrame) -> DataFrame:

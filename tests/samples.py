@@ -2,11 +2,11 @@
 
 import json
 
-PLACE = {"latitude": 48.85, "longitude": 2.294}
+PLACE = {"latitude": 47.25, "longitude": 15.5}
 NAMES = ("PM", "NO2", "PM10", "PM2_5", "O3", "overall")
 
 
-def forecast(latitude=48.85, longitude=2.294, timestamp=1499047200, base=11, without=(), **more):
+def forecast(latitude=47.25, longitude=15.5, timestamp=1700000000, base=11, without=(), **more):
     pollutants = {
         name: {"value_upm": base + i + 0.5, "pi": base + i, "aqi": base + i + 1, "aqi_cn": base + i + 2}
         for i, name in enumerate(NAMES)

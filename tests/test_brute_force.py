@@ -75,7 +75,7 @@ def test_pipeline(spark, seed, max_bytes):
     dictionary = build_dictionary(
         spark.createDataFrame(responses, "latitude DOUBLE, longitude DOUBLE, response STRING")
     )
-    looked_up = enrich(to_geo_columns(parse_forecast(stream)), dictionary, max_bytes, salts=3)
+    looked_up = enrich(to_geo_columns(parse_forecast(stream)), dictionary, max_bytes)
     latest = last_write(accepted(looked_up), ENRICHED_READINGS.key, ["seq"]).collect()
     found = {
         (row.city, row.country, row.timestamp): (

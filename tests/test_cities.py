@@ -88,6 +88,30 @@ def test_many_splits_and_files(spark, tmp_path, small_splits):
     assert max(row.n_entries for row in pieces) == 64
 
 
+def test_files_follow_each_other_by_name(spark, tmp_path):
+    folder = tmp_path / "lists"
+    folder.mkdir()
+    save(folder, "FRANCE\nParis\n", "a_long_name.txt")
+    save(folder, "Lyon\nSPAIN\nMadrid\n", "b.txt")
+    rows = normalise_cities(read_lines(spark, str(folder))).orderBy("pos").collect()
+    assert [row.entry for row in rows] == ["Paris+FRANCE", "Lyon+FRANCE", "Madrid+SPAIN"]
+
+
+def test_parts_of_a_write_follow_their_numbers(spark, tmp_path):
+    folder = tmp_path / "lists"
+    folder.mkdir()
+    for number in (99999, 100000, 7):
+        save(folder, f"Town {number}\n", f"part-{number:05d}-x.txt")
+    rows = normalise_cities(read_lines(spark, str(folder))).orderBy("pos").collect()
+    assert [row.city for row in rows] == ["Town 7", "Town 99999", "Town 100000"]
+
+
+def test_lines_of_another_system(spark, tmp_path):
+    (tmp_path / "dos.txt").write_bytes(b"FRANCE\r\nParis\r\nLyon\r\n")
+    rows = normalise_cities(read_lines(spark, str(tmp_path / "dos.txt"))).orderBy("pos").collect()
+    assert [row.entry for row in rows] == ["Paris+FRANCE", "Lyon+FRANCE"]
+
+
 def test_city_before_any_country(spark, tmp_path):
     rows = fill_countries(read_lines(spark, save(tmp_path, "Lost\nPERU\nLima"))).orderBy("pos").collect()
     assert [(row.city, row.country) for row in rows] == [("Lost", None), ("Lima", "PERU")]

@@ -8,7 +8,7 @@ from smogline.functions.coordinates import address_request, coord_key, coordinat
 @pytest.mark.parametrize(
     ("degrees", "key"),
     [
-        (48.85, "48.85"),
+        (47.25, "47.25"),
         (-122.4194155, "-122.41942"),
         # The double nearest to 0.123455 lies below the tie, the one nearest to 1.000005 above.
         (0.123455, "0.12345"),
@@ -46,10 +46,10 @@ def test_tie_next_to_zero_is_zero(spark):
 
 
 def test_requests(spark):
-    rows = spark.createDataFrame([(48.85, 2.294, "Buenos+Aires+ARGENTINA")], "lat DOUBLE, lon DOUBLE, entry STRING")
+    rows = spark.createDataFrame([(47.25, 15.5, "Buenos+Aires+ARGENTINA")], "lat DOUBLE, lon DOUBLE, entry STRING")
     row = rows.select(
         coordinate_request("lat", "lon", "json?latlng={lat},{lon}").alias("a"),
         address_request("entry", "json?address={address}").alias("b"),
     ).first()
-    assert row.a == "json?latlng=48.85,2.294"
+    assert row.a == "json?latlng=47.25,15.5"
     assert row.b == "json?address=Buenos+Aires+ARGENTINA"

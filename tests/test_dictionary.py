@@ -45,14 +45,13 @@ def test_locality_results_only(spark):
         ("Graz, Styria, Austria,,", "Graz", " Austria"),
         (", Nowhere", "", " Nowhere"),
         ("", "", ""),
-        (None, None, None),
     ],
 )
 def test_address_parts(spark, address, city, country):
     row = build_dictionary(responses(spark, response(result(address, "locality"))), trim=False).first()
     assert (row.city, row.country) == (city, country)
     trimmed = build_dictionary(responses(spark, response(result(address, "locality")))).first()
-    assert trimmed.country == (country.strip() if country is not None else None)
+    assert trimmed.country == country.strip()
 
 
 def test_last_locality_wins_and_rejects_are_reported(spark):
@@ -71,6 +70,37 @@ def test_last_locality_wins_and_rejects_are_reported(spark):
     assert reasons == {1.0: "no_locality", 2.0: "no_locality", 3.0: "malformed", 4.0: "malformed", 5.0: "malformed"}
 
 
+def test_responses_are_accepted_or_rejected_never_both(spark):
+    wrong_type = response(result("A, X", "locality"))[: -len(', "status": "OK"}') - 1] + ', {"types": 7}]}'
+    rows = responses(
+        spark,
+        response(result("A, X", "locality")),
+        wrong_type,
+        response(result(None, "locality")),
+        response(result(None, "locality"), result("B, Y", "locality"), result(None, "locality")),
+        "{bad",
+        None,
+        "[]",
+    ).unionByName(
+        spark.createDataFrame([(None, 2.0, response(result("A, X", "locality")))], "latitude DOUBLE, longitude DOUBLE, response STRING")
+    )
+    accepted = {row.latitude: row.city for row in build_dictionary(rows).collect()}
+    rejected = {row.latitude: row.reject_reason for row in bad_responses(rows).collect()}
+    assert accepted == {0.0: "A", 3.0: "B"}
+    assert rejected == {
+        1.0: "malformed", 2.0: "no_address", 4.0: "malformed", 5.0: "malformed", 6.0: "malformed", None: "incomplete"
+    }
+
+
+def test_short_answer_is_an_error(spark):
+    keys = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "latitude DOUBLE").coalesce(1)
+    with pytest.raises(Exception, match="1 texts came back for 3 keys"):
+        lookup_keys(keys, lambda batch: pd.Series(["only"])).collect()
+    # Texts are taken in order, whatever their labels.
+    shuffled = lookup_keys(keys, lambda batch: pd.Series(["a", "b", "c"], index=[2, 0, 1])).collect()
+    assert [(row.latitude, row.response) for row in shuffled] == [(1.0, "a"), (2.0, "b"), (3.0, "c")]
+
+
 def test_rounded_duplicates_keep_the_greatest_coordinate(spark):
     rows = spark.createDataFrame(
         [

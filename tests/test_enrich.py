@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from smogline.operators.enrich import enrich
 from smogline.operators.sizes import in_memory_bytes
 from tests.samples import plan
@@ -33,12 +35,37 @@ def test_matched_unmatched_and_rejected(spark):
     assert found[560].reject_reason == "unmatched" and found[560].latitude == 60.5000001
 
 
-def test_salted_join_gives_the_same_rows(spark):
+def test_spread_join_gives_the_same_rows(spark):
     small = enrich(mixed(spark), dictionary(spark))
-    large = enrich(mixed(spark), dictionary(spark), max_broadcast_bytes=100, salts=4)
+    large = enrich(mixed(spark), dictionary(spark), max_broadcast_bytes=100)
     assert Counter(small.collect()) == Counter(large.select(small.columns).collect())
 
 
+def test_spread_join_splits_a_busy_station(spark):
+    rows = [(i, 3.5, -3.5, None, None) for i in range(2000)]
+    rows += [(2000 + i, i % 50 + 0.5, -(i % 50) - 0.5, None, None) for i in range(2000)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = enrich(readings(spark, rows), dictionary(spark), max_broadcast_bytes=0)
+        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    # Eight partitions; the station alone would fill more than half of the rows of one.
+    assert sum(sizes) == 4000 and max(sizes) < 0.25 * 4000
+
+
+def test_entry_without_city_or_country_matches_nothing(spark):
+    names = spark.createDataFrame(
+        [(3.5, -3.5, None, "land"), (7.5, -7.5, "city", None)], dictionary(spark).schema
+    )
+    rows = readings(spark, [(1, 3.5, -3.5, None, None), (2, 7.5, -7.5, None, None)])
+    for bound in (1 << 20, 0):
+        assert [row.reject_reason for row in enrich(rows, names, bound).collect()] == ["unmatched"] * 2
+
+
 def test_broadcast_only_within_the_bound(spark):
     names = dictionary(spark)
     size = in_memory_bytes(names)
@@ -49,7 +76,8 @@ def test_broadcast_only_within_the_bound(spark):
         over = plan(enrich(mixed(spark), names, size - 1))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" not in over and "salt" in over
+    # Only the entries of the busiest stations are broadcast.
+    assert "SortMergeJoin LeftOuter" in over and "spread" in over
 
 
 def test_empty_dictionary(spark):

@@ -13,8 +13,8 @@ def parse(spark, *texts):
 
 
 def test_first_hour_of_a_good_payload(spark):
-    row = parse(spark, forecast(timestamp=1499047200)).first()
-    assert (row.latitude, row.longitude, row.timestamp) == (48.85, 2.294, 1499047200)
+    row = parse(spark, forecast(timestamp=1700000000)).first()
+    assert (row.latitude, row.longitude, row.timestamp) == (47.25, 15.5, 1700000000)
     assert row.PM.asDict() == {"value_upm": 11.5, "pi": 11.0, "aqi": 12.0, "aqi_cn": 13.0}
     assert row.overall.pi == 16.0
     assert row.reject_reason is None and row.payload is None
@@ -25,9 +25,9 @@ def test_later_hours_need_not_fit(spark):
     tree["hourly"][1] = {"timestamp": "soon", "avg": [1]}
     tree["hourly"].append(5)
     row = parse(spark, json.dumps(tree)).first()
-    assert row.reject_reason is None and row.timestamp == 1499047200
+    assert row.reject_reason is None and row.timestamp == 1700000000
     assert row.PM.asDict() == {"value_upm": 20.5, "pi": 20.0, "aqi": 21.0, "aqi_cn": 22.0}
-    assert (row.latitude, row.longitude, row.overall.pi) == (48.85, 2.294, 25.0)
+    assert (row.latitude, row.longitude, row.overall.pi) == (47.25, 15.5, 25.0)
     # The hour that is read has to fit, and the text has to be JSON to its end.
     tree["hourly"][0]["avg"]["PM"]["pi"] = "many"
     assert parse(spark, json.dumps(tree)).first().reject_reason == "malformed"

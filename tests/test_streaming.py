@@ -37,7 +37,7 @@ def raw_view(spark, folders):
     return {row.latitude: row.pm_data.pi for row in rows}
 
 
-def test_restart_continues_and_later_batches_win(spark, folders):
+def test_restart_continues_and_order_decides(spark, folders):
     land(spark, folders, (1, forecast(1.0, base=1)), (2, forecast(2.0, base=2)), (3, "{bad"))
     ingest_raw(spark, folders)
     land(spark, folders, (1, forecast(2.0, base=5)), (2, None))
@@ -45,7 +45,7 @@ def test_restart_continues_and_later_batches_win(spark, folders):
     ingest_raw(spark, folders)
     log = keyed.read_log(spark, RAW_READINGS, folders["root"])
     assert log.count() == 5 and log.select("batch_id").distinct().count() == 2
-    assert raw_view(spark, folders) == {1.0: 1.0, 2.0: 5.0}
+    assert raw_view(spark, folders) == {1.0: 1.0, 2.0: 2.0}
     assert keyed.quarantine(spark, RAW_READINGS, folders["root"]).count() == 2
 
 
@@ -67,7 +67,7 @@ def test_batch_that_ran_without_being_committed_runs_again(spark, folders, tmp_p
 
 @pytest.mark.parametrize("max_bytes", [1 << 20, 0])
 def test_enriched_stream_keeps_unmatched_and_bad_rows(spark, folders, max_bytes):
-    names = spark.createDataFrame([(1.0, 2.294, "One", "Land")], NAMES)
+    names = spark.createDataFrame([(1.0, 15.5, "One", "Land")], NAMES)
     land(spark, folders, (1, forecast(1.0)), (2, forecast(2.0)), (3, "{bad"))
     query = ingest.enriched_stream(
         arriving(spark, folders), names, folders["root"], folders["checkpoint"], ingest.CATCH_UP, max_bytes
@@ -81,7 +81,7 @@ def test_enriched_stream_keeps_unmatched_and_bad_rows(spark, folders, max_bytes)
 
 
 def test_stations_of_one_city_share_a_row(spark, folders):
-    names = spark.createDataFrame([(1.0, 2.294, "One", "Land"), (1.1, 2.294, "One", "Land")], NAMES)
+    names = spark.createDataFrame([(1.0, 15.5, "One", "Land"), (1.1, 15.5, "One", "Land")], NAMES)
     land(spark, folders, (1, forecast(1.1, base=1)), (2, forecast(1.0, base=2)))
     ingest.enriched_stream(
         arriving(spark, folders), names, folders["root"], folders["checkpoint"], ingest.CATCH_UP
@@ -92,30 +92,40 @@ def test_stations_of_one_city_share_a_row(spark, folders):
 
 @pytest.mark.parametrize("refreshed", [False, True])
 def test_dictionary_is_frozen_or_refreshed(spark, folders, refreshed):
+    loads = []
+    current = [1]
+
     def save(*rows):
         spark.createDataFrame(list(rows), NAMES).write.mode("overwrite").parquet(folders["names"])
 
-    def names():
+    def names(version=1):
+        loads.append(version)
         return spark.read.parquet(folders["names"])
 
-    save((1.0, 2.294, "Old", "Land"))
+    save((1.0, 15.5, "Old", "Land"))
     land(spark, folders, (1, forecast(1.0, timestamp=3600)))
     query = ingest.enriched_stream(
         arriving(spark, folders),
-        names if refreshed else names(),
+        ingest.Versions(lambda: current[0], names) if refreshed else names(),
         folders["root"],
         folders["checkpoint"],
         {"processingTime": "0 seconds"},
     )
     try:
         query.processAllAvailable()
-        save((1.0, 2.294, "New", "Land"))
-        land(spark, folders, (2, forecast(1.0, timestamp=7200)))
+        # Another micro-batch of the same version does not read the dictionary.
+        land(spark, folders, (2, forecast(1.0, timestamp=5400)))
+        query.processAllAvailable()
+        assert loads == [1]
+        save((1.0, 15.5, "New", "Land"))
+        current[0] = 2
+        land(spark, folders, (3, forecast(1.0, timestamp=7200)))
         query.processAllAvailable()
     finally:
         query.stop()
+    assert loads == ([1, 2] if refreshed else [1])
     rows = keyed.current_view(spark, ENRICHED_READINGS, folders["root"]).collect()
-    assert {row.timestamp: row.city for row in rows} == {3600: "Old", 7200: "New" if refreshed else "Old"}
+    assert {row.timestamp: row.city for row in rows} == {3600: "Old", 5400: "Old", 7200: "New" if refreshed else "Old"}
 
 
 def test_log_can_be_read_before_the_first_batch(spark, folders):

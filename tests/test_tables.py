@@ -1,6 +1,7 @@
 import pytest
 
 from smogline import scratch
+from smogline.plans import lens
 from smogline.plans.jobs import publish_forecasts
 from smogline.schemas import ENRICHED_READINGS, RAW_READINGS, STATIONS
 from smogline.sources import streams, tables
@@ -47,10 +48,10 @@ def test_version_can_be_derived_from_the_one_before(spark, tmp_path):
 
 
 def test_published_text(spark, tmp_path):
-    stations = tables.fixture(spark, [(48.85, 2.294)], STATIONS)
+    stations = tables.fixture(spark, [(47.25, 15.5)], STATIONS)
     path = str(tmp_path / "sent")
     publish_forecasts(stations, lambda keys: keys["request"].str.upper(), "lat={lat}&lon={lon}", "text", path)
-    assert [row.value for row in spark.read.text(path).collect()] == ["LAT=48.85&LON=2.294"]
+    assert [row.value for row in spark.read.text(path).collect()] == ["LAT=47.25&LON=15.5"]
     with pytest.raises(Exception, match="(?i)kafka"):
         streams.publish_to_kafka(spark.read.text(path), "localhost:1", "readings")
 
@@ -64,6 +65,25 @@ def test_scratch_follows_the_session(spark, tmp_path):
 def test_small_tables_use_all_cores(spark):
     rows = spark.range(10).coalesce(1)
     cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(rows).rdd.getNumPartitions() == cores
+    assert lens.spread(rows).rdd.getNumPartitions() == cores
     wide = spark.range(0, 10, 1, cores + 1)
-    assert tables.spread(wide) is wide
+    assert lens.spread(wide) is wide
+
+
+def test_unfinished_version_is_not_chosen(spark, tmp_path):
+    root = tmp_path / "stations"
+    with pytest.raises(ValueError, match="no finished version"):
+        tables.latest_version(spark, str(root))
+    for version in (1, 2):
+        tables.replace_table(tables.fixture(spark, [(float(version), 0.0)], STATIONS), STATIONS, str(root), version)
+    (root / "version=2" / "_SUCCESS").unlink()
+    assert [row.lat for row in tables.read_version(spark, STATIONS, str(root)).collect()] == [1.0]
+
+
+def test_stations_without_an_answer_are_counted(spark, tmp_path):
+    stations = tables.fixture(spark, [(1.5, 2.5), (3.5, 4.5)], STATIONS)
+    path = str(tmp_path / "sent")
+    missing = publish_forecasts(
+        stations, lambda keys: [None if "1.5" in key else key for key in keys["request"]], "{lat},{lon}", "text", path
+    )
+    assert missing == 1 and [row.value for row in spark.read.text(path).collect()] == ["3.5,4.5"]
