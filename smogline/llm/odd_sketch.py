@@ -237,7 +237,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
     all_labels = connected(links.unionByName(more))
 
     named = classes.join(all_labels, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"))
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return profiles.join(named, ["high", "low"], "left").select(
         "doc_id",
         "n_shingles",

@@ -1,0 +1,87 @@
+import pytest
+from pyspark.sql import functions as F
+
+from smogline.llm.decontaminate import LOWER, WORD, find_leaks, windows_of
+
+DOCS = "doc_id BIGINT, text STRING"
+ITEMS = "item_id BIGINT, text STRING"
+ITEM = "One two three four five six seven eight nine ten eleven twelve."
+
+
+def leaks(spark, docs, items, **options):
+    found = find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), **options)
+    return {row.doc_id: row for row in found.collect()}
+
+
+def brute(text, items):
+    """Number of words, numbers of hit words, items."""
+    words = WORD.findall((text or "").translate(LOWER))
+    hit, named = set(), set()
+    for item, source in items:
+        for window in {tuple(w.split()) for w in windows_of(source)}:
+            for start in range(len(words) - len(window) + 1):
+                if tuple(words[start : start + len(window)]) == window:
+                    hit |= set(range(start, start + len(window)))
+                    named.add(str(item))
+    return len(words), hit, sorted(named)
+
+
+def test_offsets_lead_back_to_the_text(spark):
+    text = "Intro — " + ITEM.upper() + " Coda"
+    row = leaks(spark, [(1, text)], [(7, ITEM)])[1]
+    # The dash is a word: everything beyond ASCII is.
+    assert row.n_words == 15 and [(r["first"], r["last"]) for r in row.hit_words] == [(2, 14)]
+    assert [text[s["start"] : s["end"]] for s in row.hit_spans] == [ITEM.upper()[:-1]]
+    assert row["items"] == ["7"]
+
+
+def test_windows():
+    assert len(windows_of(ITEM)) == 3
+    assert windows_of("Short, item!") == ["short item"] and windows_of("...") == [] and windows_of(None) == []
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 200])
+def test_equals_brute_force(spark, block_bytes):
+    items = [
+        (1, ITEM),
+        (2, "short item"),
+        (3, "item"),
+        (1, "another text of the first item that is long enough for a window"),
+        (4, None),
+        (5, "?!"),
+        (6, " ".join(["la"] * 11)),
+        (10, "Été à l'île"),
+        (None, "nobody"),
+    ]
+    texts = [
+        None,
+        "",
+        "  \n ",
+        ITEM,
+        ITEM + " " + ITEM,
+        "x " + " ".join(ITEM.split()[:9]),
+        "a short item, short items, shortitem",
+        "nobody",
+        "la " * 25,
+        "ÉTÉ à l'ÎLE and été à l'île",
+        "one two three four five six seven eight nine ten of the first item that is long enough for a window item",
+        "word " * 5000 + ITEM + " tail" * 5000,
+    ]
+    docs = [(i, text) for i, text in enumerate(texts)]
+    found = leaks(spark, docs, items, block_bytes=block_bytes)
+    named = [item for item in items if item[0] is not None]
+    for i, text in docs:
+        words, hit, items_hit = brute(text, named)
+        row = found[i]
+        assert (row.n_words, row["items"]) == (words, items_hit), i
+        assert {n for run in row.hit_words for n in range(run["first"], run["last"])} == hit, i
+
+
+def test_repeated_rows_empty_tables_and_other_columns(spark):
+    docs = spark.createDataFrame([(1, ITEM), (1, ITEM), (None, ITEM)], DOCS)
+    docs = docs.withColumns({"items": F.lit(1), "row": F.lit("x"), "window": F.lit(2)})
+    items = spark.createDataFrame([(1, ITEM)], ITEMS).withColumn("row", F.lit(3))
+    rows = find_leaks(docs, items).collect()
+    assert sorted((row.doc_id or 0, len(row.hit_spans)) for row in rows) == [(0, 1), (1, 1), (1, 1)]
+    assert find_leaks(docs.limit(0), items).count() == 0
+    assert [row["items"] for row in find_leaks(docs, items.limit(0)).collect()] == [[], [], []]
