@@ -7,13 +7,14 @@
    differ, and is precise where similarity is high.
 2. Equal sets are one class, named after its least document; only classes go on.
    So copies are linked by one aggregation, however many there are.
-3. Every class is paired with one pivot per band it shares with others, another
-   class for each band, so pairs grow with the classes and not with the square
-   of a group. Sketches throw out the pairs that cannot reach the threshold.
-4. The best pair of each class is confirmed on the full sets, and the links make
-   components. Whatever still shares a band across two components is then paired
-   in full, sifted by sketches inside the join, and confirmed, so that no link
-   is lost to the choice of pivots.
+3. Bands have pivots, and every class is paired with the pivot that it shares
+   most bands with, so pairs grow with the classes and not with the square of a
+   group. Sketches throw out the pairs that cannot reach the threshold; the rest
+   is confirmed on the full sets, and the links make components. A second round
+   does the same with other pivots, for classes of different components.
+4. Whatever still shares a band across two components is then paired in full,
+   sifted by sketches inside the join, and confirmed, so that no link is lost to
+   the choice of pivots.
 
 With 48 bands of 6 rows, two sets at a similarity of 0.85 share no band once in
 10^10 pairs, and the sketch's bound lies 6.5 standard deviations out.
@@ -39,6 +40,8 @@ PERCENT = 85
 BANDS = 48
 ROWS = 6
 SKETCH_BITS = 1024
+# Two orders of ids, by XOR with these, that bands take their pivots from.
+ORDERS = (0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -172,6 +175,53 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
+def _labelled(crowded: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """band, id, component: an id without links is its own."""
+    if labels is None:
+        return crowded.select("band", "id", F.col("id").alias("component"))
+    return crowded.join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
+
+
+def _with_pivots(crowded: DataFrame, labels: DataFrame | None, order: int) -> DataFrame:
+    """(a, b): each class b with one pivot a of another component, the one it shares most bands with.
+
+    A band's pivot is the first of its classes in one order of all ids, so the
+    bands of a group agree on few pivots.
+    """
+    rows = _labelled(crowded, labels)
+    pivots = rows.groupBy("band").agg(
+        F.min(F.col("id").bitwiseXOR(F.lit(order))).bitwiseXOR(F.lit(order)).alias("pivot")
+    )
+    owners = rows.select("band", F.col("id").alias("pivot"), F.col("component").alias("owner"))
+    shared = rows.join(pivots.join(owners, ["band", "pivot"]), "band").where("component <> owner")
+    counted = shared.groupBy("id", "pivot").agg(F.count("*").alias("bands"))
+    best = counted.groupBy("id").agg(F.max_by("pivot", F.struct("bands", "pivot")).alias("a"))
+    return written(best.select("a", F.col("id").alias("b")), "pivot-pairs")
+
+
+def _sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow a link."""
+    marks = nodes.select("id", "n", "sketch")
+    both = pairs.join(_side(marks, "a"), "a").join(_side(marks, "b"), "b")
+    return written(both.where(_near(percent)).select("a", "b"), "likely-pairs")
+
+
+def _across(crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Every pair that shares a band and may be linked, but is not in one component.
+
+    A pair comes out once, at the first band it shares.
+    """
+    rows = _labelled(crowded, labels)
+    split = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    members = rows.join(split.select("band"), "band", "left_semi").join(nodes, "id")
+    members = written(members.select("id", "band", "component", "n", "sketch", "bands"), "open-bands")
+    left = members.toDF("a", "band", "part_a", "n_a", "sketch_a", "bands_a")
+    right = members.toDF("b", "band", "part_b", "n_b", "sketch_b", "bands_b")
+    first_shared = F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("band")
+    apart = (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b"))
+    return left.join(right, "band").where(apart & _near(percent) & first_shared).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_IN_SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -194,45 +244,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         ),
         "classes",
     )
-    marks = nodes.select("id", "n", "sketch")
     members = nodes.select("id", F.explode("bands").alias("band"))
-    # The pivot of a band is the class whose id, XORed with the band's key, is least.
-    scrambled = F.col("id").bitwiseXOR(F.col("band"))
+    # Bands of more than one class: the other ones link nothing.
     shared = written(
-        members.groupBy("band")
-        .agg(F.min(scrambled).alias("first"), F.max(scrambled).alias("last"))
-        .where("first <> last")
-        .select("band", F.col("first").bitwiseXOR(F.col("band")).alias("pivot")),
+        members.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("band"),
         "shared-bands",
     )
     crowded = written(members.join(small_or_shuffled(shared), "band"), "crowded-bands")
-    stars = written(
-        crowded.where("id <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-        .distinct()
-        .join(_side(marks, "a"), "a")
-        .join(_side(marks, "b"), "b")
-        .where(_near(percent))
-        .select("a", "b", _distance("sketch_a", "sketch_b").alias("distance")),
-        "star-pairs",
-    )
-    best = stars.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
-    links = written(_confirmed(docs, best.select("a", "b"), percent, width), "links")
-    labels = written(connected(links), "labels")
-
-    # Bands that still hold two components, and the pairs across them.
-    labelled = crowded.join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_members = written(labelled.join(split.select("band"), "band", "left_semi").join(marks, "id"), "open-bands")
-    across = (
-        open_members.toDF("a", "band", "part_a", "n_a", "sketch_a")
-        .join(open_members.toDF("b", "band", "part_b", "n_b", "sketch_b"), "band")
-        .where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _near(percent))
-        .select("a", "b")
-        .distinct()
-        .join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    rest = written(across, "open-pairs")
+    links = labels = None
+    for order in ORDERS:
+        pairs = _with_pivots(crowded, labels, order)
+        found = _confirmed(docs, _sifted(pairs, nodes, percent), percent, width)
+        links = written(found if links is None else links.unionByName(found), "links")
+        labels = written(connected(links), "labels")
+    rest = written(_across(crowded, labels, nodes, percent), "open-pairs")
     more = _confirmed(docs, rest, percent, width)
     all_labels = connected(links.unionByName(more))
 
