@@ -74,6 +74,8 @@ UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+")
 NUMBER = re.compile(r"\d+")
+# In names, longer numbers are ids of single pages.
+RUNNING = re.compile(r"\d{3,}")
 
 
 @dataclass
@@ -174,7 +176,7 @@ class Page:
         if tag not in INLINE:
             self.close_implied(tag)
             top = self.stack[-1]
-        name = ".".join([tag, *sorted(NUMBER.sub("0", f"{pairs.get('class', '')} {pairs.get('id', '')}").split())])
+        name = ".".join([tag, *sorted(RUNNING.sub("0", f"{pairs.get('class', '')} {pairs.get('id', '')}").split())])
         if not top.children or top.children[-1] != name:
             top.children.append(name)
         self.stack.append(Element(tag, f"{top.path}>{name}", noise, top.main or tag in MAIN or pairs.get("role") == "main"))

@@ -1,0 +1,131 @@
+import collections
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from smogline.llm import decision_list as rules
+from smogline.llm.rendezvous import greatest_draw, place
+from tests.samples import plan
+
+DOCS = "doc_id BIGINT, text STRING"
+TEXTS = [
+    None, "", " \n\t", "a", "a a a a", "a b c a b c", "a b c d a b c e a b c", "x\n\nx\n x\ny\x0by\nx", "# $$ <é> | &", "É À b",
+    "la " * 3000, "\n".join(["same line"] * 50), "a b a b a b a", "😀 😀 😀 😀",
+]
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = collections.Counter(zip(words, words[1:], words[2:]))
+    repeated = {p for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for p in (i, i + 1, i + 2)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = sum(text.count(s) for s in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+
+
+def test_counts(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), DOCS)
+    for row in rules.counts(docs).collect():
+        got = (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words)
+        assert got == brute(TEXTS[row.doc_id]), row.doc_id
+
+
+def labelled(spark, rows):
+    """Texts of a hundred distinct words with some marks, and labels that follow a rule."""
+    docs, labels = [], []
+    for number in range(rows):
+        marks, upper = number % 7, number % 5
+        words = [f"w{number}x{i}" for i in range(100)]
+        text = " ".join(words[:-1] + ["!" * (8 * marks)] if marks else words)
+        docs.append((number, text.upper() if upper == 0 else text))
+        labels.append((number, int(not (marks >= 5 or upper == 0 and marks < 2))))
+    return spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id BIGINT, quality INT")
+
+
+def test_learns_conjunctions(spark):
+    docs, labels = labelled(spark, 700)
+    judged = rules.judge(docs, labels).join(labels, "doc_id").collect()
+    assert len(judged) == 700 and not any(row.base_failed for row in judged)
+    right = sum(row.kept == (row.quality == 1) for row in judged)
+    assert right > 0.97 * 700
+    assert {row.rule for row in judged if not row.kept} >= {1, 2}
+
+
+def test_list_is_ordered_conditions(spark):
+    first = [rules.Condition("mean_word", True, 9.0, 0)]
+    second = [rules.Condition("n_words", True, 60.0, 0), rules.Condition("n_words", False, 80.0, 1)]
+    docs = spark.createDataFrame([(1, "w" * 10 + " a" * 70), (2, "longlongword " * 70), (3, "a " * 90)], DOCS)
+    counted = rules.counts(docs).withColumn("rule", rules.verdict([first, second]))
+    assert {row.doc_id: row.rule for row in counted.collect()} == {1: 2, 2: 1, 3: None}
+    assert str(second[1]) == "n_words < 80"
+    assert "CASE WHEN" in plan(counted)
+
+
+def test_without_labels_the_base_decides(spark):
+    docs, labels = labelled(spark, 20)
+    for some in (labels.limit(0), labels.where("quality = 1"), labels.withColumn("quality", F.lit(None).cast("int"))):
+        rows = rules.judge(docs.unionByName(spark.createDataFrame([(None, None), (99, "too few")], DOCS)), some).collect()
+        assert len(rows) == 22 and sorted(row.kept for row in rows) == [False] * 2 + [True] * 20
+
+
+def test_rules_use_no_python(spark):
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    assert not re.search("Python|Pandas|Arrow", plan(rules.counts(docs)))
+
+
+def test_contradictions_repeats_and_other_columns(spark):
+    docs, labels = labelled(spark, 70)
+    docs = docs.unionByName(docs.limit(3)).withColumns({name: F.lit("clash") for name in ("words", "label", "kept", "n_words")})
+    both = labels.unionByName(labels.withColumn("quality", 1 - F.col("quality")))
+    assert rules.judge(docs, both).where("kept").count() == 73
+    assert rules.judge(docs.limit(0), labels).count() == 0
+
+
+# --- shards ----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def placed(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("é"), F.col("id").cast("int") % 7).alias("text"))
+    return place(docs, [1.0] * 8).toPandas()
+
+
+def test_slots_have_no_gaps(placed):
+    for _, rows in placed.groupby("shard"):
+        assert sorted(rows.slot) == list(range(len(rows)))
+
+
+def test_one_more_shard_takes_only_into_itself(placed):
+    moved = placed[placed.grown_shard != placed["shard"]]
+    assert set(moved.grown_shard) == {8} and abs(len(moved) - 5000 / 9) < 120
+    assert placed.groupby("shard").size().between(500, 750).all()
+    assert (placed["size"] == 16 + 2 * (placed.doc_id % 7)).all()
+
+
+def test_grown_shard_is_the_shard_of_one_more(spark, placed):
+    rows = spark.range(500).select("id", greatest_draw(F.col("id"), [1.0] * 9).shard.alias("s")).toPandas()
+    assert (rows.s.to_numpy() == placed.sort_values("doc_id").grown_shard.to_numpy()[:500]).all()
+
+
+def test_weights(spark):
+    rows = spark.range(8000).select(greatest_draw(F.col("id"), [1.0, 3.0]).shard.alias("s")).groupBy("s").count().collect()
+    share = {row.s: row["count"] / 8000 for row in rows}
+    assert abs(share[1] - 0.75) < 0.03
+    for bad in ([], [1.0, 0.0], [-1.0]):
+        with pytest.raises(ValueError, match="positive"):
+            greatest_draw(F.col("id"), bad)
+
+
+def test_nulls_repeats_and_other_columns(spark):
+    docs = spark.createDataFrame([(1, None), (1, ""), (1, "x"), (1, "x"), (None, "y")], DOCS)
+    docs = docs.withColumns({name: F.lit("clash") for name in ("shard", "part", "slot", "best", "rows")})
+    rows = place(docs, [1.0] * 4).collect()
+    own = [row for row in rows if row.doc_id == 1]
+    assert len(rows) == 5 and len({row.shard for row in own}) == 1
+    assert sorted((row.size, row.text_crc32) for row in own)[:2] == [(16, 0), (16, 0)]
+    for shard in {row.shard for row in rows}:
+        numbers = sorted(row.slot for row in rows if row.shard == shard)
+        assert numbers == list(range(len(numbers)))
+    assert place(docs.limit(0), [1.0]).count() == 0
