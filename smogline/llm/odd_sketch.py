@@ -12,9 +12,9 @@
    group. Sketches throw out the pairs that cannot reach the threshold; the rest
    is confirmed on the full sets, and the links make components. A second round
    does the same with other pivots, for classes of different components.
-4. Whatever still shares a band across two components is then paired in full,
-   sifted by sketches inside the join, and confirmed, so that no link is lost to
-   the choice of pivots.
+4. Whatever still shares a band across two components is then searched for all
+   its pairs that can be linked, by the rarest of its shingles, and those are
+   sifted and confirmed as well, so that no link is lost to the choice of pivots.
 
 With 48 bands of 6 rows, two sets at a similarity of 0.85 share no band once in
 10^10 pairs, and the sketch's bound lies 6.5 standard deviations out.
@@ -206,20 +206,45 @@ def _sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return written(both.where(_near(percent)).select("a", "b"), "likely-pairs")
 
 
-def _across(crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Every pair that shares a band and may be linked, but is not in one component.
+def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
+    """Every pair of two components that may be linked, among the classes that still share a band across them.
 
-    A pair comes out once, at the first band it shares.
+    Of their shingles, put in one order from rare to frequent, two linked sets
+    share one near the beginning: within the first ``n - ceil(t n) + 1`` of the
+    larger set, and ``n - ceil(2 t n / (1 + t)) + 1`` of the smaller one. Shingles
+    of one set only come first and match nothing, so a group of texts that are
+    alike, but not enough, makes no pairs: each has too many of its own.
     """
     rows = _labelled(crowded, labels)
     split = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    members = rows.join(split.select("band"), "band", "left_semi").join(nodes, "id")
-    members = written(members.select("id", "band", "component", "n", "sketch", "bands"), "open-bands")
-    left = members.toDF("a", "band", "part_a", "n_a", "sketch_a", "bands_a")
-    right = members.toDF("b", "band", "part_b", "n_b", "sketch_b", "bands_b")
-    first_shared = F.get(F.array_intersect("bands_a", "bands_b"), 0) == F.col("band")
-    apart = (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b"))
-    return left.join(right, "band").where(apart & _near(percent) & first_shared).select("a", "b").distinct()
+    unsettled = rows.join(split.select("band"), "band", "left_semi").select("id", "component").distinct()
+    unsettled = written(unsettled, "unsettled")
+    sets = written(
+        _sets(docs, unsettled.select("id").distinct(), width)
+        .join(unsettled, "id")
+        .select(F.monotonically_increasing_id().alias("row"), "id", "component", F.size("shingles").alias("n"), "shingles"),
+        "unsettled-sets",
+    )
+    tokens = sets.select("row", F.explode("shingles").alias("shingle"))
+    common = tokens.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    ranked = tokens.join(common, "shingle").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("ranked"))
+    own = F.col("n") - F.size("ranked")
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    shortest = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)).cast("int") + 1
+    heads = sets.drop("shingles").join(ranked, "row").where(longest > own)
+    prefixes = written(
+        heads.select("id", "component", "n", own.alias("own"), shortest.alias("short"), F.posexplode(F.slice("ranked", F.lit(1), longest - own)))
+        .select("id", "component", "n", "short", F.col("col.shingle").alias("shingle"), (F.col("own") + F.col("pos")).alias("at")),
+        "prefixes",
+    )
+    small = prefixes.where("at < short").drop("short").toDF("a", "part_a", "n_a", "shingle", "at_a")
+    large = prefixes.drop("short").toDF("b", "part_b", "n_b", "shingle", "at_b")
+    in_order = (F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))
+    sizes = 100 * F.col("n_a") >= percent * F.col("n_b")
+    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = left * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    apart = (F.col("part_a") != F.col("part_b")) & (F.col("a") != F.col("b"))
+    return written(small.join(large, "shingle").where(in_order & sizes & apart & enough).select("a", "b").distinct(), "open-pairs")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_IN_SHINGLE) -> DataFrame:
@@ -257,8 +282,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         found = _confirmed(docs, _sifted(pairs, nodes, percent), percent, width)
         links = written(found if links is None else links.unionByName(found), "links")
         labels = written(connected(links), "labels")
-    rest = written(_across(crowded, labels, nodes, percent), "open-pairs")
-    more = _confirmed(docs, rest, percent, width)
+    open_pairs = _across(docs, crowded, labels, percent, width)
+    more = _confirmed(docs, _sifted(open_pairs, nodes, percent), percent, width)
     all_labels = connected(links.unionByName(more))
 
     named = classes.join(all_labels, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"))
