@@ -10,8 +10,8 @@
 3. Bands have pivots, and every class is paired with the pivot that it shares
    most bands with, so pairs grow with the classes and not with the square of a
    group. Sketches throw out the pairs that cannot reach the threshold; the rest
-   is confirmed on the full sets, and the links make components. A second round
-   does the same with other pivots, for classes of different components.
+   is confirmed on the full sets, and the links make components. Two more rounds
+   compare classes with pivots of other components, a dozen at most.
 4. Whatever still shares a band across two components is then searched for all
    its pairs that can be linked, by the rarest of its shingles, and those are
    sifted and confirmed as well, so that no link is lost to the choice of pivots.
@@ -29,7 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.llm.common import bounded_batches, slices, small_or_shuffled, written
@@ -40,7 +40,9 @@ PERCENT = 85
 BANDS = 48
 ROWS = 6
 SKETCH_BITS = 1024
-# Two orders of ids, by XOR with these, that bands take their pivots from.
+# Pivots that a class is compared with in a round; the search for open pairs finds what others would link.
+PIVOTS = 12
+# Orders of ids, by XOR with these, that bands take their pivots from.
 ORDERS = (0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -175,35 +177,48 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> D
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
-def _labelled(crowded: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     """band, id, component: an id without links is its own."""
-    if labels is None:
-        return crowded.select("band", "id", F.col("id").alias("component"))
     return crowded.join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
 
 
-def _with_pivots(crowded: DataFrame, labels: DataFrame | None, order: int) -> DataFrame:
-    """(a, b): each class b with one pivot a of another component, the one it shares most bands with.
+def _first_pairs(crowded: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class b with the one pivot a that it shares most bands with.
 
     A band's pivot is the first of its classes in one order of all ids, so the
     bands of a group agree on few pivots.
     """
+    order = F.lit(ORDERS[0])
+    pivots = crowded.groupBy("band").agg(F.min(F.col("id").bitwiseXOR(order)).bitwiseXOR(order).alias("pivot"))
+    counted = crowded.join(pivots, "band").where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("bands"))
+    best = counted.groupBy("id").agg(F.max_by("pivot", F.struct("bands", "pivot")).alias("a"))
+    return written(_sifted(best.select("a", F.col("id").alias("b")), nodes, percent).select("a", "b"), "first-pairs")
+
+
+def _more_pairs(crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, order: int) -> DataFrame:
+    """(a, b): each class b with the nearest by sketch of its bands' pivots a, where these are of other components.
+
+    Here every band has an order of its own, so a class meets as many pivots as
+    it has bands, and takes at most PIVOTS of them.
+    """
     rows = _labelled(crowded, labels)
-    pivots = rows.groupBy("band").agg(
-        F.min(F.col("id").bitwiseXOR(F.lit(order))).bitwiseXOR(F.lit(order)).alias("pivot")
-    )
+    scramble = F.col("band").bitwiseXOR(F.lit(order))
+    pivots = rows.groupBy("band").agg(F.min(F.col("id").bitwiseXOR(scramble)).alias("first"))
+    pivots = pivots.select("band", F.col("first").bitwiseXOR(scramble).alias("pivot"))
     owners = rows.select("band", F.col("id").alias("pivot"), F.col("component").alias("owner"))
-    shared = rows.join(pivots.join(owners, ["band", "pivot"]), "band").where("component <> owner")
-    counted = shared.groupBy("id", "pivot").agg(F.count("*").alias("bands"))
-    best = counted.groupBy("id").agg(F.max_by("pivot", F.struct("bands", "pivot")).alias("a"))
-    return written(best.select("a", F.col("id").alias("b")), "pivot-pairs")
+    met = rows.join(pivots.join(owners, ["band", "pivot"]), "band").where("component <> owner")
+    sifted = _sifted(met.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), nodes, percent)
+    nearest = Window.partitionBy("b").orderBy("distance", "a")
+    return written(
+        sifted.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= PIVOTS).select("a", "b"), "more-pairs"
+    )
 
 
 def _sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes and sketches allow a link."""
+    """(a, b, distance) of the pairs whose sizes and sketches allow a link."""
     marks = nodes.select("id", "n", "sketch")
     both = pairs.join(_side(marks, "a"), "a").join(_side(marks, "b"), "b")
-    return written(both.where(_near(percent)).select("a", "b"), "likely-pairs")
+    return both.where(_near(percent)).select("a", "b", _distance("sketch_a", "sketch_b").alias("distance"))
 
 
 def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
@@ -276,15 +291,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         "shared-bands",
     )
     crowded = written(members.join(small_or_shuffled(shared), "band"), "crowded-bands")
-    links = labels = None
+    links = written(_confirmed(docs, _first_pairs(crowded, nodes, percent), percent, width), "links")
+    labels = written(connected(links), "labels")
     for order in ORDERS:
-        pairs = _with_pivots(crowded, labels, order)
-        found = _confirmed(docs, _sifted(pairs, nodes, percent), percent, width)
-        links = written(found if links is None else links.unionByName(found), "links")
+        found = _confirmed(docs, _more_pairs(crowded, labels, nodes, percent, order), percent, width)
+        links = written(links.unionByName(found), "links")
         labels = written(connected(links), "labels")
     open_pairs = _across(docs, crowded, labels, percent, width)
-    more = _confirmed(docs, _sifted(open_pairs, nodes, percent), percent, width)
-    all_labels = connected(links.unionByName(more))
+    likely = written(_sifted(open_pairs, nodes, percent).select("a", "b"), "likely-pairs")
+    all_labels = connected(links.unionByName(_confirmed(docs, likely, percent, width)))
 
     named = classes.join(all_labels, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
