@@ -63,7 +63,7 @@ NOISE_WORDS = set(
     "topbar footer sidebar aside widget related recommended share sharing social comment comments reply replies disqus "
     "newsletter subscribe subscription signup login search form pagination pager toolbar skip copyright".split()
 )
-HEADER_WORDS = {"header", "heading", "top"}
+HEADER_WORDS = {"header"}
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 TOKEN = re.compile(

@@ -35,6 +35,8 @@ def text(source):
         ("<p>a<span class='ad'>buy</span>b</p>", "a\nb"),
         ("<article><p>a</p></article></div></p>tail", "a\ntail"),
         ("<script>never closed <p>x", ""),
+        ("<div id=header>x</div><div class=heading>T</div><p>a</p>", "T\na"),
+        ("<article><div class='post-header'>T</div><p>a</p><div class=comments>c</div></article>", "T\na"),
     ],
 )
 def test_pages(source, wanted):
