@@ -16,7 +16,7 @@ MAX_BROADCAST_ROWS = 500_000
 
 # Bytes of a batch on its way to or from a worker. Texts differ in length by
 # orders of magnitude, so a limit by rows would not bound memory.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_DEFAULT = "67108864b"
 

@@ -16,14 +16,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import bounded_batches, labelled_texts, sample_ids, written
+from smogline.llm.common import bounded_batches, labelled_texts, sample_ids, slices, written
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -31,7 +32,7 @@ PREFIXES = (3, 4, 5, 6)
 # Labelled documents of each label that the machine is fitted on, at most.
 PER_LABEL = 3000
 THRESHOLD = 0.3
-CACHE = 200_000
+CACHE = 100_000
 
 
 def buckets_of(word: str) -> list[int]:
@@ -171,15 +172,19 @@ def fit(
     gets labels and kept buckets of the sample: at most 2 * per_label * terms numbers.
     """
 
-    def bags(batches):
-        for batch in batches:
-            found = [sorted({b for w in words_of(text) for b in buckets_of(w)}) for text in batch["text"]]
-            yield batch[["row", "label", "weight"]].assign(bag=found)
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            found = [sorted({b for w in words_of(text) for b in buckets_of(w)}) for text in texts]
+            columns = [batch.column(name) for name in ("row", "label", "weight")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(found, pa.list_(pa.int32()))], ["row", "label", "weight", "bag"]
+            )
 
     bounded_batches(docs.sparkSession)
     texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
     texts = texts.withColumn("row", F.monotonically_increasing_id())
-    sampled = written(texts.mapInPandas(bags, "row long, label int, weight double, bag array<int>"), "term-bags")
+    sampled = written(texts.mapInArrow(bags, "row long, label int, weight double, bag array<int>"), "term-bags")
     heads = sampled.select("row", "label", "weight").orderBy("row").toPandas()
     y, weights = heads["label"].to_numpy(float), heads["weight"].to_numpy(float)
     exploded = sampled.select("row", "label", F.explode("bag").alias("bucket"))
@@ -198,8 +203,8 @@ def score(machine: Machine, text: Column | str) -> Column:
     """Chance between 0 and 1 that the text is toxic; NULL and empty texts get the bias."""
     shared = machine
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.score(value) for value in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.score(value.as_py()) for value in texts], pa.float64())
 
     return scored(text)
