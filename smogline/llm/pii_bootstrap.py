@@ -6,13 +6,15 @@
    The word before and the word after an instance, and both together, are its
    lexical patterns.
 3. Patterns and instances form a graph. A pattern is trusted by the share of its
-   instances that are trusted; a candidate by its patterns, as the chance that
+   occurrences that hold a trusted instance, among all occurrences in all texts,
+   whatever word stands there; a candidate by its patterns, as the chance that
    not all of them are wrong. Both are worked out in turn, so candidates that
-   got trusted lend it to further patterns.
+   got trusted lend it to further patterns, but never to themselves.
 4. Candidates over the threshold are found identifiers, wherever they occur.
 
-Everything is SQL functions and joins over small tables: the text is read once,
-and only mentions and their context words are shuffled.
+Scores are shares alone, so a table of twice the size and the same shares gets
+the same verdicts. Everything is SQL functions and joins: the text is read twice,
+and only mentions, their context words and the counts of these are shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import written
+from smogline.llm.common import small_or_shuffled, written
 
 # Kinds in the order in which spans that begin together are listed.
 KINDS = ("email", "ip", "card", "phone", "id")
@@ -43,10 +45,10 @@ WORD_AFTER = r"^[^\p{L}\p{N}_]*([\p{L}\p{N}_]+)"
 # Matches whose lengths are added up one by one; whole blocks are added up first.
 BLOCK = 256
 
+WORD = r"[\p{L}\p{N}_]+"
+
 ROUNDS = 3
 THRESHOLD = 0.8
-# Distinct trusted instances that a pattern needs.
-LEAST = 3
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -172,37 +174,72 @@ def _mentions(profiles: DataFrame) -> DataFrame:
 
 
 def _edges(mentions: DataFrame) -> DataFrame:
-    """Distinct (pattern, instance, seed); instances without context words have no edge."""
+    """(pattern, instance, seed, times, wide): how often, and how often in a pair that a value of one word would not show.
+
+    Patterns are hashes of the words before and after, an open side being empty;
+    instances without context words have no edge.
+    """
+    one_word = F.size(F.regexp_extract_all("instance", F.lit(WORD), F.lit(0))) == 1
+    kind = "struct<pattern:bigint,wide:boolean>"
     patterns = F.array(
-        F.when(F.col("before") != "", F.concat(F.col("before"), F.lit(" _"))),
-        F.when(F.col("after") != "", F.concat(F.lit("_ "), F.col("after"))),
-        F.when((F.col("before") != "") & (F.col("after") != ""), F.concat_ws(" _ ", "before", "after")),
+        F.when(F.col("before") != "", F.struct(_pattern("before", F.lit("")), F.lit(False)).cast(kind)),
+        F.when(F.col("after") != "", F.struct(_pattern(F.lit(""), "after"), F.lit(False)).cast(kind)),
+        F.when((F.col("before") != "") & (F.col("after") != ""), F.struct(_pattern("before", "after"), ~one_word).cast(kind)),
+    )
+    exploded = mentions.select(F.explode(patterns).alias("p"), "instance", "seed").where("p is not null")
+    return exploded.groupBy("p.pattern", "instance", "seed").agg(
+        F.count("*").alias("times"), F.count_if("p.wide").alias("wide")
     )
-    exploded = mentions.select(F.explode(patterns).alias("pattern"), "instance", "seed")
-    return exploded.where("pattern is not null").distinct()
 
 
-def trusted_instances(mentions: DataFrame, rounds: int = ROUNDS, least: int = LEAST) -> DataFrame:
+def _pattern(before: Column | str, after: Column | str) -> Column:
+    return F.xxhash64(before, after)
+
+
+def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pattern, words): how often words of all texts stand in the wanted patterns, each between its neighbours."""
+    found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = docs.where("text is not null").select(found.alias("words"))
+    rest = lambda n: F.slice("words", F.lit(n), F.size("words"))
+    zipped = words.select(F.explode(F.arrays_zip(F.col("words").alias("a"), rest(2).alias("b"), rest(3).alias("c"))).alias("w"))
+    lowered = zipped.select(*(F.lower(f"w.{name}").alias(name) for name in "abc")).where("b is not null")
+    patterns = F.array(
+        _pattern("a", F.lit("")), _pattern(F.lit(""), "b"), F.when(F.col("c").isNotNull(), _pattern("a", "c"))
+    )
+    every = lowered.select(F.explode(patterns).alias("pattern")).where("pattern is not null")
+    few = small_or_shuffled(wanted)
+    # A broadcast drops other patterns before they are counted; else counting comes before the join.
+    if few is not wanted:
+        return every.join(few, "pattern").groupBy("pattern").agg(F.count("*").alias("words"))
+    return every.groupBy("pattern").agg(F.count("*").alias("words")).join(wanted, "pattern")
+
+
+def trusted_instances(docs: DataFrame, mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(instance, trust) of every candidate, after so many rounds over the graph.
 
     Seeds are trusted throughout, so they count once per pattern; only edges of
-    candidates are gone over again.
+    candidates are gone over again. What a candidate lends a pattern does not
+    come back to it.
     """
     edges = written(_edges(mentions), "pattern-edges")
-    seeds = edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds"))
-    # A pattern that no seed and only trusted candidates hold together still needs ``least`` of them.
-    links = written(edges.where("not seed").select("pattern", "instance"), "candidate-edges")
+    links = written(edges.where("not seed").select("pattern", "instance", "times"), "candidate-edges")
+    wanted = written(links.select("pattern").distinct(), "candidate-patterns")
+    words = _occurrences(docs, wanted)
+    held = edges.join(wanted, "pattern", "left_semi").groupBy("pattern").agg(
+        F.sum(F.when(F.col("seed"), F.col("times")).otherwise(0)).alias("seeds"),
+        F.sum("times").alias("mentions"),
+        F.sum("wide").alias("wide"),
+    )
+    # Values that begin or end within a word are not among the words; they count all the same.
+    total = F.greatest(F.coalesce("words", F.lit(0)) + F.col("wide"), F.col("mentions"))
+    totals = written(held.join(words, "pattern", "left").select("pattern", "seeds", total.alias("total")), "pattern-totals")
     trust = links.select("instance").distinct().withColumn("trust", F.lit(0.0))
     for _ in range(rounds):
-        lent = links.join(trust, "instance").groupBy("pattern").agg(F.sum("trust").alias("lent"), F.count("*").alias("open"))
-        trusted = F.coalesce("seeds", F.lit(0)) + F.col("lent")
-        patterns = lent.join(seeds, "pattern", "left").select(
-            "pattern", F.when(trusted >= least, trusted / (F.coalesce("seeds", F.lit(0)) + F.col("open") + 1)).otherwise(0.0).alias("share")
-        )
-        doubt = F.sum(F.log1p(-F.least("share", F.lit(0.999999))))
-        trust = written(
-            links.join(patterns, "pattern").groupBy("instance").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust"
-        )
+        own = links.join(trust, "instance").select("pattern", "instance", (F.col("trust") * F.col("times")).alias("own"))
+        lent = own.groupBy("pattern").agg(F.sum("own").alias("lent")).join(totals, "pattern")
+        share = F.greatest((F.col("seeds") + F.col("lent") - F.col("own")) / F.col("total"), F.lit(0.0))
+        doubt = F.sum(F.log1p(-F.least(share, F.lit(0.999999))))
+        trust = written(own.join(lent, "pattern").groupBy("instance").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust")
     return trust
 
 
@@ -218,7 +255,7 @@ def personal_data(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = R
     """
     profiles = written(_profiles(docs), "personal-data")
     mentions = written(_mentions(profiles), "mentions")
-    trusted = trusted_instances(mentions, rounds).where(F.col("trust") >= threshold).select("instance")
+    trusted = trusted_instances(docs, mentions, rounds).where(F.col("trust") >= threshold).select("instance")
     found = (
         mentions.where("not seed")
         .join(trusted, "instance", "left_semi")

@@ -4,7 +4,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from smogline.llm.pii_bootstrap import listed, matches, personal_data, redacted
+from smogline.llm import common
+from smogline.llm.pii_bootstrap import _occurrences, listed, matches, personal_data, redacted
 
 DOCS = "doc_id BIGINT, text STRING"
 PATTERNS = {
@@ -103,6 +104,31 @@ def test_trust_spreads_over_rounds(spark):
     assert found[14].spans.startswith("id:") and found[18].spans == "id:10:22"
 
 
+@pytest.mark.parametrize("times", [1, 2, 8])
+def test_verdicts_follow_shares_and_not_the_size_of_the_table(spark, times):
+    texts = []
+    for i in range(times):
+        # Stop words beside seeds and candidates stand beside many other words, too.
+        texts += [f"saw user{i}x{j}@example.com the end" for j in range(3)] + ["dogs the end and cats the end"] * 9
+        texts += [f"token KQ{i}AA11BB22CC the end"]
+        texts += [f"please mail guest{i}x{j}@example.com today" for j in range(2)] + [f"please mail MX{i}AA11BB22CC today"]
+    found = spans(spark, texts)
+    kinds = {text: found[number].spans for number, text in enumerate(texts)}
+    assert all(kinds[f"token KQ{i}AA11BB22CC the end"] == "" for i in range(times))
+    assert all(kinds[f"please mail MX{i}AA11BB22CC today"] == "id:12:25" for i in range(times))
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_pattern_totals_count_every_word(spark, monkeypatch, most):
+    monkeypatch.setattr(common.small_or_shuffled, "__defaults__", (most,))
+    docs = spark.createDataFrame([(1, "To the Cat. to the dog; THE end to"), (2, None), (3, "to a cat"), (4, "")], DOCS)
+    names = {"to _": ("to", ""), "_ the": ("", "the"), "to _ cat": ("to", "cat"), "none _": ("none", "")}
+    wanted = spark.createDataFrame(list(names.values()), "a STRING, b STRING").select(F.xxhash64("a", "b").alias("pattern"))
+    counts = {row.pattern: row.words for row in _occurrences(docs, wanted).collect()}
+    hashes = {name: spark.range(1).select(F.xxhash64(*map(F.lit, pair))).first()[0] for name, pair in names.items()}
+    assert {name: counts.get(number, 0) for name, number in hashes.items()} == {"to _": 3, "_ the": 3, "to _ cat": 2, "none _": 0}
+
+
 @pytest.mark.parametrize("text", [None, "", "none", "😀 a@b.co and 1.1.1.1, a@b.co 4111111111111111!"])
 def test_redaction(spark, text):
     rows = personal_data(spark.createDataFrame([(1, text)], DOCS)).select("doc_id", "spans")
