@@ -12,10 +12,11 @@ evenly over the host's pages has a high entropy and says little:
 - of both together: ``(1 - g^l) * presentation + g^l * content`` for ``l`` styles.
 
 Branches in which both this and the content's importance are low are cut out of
-every page of the host. Names that announce what an element is are a prior:
-``nav``, ``footer``, ``class="ad"`` and their like have no importance whatever
-their entropy, and the text of ``article`` and ``main`` is not cut by entropy, so
-that a host of few pages, or of copies, keeps its articles.
+every page of the host, inside ``article`` and ``main``, too. So are single texts
+of other branches whose own importance is low. Names that announce what an
+element is are a prior: ``nav``, ``footer``, ``class="ad"`` and their like have no
+importance; and where nearly all text of an ``article`` or ``main`` would go, the
+page is a copy of others and keeps it.
 
 Trees are never built in one place: pages emit the features of their paths, and
 sums before the shuffle make the entropies, so a host with a third of all pages
@@ -26,6 +27,7 @@ measured to fit, else by a join on the host.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,7 +43,11 @@ from smogline.llm.common import bounded_batches, slices, written
 DECAY = 0.9
 THRESHOLD = 0.4
 LEAST_PAGES = 5
-# Cut paths that are broadcast; each takes a hundred bytes or so in a worker.
+# A single text weighs less than a branch: it must be spread wider to be cut.
+TEXT_WEIGHT = 2.0
+# Of a copy's main text, at most this share is its own.
+OWN_IN_COPY = 0.25
+# Cut paths and texts that are broadcast; each takes a hundred bytes or so in a worker.
 MAX_BROADCAST_PATHS = 200_000
 
 # Elements by their part in a page.
@@ -76,6 +82,9 @@ WORDS = re.compile(r"[a-z]+")
 NUMBER = re.compile(r"\d+")
 # In names, longer numbers are ids of single pages.
 RUNNING = re.compile(r"\d{3,}")
+LETTER = re.compile(r"[^\W\d_]")
+# Short values repeat by their nature.
+CELLS = {"td", "th"}
 
 
 @dataclass
@@ -95,6 +104,15 @@ class Block:
     noise: bool
     main: bool
 
+    def cut_by(self, cut: frozenset[int] | set[int]) -> bool:
+        """Whether the host's tree cuts the path, or this text in it."""
+        path = _hash(self.path)
+        if path in cut:
+            return True
+        if self.path.rpartition(">")[2].split(".")[0] in CELLS or not LETTER.search(self.text):
+            return False
+        return path ^ _hash(_feature(self.text)) in cut
+
 
 class Page:
     """Text blocks of a page in order, with their paths, styles and features."""
@@ -153,7 +171,7 @@ class Page:
         if text:
             top = self.stack[-1]
             self.blocks.append(Block(top.path, text, top.noise, top.main))
-            self.features.append((top.path, "t" + NUMBER.sub("0", text.lower())))
+            self.features.append((top.path, _feature(text)))
 
     def open(self, tag: str, attributes: str) -> None:
         pairs = {}
@@ -224,11 +242,21 @@ class Page:
     def main_text(self, cut: frozenset[int] | set[int]) -> str:
         """The blocks that neither a name nor the host's tree takes out, one on a line.
 
-        If entropy would take out all that names have left, it is not heeded.
+        If entropy would take out all that names have left, or nearly all that is
+        in the main element, it is not heeded there.
         """
         left = [block for block in self.blocks if not block.noise]
-        kept = [block for block in left if block.main or not cut or _hash(block.path) not in cut]
-        return "\n".join(block.text for block in kept or left)
+        if cut:
+            kept = [block for block in left if not block.cut_by(cut)]
+            size = sum(len(block.text) for block in left if block.main)
+            if sum(len(block.text) for block in kept if block.main) < OWN_IN_COPY * size:
+                kept = [block for block in left if block.main or not block.cut_by(cut)]
+            left = kept or left
+        return "\n".join(block.text for block in left)
+
+
+def _feature(text: str) -> str:
+    return "t" + NUMBER.sub("0", text.lower())
 
 
 def _hash(text: str) -> int:
@@ -242,8 +270,8 @@ def host_of(url: str | None) -> str:
     return found[1].rpartition("@")[2].split(":")[0].lower() if found else ""
 
 
-#: Kinds of rows that pages emit: the page itself, a style, a content feature.
-PAGE, STYLE, CONTENT = 0, 1, 2
+#: Kinds of rows that pages emit: the page itself, a style, a content feature that is a link or an image, one that is a text.
+PAGE, STYLE, CONTENT, TEXT = 0, 1, 2, 3
 
 
 def _page_rows(page: Page) -> list[tuple[int, int, int, int]]:
@@ -253,15 +281,14 @@ def _page_rows(page: Page) -> list[tuple[int, int, int, int]]:
     rows = [(number, PAGE, 0, 1) for number in numbers.values()]
     for kind, found in ((STYLE, page.styles), (CONTENT, page.features)):
         tally = Counter((path, value) for path, value in found if path in paths)
-        rows += [(numbers[path], kind, _hash(value), count) for (path, value), count in tally.items()]
+        for (path, value), count in tally.items():
+            text = kind == CONTENT and value[0] == "t"
+            rows.append((numbers[path], TEXT if text else kind, _hash(value), count))
     return rows
 
 
-def tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, styles, presentation, content, importance) for every text path of every host.
-
-    Pages without host are in no tree.
-    """
+def _features(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, feature, total, spread) summed over the pages of every host, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -279,11 +306,28 @@ def tree(pages: DataFrame) -> DataFrame:
 
     rows = pages.select("url", "html").mapInArrow(run, "host string, path long, kind long, feature long, count long")
     count = F.col("count").cast("double")
-    features = rows.groupBy("host", "path", "kind", "feature").agg(
-        F.sum(count).alias("total"), F.sum(count * F.log(count)).alias("spread"), F.count("*").alias("holders")
+    return written(
+        rows.groupBy("host", "path", "kind", "feature").agg(
+            F.sum(count).alias("total"), F.sum(count * F.log(count)).alias("spread")
+        ),
+        "features",
     )
-    # With p = count / total: -sum(p ln p) = ln total - sum(count ln count) / total.
-    entropy = F.log("total") - F.col("spread") / F.col("total")
+
+
+# With p = count / total: -sum(p ln p) = ln total - sum(count ln count) / total.
+ENTROPY = "ln(total) - spread / total"
+
+
+def tree(pages: DataFrame) -> DataFrame:
+    """(host, path, pages, styles, presentation, content, importance) for every text path of every host.
+
+    Pages without host are in no tree.
+    """
+    return _tree(_features(pages))
+
+
+def _tree(features: DataFrame) -> DataFrame:
+    entropy = F.expr(ENTROPY)
 
     def only(kind: int, value: F.Column) -> F.Column:
         return F.when(F.col("kind") == kind, value)
@@ -293,7 +337,7 @@ def tree(pages: DataFrame) -> DataFrame:
         F.count(only(STYLE, F.col("total"))).alias("styles"),
         F.sum(only(STYLE, F.col("total"))).alias("style_total"),
         F.sum(only(STYLE, F.col("total") * F.log("total"))).alias("style_spread"),
-        F.avg(only(CONTENT, entropy)).alias("content_entropy"),
+        F.avg(F.when(F.col("kind") >= CONTENT, entropy)).alias("content_entropy"),
     )
     base = F.log(F.greatest(F.col("pages"), F.lit(2)).cast("double"))
     single = F.col("pages") < 2
@@ -307,6 +351,25 @@ def tree(pages: DataFrame) -> DataFrame:
     )
 
 
+def _cut(pages: DataFrame, threshold: float, least_pages: int) -> DataFrame:
+    """(host, path) of what pages lose; for a single text, path is the exclusive or of its path's and its own hash."""
+    features = _features(pages)
+    paths = written(_tree(features).where(F.col("pages") >= least_pages), "tree")
+    low = F.greatest("importance", "content") < threshold
+    # Only texts that some path could cut are joined to the paths.
+    least = (1 - threshold / TEXT_WEIGHT) * math.log(max(2, least_pages))
+    texts = features.where(F.col("kind") == TEXT).select("host", "path", "feature", F.expr(ENTROPY).alias("entropy"))
+    repeated = texts.where(F.col("entropy") > least).join(paths.where(~low), ["host", "path"])
+    importance = 1 - F.col("entropy") / F.log(F.greatest("pages", F.lit(2)).cast("double"))
+    repeated = repeated.where(TEXT_WEIGHT * importance < threshold)
+    return written(
+        paths.where(low)
+        .select("host", "path")
+        .unionByName(repeated.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("path"))),
+        "cut-paths",
+    )
+
+
 def extract(
     pages: DataFrame,
     threshold: float = THRESHOLD,
@@ -321,8 +384,7 @@ def extract(
     alone. Repeated pages are rows of their own. Other columns are not looked at.
     """
     bounded_batches(pages.sparkSession)
-    low = F.greatest("importance", "content") < threshold
-    cut = written(tree(pages).where((F.col("pages") >= least_pages) & low).select("host", "path"), "cut-paths")
+    cut = _cut(pages, threshold, least_pages)
     sources = pages.select("page_id", "url", "html")
     if cut.count() <= max_broadcast:
         by_host: dict[str, set[int]] = {}

@@ -80,6 +80,19 @@ def test_articles_and_whole_pages_survive_entropy(spark):
     assert len(rows) == 40 and {row.text for row in rows} == {"The same"}
 
 
+def test_boilerplate_without_a_name_goes_from_articles(spark):
+    page = (
+        "<article><h1>About {0}</h1><p>Story {0} is all about {0} and what {0} did</p><p>Share this story</p>"
+        "<div class=x7><p>Jane Doe writes for us</p></div><table><tr><td>yes</table></article>"
+    )
+    words = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(20)]
+    pages = [(i, f"http://site.example/{i}", page.format(word)) for i, word in enumerate(words)]
+    found = {row.page_id: row.text for row in extract(spark.createDataFrame(pages, PAGES)).collect()}
+    for i, word in enumerate(words):
+        assert found[i].split("\n")[:2] == [f"About {word}", f"Story {word} is all about {word} and what {word} did"]
+        assert "Share" not in found[i] and "Jane" not in found[i]
+
+
 def test_importance(spark):
     rows = {(row.pages, round(row.content, 3)) for row in tree(spark.createDataFrame(site(16), PAGES)).collect()}
     assert (16, 0.0) in rows and max(content for _, content in rows) == 1.0
