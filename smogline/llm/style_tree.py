@@ -70,6 +70,8 @@ NOISE_WORDS = set(
     "newsletter subscribe subscription signup login search form pagination pager toolbar skip copyright".split()
 )
 HEADER_WORDS = {"header"}
+# Articles and whole branches under these names are other people's or other pages'.
+OTHERS_WORDS = set("comment comments reply replies disqus related recommended".split())
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 TOKEN = re.compile(
@@ -93,6 +95,8 @@ class Element:
     path: str
     noise: bool
     main: bool
+    # Open wrappers that only a class, an id or being a form makes noise.
+    wrappers: tuple[int, ...] = ()
     children: list[str] = field(default_factory=list)
     features: list[str] = field(default_factory=list)
 
@@ -103,6 +107,7 @@ class Block:
     text: str
     noise: bool
     main: bool
+    wrappers: tuple[int, ...] = ()
 
     def cut_by(self, cut: frozenset[int] | set[int]) -> bool:
         """Whether the host's tree cuts the path, or this text in it."""
@@ -123,6 +128,7 @@ class Page:
         self.styles: list[tuple[str, str]] = []
         self.features: list[tuple[str, str]] = []
         self.text: list[str] = []
+        self.opened = 0
         self.read(source or "")
 
     def read(self, source: str) -> None:
@@ -170,7 +176,7 @@ class Page:
         text = " ".join(text.split())
         if text:
             top = self.stack[-1]
-            self.blocks.append(Block(top.path, text, top.noise, top.main))
+            self.blocks.append(Block(top.path, text, top.noise, top.main, top.wrappers))
             self.features.append((top.path, _feature(text)))
 
     def open(self, tag: str, attributes: str) -> None:
@@ -187,8 +193,8 @@ class Page:
             return
         if tag == "a" and pairs.get("href"):
             self.features.append((top.path, "a" + pairs["href"]))
-        noise = self.is_noise(tag, pairs, top)
-        if tag in INLINE and not (noise and not top.noise):
+        noise, named = self.is_noise(tag, pairs, top)
+        if tag in INLINE and not ((noise or named) and not top.noise):
             return
         self.flush()
         if tag not in INLINE:
@@ -197,19 +203,28 @@ class Page:
         name = ".".join([tag, *sorted(RUNNING.sub("0", f"{pairs.get('class', '')} {pairs.get('id', '')}").split())])
         if not top.children or top.children[-1] != name:
             top.children.append(name)
-        self.stack.append(Element(tag, f"{top.path}>{name}", noise, top.main or tag in MAIN or pairs.get("role") == "main"))
-
-    def is_noise(self, tag: str, pairs: dict[str, str], top: Element) -> bool:
-        if top.noise or tag in IGNORED or tag == "header" and not top.main:
-            return True
-        if not pairs or tag in UNTOUCHED:
-            return False
+        main = tag in MAIN or pairs.get("role") == "main"
+        # What a page calls its main element is so under any wrapper.
+        wrappers = () if main and not top.main else top.wrappers
+        if named:
+            self.opened += 1
+            wrappers = (*wrappers, self.opened)
+        self.stack.append(Element(tag, f"{top.path}>{name}", noise, top.main or main, wrappers))
+
+    def is_noise(self, tag: str, pairs: dict[str, str], top: Element) -> tuple[bool, bool]:
+        """Whether the element is noise for good, and whether it is so by a wrapper's name, which may turn out wrong."""
+        if top.noise or tag in IGNORED and tag != "form" or tag == "header" and not top.main:
+            return True, False
+        if tag in UNTOUCHED:
+            return False, False
         if "hidden" in pairs or pairs.get("aria-hidden") == "true" or pairs.get("role", "").lower() in NOISE_ROLES:
-            return True
+            return True, False
         if "display:none" in pairs.get("style", "").replace(" ", "").lower():
-            return True
+            return True, False
         words = set(WORDS.findall(f"{pairs.get('class', '')} {pairs.get('id', '')}".lower()))
-        return bool(words & NOISE_WORDS) or bool(words & HEADER_WORDS and not top.main)
+        if words & OTHERS_WORDS:
+            return True, False
+        return False, tag == "form" or bool(words & NOISE_WORDS) or bool(words & HEADER_WORDS and not top.main)
 
     def close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; items and cells end the one before, within their list or table."""
@@ -245,7 +260,7 @@ class Page:
         If entropy would take out all that names have left, or nearly all that is
         in the main element, it is not heeded there.
         """
-        left = [block for block in self.blocks if not block.noise]
+        left = self.named_main(cut)
         if cut:
             kept = [block for block in left if not block.cut_by(cut)]
             size = sum(len(block.text) for block in left if block.main)
@@ -255,6 +270,27 @@ class Page:
         return "\n".join(block.text for block in left)
 
 
+    def named_main(self, cut: frozenset[int] | set[int]) -> list[Block]:
+        """The blocks that no name takes out.
+
+        A wrapper's name is overruled if the host has a tree, or names leave
+        nothing, and the wrapper holds most of the page's distinct text. Wrappers
+        within it are judged alike, so a sidebar in it still goes.
+        """
+        blocks = [block for block in self.blocks if not block.noise]
+        left = [block for block in blocks if not block.wrappers]
+        if len(left) == len(blocks) or any(block.main for block in left) or left and TREE not in cut:
+            return left
+        sizes = Counter()
+        whole = 0
+        for block in blocks:
+            size = 0 if block.cut_by(cut) else len(block.text)
+            whole += size
+            sizes.update(dict.fromkeys(block.wrappers, size))
+        overruled = {wrapper for wrapper, size in sizes.items() if 2 * size > whole}
+        return [block for block in blocks if overruled.issuperset(block.wrappers)]
+
+
 def _feature(text: str) -> str:
     return "t" + NUMBER.sub("0", text.lower())
 
@@ -314,6 +350,9 @@ def _features(pages: DataFrame) -> DataFrame:
     )
 
 
+# Stands among a host's cut paths if its pages were enough for a tree.
+TREE = 0
+
 # With p = count / total: -sum(p ln p) = ln total - sum(count ln count) / total.
 ENTROPY = "ln(total) - spread / total"
 
@@ -365,7 +404,8 @@ def _cut(pages: DataFrame, threshold: float, least_pages: int) -> DataFrame:
     return written(
         paths.where(low)
         .select("host", "path")
-        .unionByName(repeated.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("path"))),
+        .unionByName(repeated.select("host", F.col("path").bitwiseXOR(F.col("feature")).alias("path")))
+        .unionByName(paths.select("host", F.lit(TREE).cast("long").alias("path")).distinct()),
         "cut-paths",
     )
 

@@ -43,6 +43,26 @@ def test_pages(source, wanted):
     assert text(source) == wanted
 
 
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div id='page-with-nav'", "form id='aspnetForm'"])
+def test_wrappers_do_not_take_the_article(wrapper):
+    tag = wrapper.split()[0]
+    inner = "<article><p>Story</p><div class=share>s</div></article><div class=sidebar>y</div>"
+    assert text(f"<p>top</p><{wrapper}>{inner}</{tag}>") == "top\nStory"
+    assert text(f"<{wrapper}><div role=main><p>Story</p></div></{tag}>") == "Story"
+    # Nothing else is left, so the name is wrong; the bar within it is still one.
+    assert text(f"<{wrapper}><div><p>A longer story</p></div><div class=sidebar>bar</div></{tag}>") == "A longer story"
+    assert text(f"<p>a</p><{wrapper}><p>one two</p></{tag}>") == "a"
+    assert text(f"<p>a</p><div id=comments><article>mine</article></div><aside><{wrapper}>b</{tag}></aside>") == "a"
+
+
+def test_the_tree_overrules_a_wrapper(spark):
+    page = "<p>Same top</p><div class='layout has-sidebar'><div><p>Story {0} is about {0}</p></div><div class=sidebar>{0}</div></div>"
+    words = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(20)]
+    pages = [(i, f"http://site.example/{i}", page.format(word)) for i, word in enumerate(words)]
+    found = {row.page_id: row.text for row in extract(spark.createDataFrame(pages, PAGES)).collect()}
+    assert found == {i: f"Story {word} is about {word}" for i, word in enumerate(words)}
+
+
 def test_very_long_and_deep_pages():
     assert text("<p>" + "word " * 200_000) == ("word " * 200_000).strip()
     assert text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
