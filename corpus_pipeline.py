@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
 toxicity        drops the documents that the factorization machine rejects
-near_duplicates keeps one document of each group
+near_duplicates keeps one document of each group, with or without ids
 decontaminate   drops the documents that hold a window of a benchmark item
 personal_data   replaces personal data by the name of its kind
 tokens          encodes what is left, and checks that it decodes to itself
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.llm import decontaminate, odd_sketch, pii_bootstrap, piece_bpe, toxicity
-from smogline.llm.common import held_out, small_or_shuffled, table, written
+from smogline.llm.common import held_out, small_or_shuffled, table, text_key, written
 from smogline.llm.queries import CUT, MODEL
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,9 +25,21 @@ ORACLE_SQL = None
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id is not among the dropped ones; texts move only if those are too many to broadcast."""
-    ids = written(dropped.where("doc_id is not null").select("doc_id").distinct(), "dropped")
-    return docs.select(*COLUMNS).join(small_or_shuffled(ids), "doc_id", "left_anti").select(*COLUMNS)
+    """The documents less those of a dropped id and text; texts move only if these are too many to broadcast."""
+    rows = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("key").alias("dropped_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("dropped_id")) & (text_key() == F.col("dropped_key"))
+    return docs.join(small_or_shuffled(written(rows, "dropped")), same, "left_anti")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents, with numbers after all ids for those without id; ``numbered`` tells which."""
+    docs = docs.select(*COLUMNS, F.col("doc_id").isNull().alias("numbered"))
+    idless = docs.where("numbered")
+    if idless.isEmpty():
+        return docs
+    last = docs.agg(F.greatest(F.max("doc_id"), F.lit(0))).first()[0]
+    ids = written(idless.withColumn("doc_id", F.monotonically_increasing_id() + F.lit(last + 1)), "numbered")
+    return docs.where("not numbered").unionByName(ids)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -36,12 +48,14 @@ def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return _without(docs, odd_sketch.near_duplicates(docs).where("not kept"))
+    docs = _numbered(docs)
+    left = _without(docs, odd_sketch.near_duplicates(docs).where("not kept"))
+    return left.withColumn("doc_id", F.when(~F.col("numbered"), F.col("doc_id"))).select(*COLUMNS)
 
 
 def leaks_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     leaks = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
-    return _without(docs, leaks.where("size(hit_words) > 0"))
+    return _without(docs.select(*COLUMNS), leaks.where("size(hit_words) > 0"))
 
 
 def redacted(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

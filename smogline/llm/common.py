@@ -52,6 +52,11 @@ def held_out(doc_id: Column | str, folds: int, rest: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == rest, F.lit(True))
 
 
+def text_key(text: Column | str = "text") -> Column:
+    """A hash that tells rows apart which repeat a doc_id with another text; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def small_or_shuffled(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if the rows (of a few numbers each) were counted to fit.
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import bounded_batches, slices, written
+from smogline.llm.common import bounded_batches, slices, text_key, written
 
 WORDS_IN_WINDOW = 10
 # Bytes of windows in one automaton; a trie node takes some 30 bytes for each.
@@ -30,7 +30,7 @@ BLOCK_BYTES = 8 << 20
 # Runs of digits, a-z and everything beyond ASCII, once A-Z is lower-cased.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
-HITS = "doc_id long, row long, n_words long, hit_words array<struct<first: long, last: long>>, hit_spans array<struct<start: long, end: long>>, items array<string>"
+HITS = "doc_id long, key long, row long, n_words long, hit_words array<struct<first: long, last: long>>, hit_spans array<struct<start: long, end: long>>, items array<string>"
 
 
 def windows_of(text: str | None, width: int = WORDS_IN_WINDOW) -> list[str]:
@@ -109,7 +109,7 @@ def _merged_runs(column: str, start: str, end: str):
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, width: int = WORDS_IN_WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_words, hit_spans, items.
+    """One row per document: doc_id, key (a hash of the text), n_words, hit_words, hit_spans, items.
 
     ``hit_words`` and ``hit_spans`` are disjoint runs in order (overlapping hits joined), of word numbers
     and of characters of the original text, ends exclusive. ``items`` are the
@@ -122,7 +122,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WORDS_IN_WINDOW,
     windows = written(_windows(items, width), "windows")
     size = windows.agg(F.coalesce(F.sum(F.octet_length("window") + 16 * F.size("items") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", text_key().alias("key"))
     if blocks > 1:
         # Each block's hits are joined by row, as ids may repeat.
         docs = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
@@ -141,6 +141,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WORDS_IN_WINDOW,
         .groupBy("row")
         .agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("key").alias("key"),
             F.first("n_words").alias("n_words"),
             _merged_runs("hit_words", "first", "last").alias("hit_words"),
             _merged_runs("hit_spans", "start", "end").alias("hit_spans"),
@@ -161,13 +162,14 @@ def _scan_with(shared):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("key"),
                     batch.column("row"),
                     pa.array([f[0] for f in found], pa.int64()),
                     pa.array([[{"first": a, "last": b} for a, b in f[1]] for f in found], spans[0]),
                     pa.array([[{"start": a, "end": b} for a, b in f[2]] for f in found], spans[1]),
                     pa.array([f[3] for f in found], pa.list_(pa.string())),
                 ],
-                ["doc_id", "row", "n_words", "hit_words", "hit_spans", "items"],
+                ["doc_id", "key", "row", "n_words", "hit_words", "hit_spans", "items"],
             )
 
     return run

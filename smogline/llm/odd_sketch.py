@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.common import bounded_batches, slices, small_or_shuffled, written
+from smogline.llm.common import bounded_batches, slices, small_or_shuffled, text_key, written
 from smogline.llm.components import connected
 
 WORDS_IN_SHINGLE = 5
@@ -107,7 +107,7 @@ def largest_distance(percent: int, samples: int, deviations: float = 6.5) -> int
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, high and low half of the set's digest, band keys, sketch."""
+    """doc_id, key of the text, n_shingles, high and low half of the set's digest, band keys, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = Signatures()
@@ -124,14 +124,15 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("key"),
                     *(pa.array(column, pa.int64()) for column in columns[:3]),
                     *(pa.array(column, pa.list_(pa.int64())) for column in columns[3:]),
                 ],
-                ["doc_id", "n_shingles", "high", "low", "bands", "sketch"],
+                ["doc_id", "key", "n_shingles", "high", "low", "bands", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, high long, low long, bands array<long>, sketch array<long>"
+    return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(
+        run, "doc_id long, key long, n_shingles long, high long, low long, bands array<long>, sketch array<long>"
     )
 
 
@@ -263,7 +264,7 @@ def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_IN_SHINGLE) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, key (a hash of the text).
 
     Documents are linked if 100 * shared shingles >= percent * all shingles of
     the two; ``component_id`` is the least doc_id reachable over links. A
@@ -308,4 +309,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "key",
     )

@@ -109,6 +109,21 @@ def test_stages_keep_odd_rows(spark):
         assert stage(spark, empty, SMOKE_FOLDER).count() == 0
 
 
+def test_verdicts_are_of_rows(spark):
+    item = spark.read.parquet(f"{SMOKE_FOLDER}/benchmark.parquet").first().text
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(60)) for name in "abcd")
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c), (7, item), (7, d), (None, item), (None, None)]
+    rows = [(i, text, "en", "s", len(text or "")) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    one = corpus_pipeline.one_of_each(spark, docs, SMOKE_FOLDER)
+    assert {(row.doc_id, row.text) for row in one.collect()} == {(3, a), (5, b), (None, c), (7, item), (7, d), (None, None)}
+    assert one.count() == 6 and one.columns == docs.columns
+    clean = corpus_pipeline.leaks_out(spark, docs, SMOKE_FOLDER)
+    assert sorted((row.doc_id or 0, row.text or "") for row in clean.collect()) == sorted(
+        (row[0] or 0, row[1] or "") for row in rows if row[1] != item
+    )
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SMOKE_FOLDER).toPandas()
     assert isinstance(rows, pd.DataFrame) and 100 < len(rows) <= 200 and rows.doc_id.is_unique
