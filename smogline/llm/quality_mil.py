@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from smogline.llm.common import bounded_batches, labelled_texts, sample_ids
 
 PASSAGE = 2000
-# Labelled documents of each label, and passages of each of them, to fit on at most.
+# Labelled documents of each label to fit on at most, and passages of all of them together.
 PER_LABEL = 2000
-PASSAGES_TO_FIT = 32
+PASSAGES_TO_FIT = 128_000
 CLASSES = ("upper", "lower", "letter", "digit", "blank", "line", "symbol", "bar", "shout", "stop", "other")
 FEATURES = len(CLASSES) + 6
 
@@ -193,21 +193,47 @@ def fit_network(
     return Network(mean, scale, w, prior)
 
 
+def _fitting(docs: DataFrame, sample: DataFrame, most: int) -> DataFrame:
+    """The sample, or so many of its ids in the order of their hash that they have ``most`` passages at most.
+
+    Half of these are for each label. An id with more than that alone is passed
+    over, whatever its label. Weights follow the number of ids left.
+    """
+    passages = F.greatest(F.lit(1), F.ceil(F.length("text") / PASSAGE))
+    sample = sample.withColumn("order", F.xxhash64("doc_id"))
+    counted = (
+        labelled_texts(docs, sample)
+        .where("text is not null")
+        .groupBy("doc_id", "label", "weight", "order")
+        .agg(F.sum(passages).alias("passages"))
+        .toPandas()
+    )
+    if counted["passages"].sum() <= most:
+        return sample.select("doc_id", "label", "weight")
+    few = counted[counted["passages"] <= most // 2].sort_values(["order", "doc_id"])
+    few = few[few.groupby("label")["passages"].cumsum() <= most // 2]
+    stand_for = counted.groupby("label").size() / few.groupby("label").size()
+    rows = [(int(i), int(y), float(w * stand_for[y])) for i, y, w in zip(few["doc_id"], few["label"], few["weight"])]
+    return docs.sparkSession.createDataFrame(rows, "doc_id long, label int, weight double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_LABEL, label: str = "quality") -> Network:
     """Fit on documents whose row of ``labels`` satisfies ``learn``.
 
     Labels other than 0 and 1 and contradicting ones are passed over, and so are
-    NULL texts. The driver gets at most 2 * per_label * PASSAGES_TO_FIT rows of
-    features, the first passages of longer documents of the sample.
+    NULL texts. The driver gets all passages of the sampled documents, one row of
+    features each; where these would be more than PASSAGES_TO_FIT, fewer
+    documents are drawn.
     """
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            coded = [encode(text)[:PASSAGES_TO_FIT].ravel() for text in batch["text"]]
+            coded = [encode(text).ravel() for text in batch["text"]]
             yield batch[["doc_id", "label", "weight"]].assign(bag=coded)
 
     bounded_batches(docs.sparkSession)
-    texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
+    sample = _fitting(docs, sample_ids(labels, label, learn, per_label), PASSAGES_TO_FIT)
+    texts = labelled_texts(docs, sample).where("text is not null")
     rows = texts.mapInPandas(bags, "doc_id long, label int, weight double, bag array<float>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     sampled = [np.asarray(bag, np.float32).reshape(-1, FEATURES) for bag in rows["bag"]]

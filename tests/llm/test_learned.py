@@ -51,6 +51,22 @@ def test_quality_attends_to_the_odd_passage():
     assert np.mean([a == 1 for a in attended]) > 0.8
 
 
+def test_quality_is_fitted_on_whole_documents(spark):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("etaoin shrdlu. "), 35 * quality_mil.PASSAGE)) for _ in range(24)]
+    # What is wrong with the second half comes late.
+    texts[12:] = [text[:-4000] + "### $$$ %%% " * 166 + text[-2008:] for text in texts[12:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(2)
+    labels = spark.createDataFrame([(i, int(i < 12), 0) for i in range(24)], LABELS)
+    network = quality_mil.fit(docs, labels, F.lit(True))
+    scores = np.array([network.look(quality_mil.encode(text))[0] for text in texts])
+    assert ((scores > 0.5) == (np.arange(24) < 12)).all()
+    sample = sample_ids(labels, "quality", F.lit(True), 100)
+    assert len(quality_mil._fitting(docs, sample, 24 * 35).collect()) == 24
+    fewer = quality_mil._fitting(docs, sample, 10 * 35 + 1).collect()
+    assert sorted((row.label, round(row.weight, 2)) for row in fewer) == [(0, 2.4)] * 5 + [(1, 2.4)] * 5
+
+
 def test_fitting_lowers_the_loss():
     rng = np.random.default_rng(1)
     bags = [rng.normal(size=(n, quality_mil.FEATURES)) for n in (1, 3, 2, 4)]
