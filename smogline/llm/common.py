@@ -42,6 +42,30 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def in_order(rows: DataFrame, *order: Column, position: str = "position") -> DataFrame:
+    """The rows with their place in the order of all rows: 0, 1, 2 ... without gaps.
+
+    Rows are dealt by range and sorted once. Places inside a range are shifted
+    by the sizes of the ranges before: one number for each range comes to the
+    driver, however many rows there are. ``order`` should tell rows apart, or a
+    run of equal ones lands in one range.
+    """
+    spark = rows.sparkSession
+    # The range in the upper bits and the row in the lower ones, as Spark documents them.
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(position, F.monotonically_increasing_id())
+    ranged = written(ranged, "ranged")
+    part = F.shiftright(position, 33)
+    sizes = sorted((row["part"], row["count"]) for row in ranged.groupBy(part.alias("part")).count().collect())
+    firsts, before = [], 0
+    for number, count in sizes:
+        firsts.append((number, before))
+        before += count
+    shifts = spark.createDataFrame(firsts, "_range long, _first long")
+    inside = F.col(position).bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ranged.join(F.broadcast(shifts), part == F.col("_range"))
+    return placed.withColumn(position, F.col("_first") + inside).drop("_range", "_first")
+
+
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; NULL for a NULL id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")), F.lit(folds))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from smogline.llm import (
     decision_list,
     decontaminate,
+    importance,
     language_id,
     odd_sketch,
     pii_bootstrap,
@@ -199,3 +200,46 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         "rule",
     )
+
+
+# The CRC of a feature's bytes, by the same table as above.
+FEATURE_CRC = """xor(list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(hexes), 2), lambda i: CAST('0x' || substr(hexes, i, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+@query(f"""
+    WITH tabled AS MATERIALIZED (SELECT {CRC_TABLE} AS crcs),
+    texts AS MATERIALIZED (
+        SELECT true AS corpus, row_number() OVER () AS row, doc_id, {PLAIN_WORDS} AS words FROM documents
+        UNION ALL SELECT false, row_number() OVER (), NULL, {PLAIN_WORDS} FROM benchmark),
+    places AS (SELECT corpus, row, words, unnest(range(1, len(words) + 1)) AS i FROM texts),
+    runs AS MATERIALIZED (
+        SELECT corpus, row, array_to_string(list_slice(words, i, i + width - 1), ' ') AS feature, count(*) AS n
+        FROM places, (SELECT unnest([1, 2, 3]) AS width) WHERE i + width - 1 <= len(words) GROUP BY ALL),
+    hashed AS MATERIALIZED (
+        SELECT feature, {FEATURE_CRC} % 10000 AS bucket
+        FROM (SELECT feature, hex(encode(feature)) AS hexes FROM (SELECT DISTINCT feature FROM runs)), tabled),
+    counted AS (
+        SELECT bucket, sum(n) FILTER (corpus) AS s, sum(n) FILTER (NOT corpus) AS t FROM runs JOIN hashed USING (feature) GROUP BY bucket),
+    gains AS (
+        SELECT bucket, CAST(floor(1000 * ln(((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(coalesce(sum(s) OVER (), 0) AS DOUBLE) + 10000))
+                                          / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (CAST(coalesce(sum(t) OVER (), 0) AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+        FROM counted),
+    weights AS (
+        SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+        FROM runs JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE corpus GROUP BY row),
+    scored AS (
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                   (CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+        FROM texts LEFT JOIN weights USING (row) WHERE corpus),
+    ranked AS (
+        SELECT *, row_number() OVER (ORDER BY n_words < 20, score DESC, doc_id NULLS FIRST) AS place,
+               count(*) FILTER (n_words >= 20) OVER () AS able FROM scored)
+    SELECT doc_id, n_words, n_features, weight, score,
+           CASE WHEN n_words >= 20 AND place <= 5 * able // 100 THEN place END AS rank
+    FROM ranked
+""")
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
