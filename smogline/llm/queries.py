@@ -13,6 +13,7 @@ from smogline.llm import (
     decontaminate,
     importance,
     language_id,
+    merkle,
     odd_sketch,
     pii_bootstrap,
     piece_bpe,
@@ -243,3 +244,69 @@ FEATURE_CRC = """xor(list_reduce(
 """)
 def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    named = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    return f"sha256({' || '.join(map(_field, named))})"
+
+
+# CRC-32 of an id's digits, as above.
+ID_CRC = """xor(list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(digits) + 1), lambda i: CAST(ascii(substr(digits, i, 1)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"""
+# Levels of nodes from leaves (tree, place, digest), and each run's digests in order.
+CLIMB = """
+    SELECT 0 AS level, tree, place, digest, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+    UNION ALL
+    SELECT level + 1, tree, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+    FROM {nodes} WHERE n > 1 GROUP BY level, tree, place // 8, n"""
+RUNS = "SELECT level, tree, place // 8 AS run, list(digest ORDER BY place) AS digests FROM {nodes} WHERE n > 1 GROUP BY ALL"
+SIDES = "array_to_string(list_slice(digests, 1, spot), '') AS lefts, array_to_string(list_slice(digests, spot + 2, 8), '') AS rights"
+
+
+@query(f"""
+    WITH RECURSIVE tabled AS MATERIALIZED (SELECT {CRC_TABLE} AS crcs),
+    rows AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, doc_id, lang, {_leaf("text")} AS leaf,
+               CASE WHEN {ID_CRC} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                    ELSE {_leaf("text")} END AS seen
+        FROM (SELECT *, CAST(doc_id AS VARCHAR) AS digits FROM documents), tabled),
+    placed AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS place,
+               dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree
+        FROM rows),
+    leaves AS (SELECT tree, place, leaf AS digest FROM placed),
+    nodes AS ({CLIMB.format(leaves="leaves", nodes="nodes")}),
+    subroots AS MATERIALIZED (SELECT 0 AS tree, tree AS place, digest FROM nodes WHERE n = 1),
+    tops AS ({CLIMB.format(leaves="subroots", nodes="tops")}),
+    steps AS MATERIALIZED (
+        SELECT row, level, {SIDES}
+        FROM (SELECT row, level, digests, (place // CAST(8 ** level AS BIGINT)) % 8 AS spot
+              FROM placed JOIN ({RUNS.format(nodes="nodes")}) USING (tree)
+              WHERE run = place // CAST(8 ** (level + 1) AS BIGINT))
+        UNION ALL
+        SELECT row, 100 + level, {SIDES}
+        FROM (SELECT row, level, digests, (placed.tree // CAST(8 ** level AS BIGINT)) % 8 AS spot
+              FROM placed, ({RUNS.format(nodes="tops")}) AS runs
+              WHERE run = placed.tree // CAST(8 ** (level + 1) AS BIGINT))),
+    paths AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY row ORDER BY level) AS k, count(*) OVER (PARTITION BY row) AS length FROM steps),
+    folds AS (
+        SELECT row, 0 AS k, seen AS acc FROM placed
+        UNION ALL
+        SELECT row, folds.k + 1, sha256(lefts || acc || rights) FROM folds JOIN paths USING (row) WHERE paths.k = folds.k + 1),
+    proofs AS (SELECT row, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof, count(*) AS length FROM steps GROUP BY row),
+    root AS (SELECT digest AS root FROM tops WHERE n = 1)
+    SELECT doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
+           acc AS folded_root, acc = root AS verified
+    FROM placed JOIN subroots ON subroots.place = placed.tree CROSS JOIN root
+         LEFT JOIN proofs USING (row) JOIN folds ON folds.row = placed.row AND folds.k = coalesce(length, 0)
+""")
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return merkle.manifest(docs, merkle.lowered(F.col("doc_id"), F.col("text")))
