@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.llm import (
+    attention_lm,
     decision_list,
     decontaminate,
     importance,
@@ -246,6 +247,14 @@ def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query()
+def op11_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    away = held_out("doc_id", 5, 1)
+    model = attention_lm.fit(docs, ~away, public_tokenizers.path(MODEL))
+    return attention_lm.score(docs, model, away)
+
+
 def _field(value: str) -> str:
     return f"coalesce(strlen({value}) || ':' || {value}, '-')"
 

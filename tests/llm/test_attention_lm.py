@@ -1,0 +1,189 @@
+"""The self-attention language model against brute force."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from smogline.llm import attention_lm as lm
+from smogline.llm.common import held_out
+from smogline.llm.queries import MODEL
+
+PATH = public_tokenizers.path(MODEL)
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def tokens(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [*WORD.findall(lowered), None]
+
+
+def base_scores(rows):
+    """doc_id to n_tokens, n_known, train_tokens and base score."""
+    counts = Counter(t for i, text in rows if i is not None and zlib.crc32(str(i).encode()) % 5 != 1 for t in tokens(text))
+    total, distinct = sum(counts.values()), len(counts)
+    out = {}
+    for i, text in rows:
+        found = tokens(text)
+        score = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in found)
+        out[i] = (len(found), sum(counts[t] > 0 for t in found), total, score)
+    return out
+
+
+def naive(network, ids, at):
+    """Distribution after ids[:at], token by token in plain loops."""
+    w = {name: value.astype(float) for name, value in network.weights.items()}
+    sequence = [network.start, *map(int, ids)]
+    begin = at // lm.SPAN * lm.SPAN
+    context = sequence[max(0, begin - lm.SPAN) : at + 1]
+    codes = [w["code"][network.read[i]] for i in context]
+    size = lm.WIDTH // lm.HEADS
+    mixed = []
+    for head in range(lm.HEADS):
+        part = slice(head * size, (head + 1) * size)
+        q = (codes[-1] @ w["q"])[part]
+        energy = [q @ (c @ w["k"])[part] / math.sqrt(size) + w["distance"][head][len(codes) - 1 - j] for j, c in enumerate(codes)]
+        share = np.exp(energy) / np.exp(energy).sum()
+        mixed.append(sum(a * (c @ w["v"])[part] for a, c in zip(share, codes)))
+    hidden = codes[-1] + np.tanh(codes[-1] @ w["m"] + np.concatenate(mixed) @ w["o"] + w["m_bias"])
+    logits = hidden @ w["out"] + w["out_bias"]
+    of_class = np.exp(logits) / np.exp(logits).sum()
+    return of_class[network.predicted] * np.exp(network.within)
+
+
+@pytest.fixture(scope="module")
+def trained():
+    """A network after a few steps on made-up counts and texts."""
+    coder = lm.subwords(PATH)
+    numbers = np.random.default_rng(5)
+    ids = numbers.zipf(1.3, 4000) % 3000
+    network = lm.Network.untrained(np.bincount(ids, minlength=coder.size), coder.start)
+    descent = lm.Adam(network, 0.05)
+    for _ in range(30):
+        descent.step(network.windows(ids.astype(np.uint32))[:64])
+    return network
+
+
+def test_windows_score_each_token_once(trained):
+    ids = (np.arange(53) * 7 % 900).astype(np.uint32)
+    windows = trained.windows(ids)
+    after = windows[:, lm.SPAN + 1 :].ravel()
+    assert after[after != lm.ABSENT].tolist() == ids.tolist()
+    expected = sum(math.log(naive(trained, ids, at)[ids[at]]) for at in range(len(ids)))
+    assert trained.log_probability(windows).sum() == pytest.approx(expected, rel=1e-4)
+
+
+def test_short_and_careful_ways_agree(trained):
+    ids = (np.arange(400) * 31 % 2500).astype(np.uint32)
+    windows = trained.windows(ids)
+    there = windows[:, lm.SPAN + 1 :].ravel() != lm.ABSENT
+    careful = np.where(there, trained._carefully(windows), 0).reshape(len(windows), -1).sum(axis=1)
+    assert np.allclose(trained.log_probability(windows), careful, rtol=1e-4)
+    steep = lm.Network({**trained.weights, "q": trained.weights["q"] * 1e4}, trained.read, trained.predicted, trained.within, trained.start)
+    assert np.isfinite(steep.log_probability(windows)).all()
+
+
+def test_probabilities_add_up_and_the_future_is_masked(trained):
+    ids = (np.arange(40) * 13 % 700).astype(np.uint32)
+    assert naive(trained, ids, 20).sum() == pytest.approx(1)
+    changed = ids.copy()
+    changed[30:] = 5
+    old, new = (trained.forward(trained.windows(x))["logits"] for x in (ids, changed))
+    # Token 30 is the input of place 31: places up to 30 see nothing of the change.
+    assert np.allclose(old[:31], new[:31]) and not np.allclose(old[31:40], new[31:40])
+
+
+def test_slopes_are_those_of_the_loss(trained):
+    windows = trained.windows((np.arange(100) * 17 % 1200).astype(np.uint32))
+    there = (windows[:, lm.SPAN + 1 :] != lm.ABSENT).sum()
+    wide = lm.Network({k: v.astype(np.float64) for k, v in trained.weights.items()}, trained.read, trained.predicted, trained.within, trained.start)
+
+    def loss():
+        logs = np.where(windows[:, lm.SPAN + 1 :].ravel() != lm.ABSENT, wide._carefully(windows), 0)
+        return -logs.sum() / there
+
+    slopes = wide.slopes(windows)
+    numbers = np.random.default_rng(1)
+    for name, value in wide.weights.items():
+        flat = value.reshape(-1)
+        steepest = np.argsort(-np.abs(slopes[name].ravel()))[:50]
+        for place in numbers.choice(steepest, min(3, flat.size)):
+            before = flat[place]
+            flat[place] = before + 1e-4
+            up = loss()
+            flat[place] = before - 1e-4
+            down = loss()
+            flat[place] = before
+            assert slopes[name].ravel()[place] == pytest.approx((up - down) / 2e-4, rel=0.02, abs=1e-6), name
+
+
+def test_classes_cover_all_ids():
+    counts = np.array([5, 0, 100, 7, 7, 0, 1, 50])
+    of = lm.classes(counts, 2, 3)
+    assert of[2] == 0 and of[7] == 1 and set(of) <= set(range(5)) and (of[[1, 5]] == 4).all()
+    within = np.exp(lm.inside(counts, of, 5))
+    assert np.allclose(np.bincount(of, within, 5)[np.unique(of)], 1)
+
+
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(row.doc_id, row.text) for row in docs.collect()]
+    away = held_out("doc_id", 5, 1)
+    model = lm.fit(docs, ~away, PATH)
+    found = lm.score(docs, model, away).toPandas().set_index("doc_id")
+    for i, (n, known, total, score) in base_scores(rows).items():
+        row = found.loc[i]
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
+        assert row.base_score == pytest.approx(score, rel=1e-9)
+        assert row.held_out == (zlib.crc32(str(i).encode()) % 5 == 1)
+    # What was learned: better than the subwords' frequencies on texts that it has not seen.
+    coder = lm.subwords(PATH)
+    unseen = [coder.sequences([lm.words_of(text.encode())])[0] for i, text in rows if zlib.crc32(str(i).encode()) % 5 == 1]
+    frequency = np.zeros(coder.size)
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            np.add.at(frequency, coder.sequences([lm.words_of(text.encode())])[0], 1)
+    plain = lm.Network.untrained(frequency, coder.start)
+    before, after = (sum(n.log_probability(n.windows(ids)).sum() for ids in unseen) / sum(map(len, unseen)) for n in (plain, model.network))
+    assert after > before + 0.3
+    row = found[found.held_out].iloc[0]
+    text = dict(rows)[found[found.held_out].index[0]]
+    ids = coder.sequences([lm.words_of(text.encode())])[0]
+    assert row.score == pytest.approx(model.network.log_probability(model.network.windows(ids)).sum() / math.log(10), rel=1e-5)
+
+
+def test_rare_and_frequent_words_meet_the_same_counts(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 7, 60, 1 + i % 3)) + " MixEd mixed") for i in range(40)]
+    rows += [(100, "x" * 100 + " " + "x" * 100), (206, None), (211, "never seen before " + "y" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    monkeypatch.setattr(lm, "FREQUENT", 12)
+    model = lm.fit(docs, ~held_out("doc_id", 5, 1), PATH)
+    frequent, _ = lm._frequent(model.counts, 12)
+    assert 0 < frequent.count() <= 12
+    found = lm.score(docs, model, held_out("doc_id", 5, 1)).toPandas()
+    expected = base_scores(rows)
+    assert len(found) == len(rows)
+    for row in found.itertuples():
+        n, known, total, score = expected[row.doc_id]
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
+        assert row.base_score == pytest.approx(score, rel=1e-9)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "no id", "a"), (2, None, "b"), (2, "", "c"), (2, "same id", "d"), (2, "same id", "d"), (3, "word " * 50_000, "e")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, n STRING").withColumns({c: F.lit("clash") for c in ("word", "row", "rare", "base", "held_out", "windows")})
+    away = held_out("doc_id", 5, 1)
+    found = lm.score(docs, lm.fit(docs, ~away, PATH), away).collect()
+    assert len(found) == 6 and {row.n_tokens for row in found if row.doc_id == 2} == {1, 3}
+    assert [row.held_out for row in found if row.doc_id is None] == [True]
+    assert [row.n_tokens for row in found if row.doc_id == 3] == [50_001]
+    assert all(row.score < 0 and math.isfinite(row.score) for row in found)
+    empty = docs.limit(0)
+    assert lm.score(empty, lm.fit(empty, ~away, PATH), away).count() == 0
+    untaught = lm.score(docs, lm.fit(docs, F.lit(False), PATH), away).collect()
+    assert all(row.n_known == 0 and row.train_tokens == 0 and math.isfinite(row.score) for row in untaught)
