@@ -114,9 +114,18 @@ def sample_ids(labels: DataFrame, label: str, learn: Column, per_label: int) ->
     return parts[0].unionByName(parts[1])
 
 
+def one_text(rows: DataFrame, *key: str) -> DataFrame:
+    """One row per key, with its text of the least hash: an id on very many rows counts once, and moves once per task."""
+    return rows.groupBy(*key).agg(F.min_by("text", text_key()).alias("text"))
+
+
 def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """The sampled documents with label and weight; the sample's bound makes the broadcast safe."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    """The sampled documents with label and weight, one of each id; the sample's bound makes the broadcast safe.
+
+    NULL texts are left out.
+    """
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id")
+    return one_text(found, *sample.columns)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

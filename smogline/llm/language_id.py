@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.common import bounded_batches
+from smogline.llm.common import bounded_batches, one_text, small_or_shuffled, written
 
 BUCKET_BITS = 11
 BUCKETS = 1 << BUCKET_BITS
@@ -68,20 +68,21 @@ def features(text: str | None) -> np.ndarray:
     out = np.zeros(BUCKETS)
     text = (text or "").lower()
     shift = np.uint32(32 - BUCKET_BITS)
+    # Blocks bound the memory; each one takes the last two characters of the one before along.
+    tail = np.empty(0, np.uint32)
     for start in range(0, len(text), BLOCK):
-        # Blocks bound the memory; n-grams across two of them are left out.
         part = text[start : start + BLOCK]
         codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = np.where(codes < 0x10000, _LETTERS[0][np.minimum(codes, 0xFFFF)], codes)
         blank = codes == 32
-        codes = codes[~(blank & np.concatenate([[False], blank[:-1]]))] if len(codes) else codes
-        if not len(codes):
-            continue
-        one = codes * np.uint32(0x9E3779B1)
-        two = (one[:-1] ^ (codes[1:] + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
-        three = (two[:-1] ^ (codes[2:] + np.uint32(0x165667B1))) * np.uint32(0xC2B2AE35)
-        for grams in (one, two, three):
-            out += np.bincount((grams >> shift).astype(np.int64), minlength=BUCKETS)
+        codes = codes[~(blank & np.concatenate([[len(tail) > 0 and tail[-1] == 32], blank[:-1]]))]
+        joined = np.concatenate([tail, codes])
+        one = joined * np.uint32(0x9E3779B1)
+        two = (one[:-1] ^ (joined[1:] + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
+        three = (two[:-1] ^ (joined[2:] + np.uint32(0x165667B1))) * np.uint32(0xC2B2AE35)
+        for grams, old in ((one, len(tail)), (two, max(0, len(tail) - 1)), (three, 0)):
+            out += np.bincount((grams[old:] >> shift).astype(np.int64), minlength=BUCKETS)
+        tail = joined[-2:]
     out = np.sqrt(out)
     return (out / max(1e-9, np.sqrt((out**2).sum()))).astype(np.float32)
 
@@ -148,33 +149,44 @@ class Hierarchy:
         return language, sure * within
 
 
+def sampled(rows: DataFrame, each: int) -> DataFrame:
+    """(lang, doc_id): the first ``each`` ids of every language by a hash of id and language.
+
+    Only ids below a bound on the hash are ranked. It follows from the number of
+    the language's ids, so that about twice as many as wanted stay, whatever
+    share of the rows a language or an id has.
+    """
+    hashed = rows.select("lang", "doc_id", F.xxhash64("doc_id", "lang").alias("order"))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    bounds = sizes.select("lang", (F.lit(float(2 * each + 64)) / F.greatest("ids", F.lit(1))).alias("share"))
+    low = F.shiftrightunsigned("order", 11) / float(1 << 53) < F.col("share")
+    few = hashed.join(small_or_shuffled(written(bounds, "languages")), "lang").where(low)
+    ranked = Window.partitionBy("lang").orderBy("order", "doc_id")
+    few = few.select("lang", "doc_id", "order").distinct().withColumn("rank", F.row_number().over(ranked))
+    return few.where(F.col("rank") <= each).select("lang", "doc_id")
+
+
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> Hierarchy:
     """Fit on documents that satisfy ``learn`` and have lang.
 
-    Of each language the first ``per_language`` by a hash of id and language are
-    taken, fewer if ``sample`` would not suffice for all languages; those whose
-    text has no letter teach nothing. Without documents to learn from everything
-    is undetermined.
+    Of each language the first ``per_language`` ids by a hash are taken, fewer if
+    ``sample`` would not suffice for all languages, and one text of each id;
+    texts without a letter teach nothing. The driver gets ``sample`` rows at
+    most, so of more languages than that some are not learned. Without documents
+    to learn from everything is undetermined. Other columns are not looked at.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull())
+    rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     languages = rows.agg(F.count_distinct("lang")).first()[0]
     each = min(per_language, max(1, sample // max(1, languages)))
-    ranked = Window.partitionBy("lang").orderBy("order", "doc_id")
-    # Ids are ranked without their texts, which are then fetched for the bounded sample.
-    ids = (
-        rows.select("lang", "doc_id", F.xxhash64("doc_id", "lang").alias("order"))
-        .withColumn("rank", F.row_number().over(ranked))
-        .where(F.col("rank") <= each)
-        .select("doc_id")
-        .distinct()
-    )
+    ids = sampled(rows, each).orderBy("doc_id", "lang").limit(sample)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch[["doc_id", "lang"]].assign(x=[features(text).tobytes() for text in batch["text"]])
 
-    lettered = rows.join(F.broadcast(ids), "doc_id").where(F.col("text").rlike(r"\p{L}"))
+    lettered = rows.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), ["lang", "doc_id"])
+    lettered = one_text(lettered, "lang", "doc_id")
     chosen = lettered.mapInPandas(hashed, "doc_id long, lang string, x binary").toPandas()
     if not len(chosen):
         return Hierarchy(Pairs([], np.zeros((0, BUCKETS)), np.zeros(0)), {})

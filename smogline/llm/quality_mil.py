@@ -203,7 +203,6 @@ def _fitting(docs: DataFrame, sample: DataFrame, most: int) -> DataFrame:
     sample = sample.withColumn("order", F.xxhash64("doc_id"))
     counted = (
         labelled_texts(docs, sample)
-        .where("text is not null")
         .groupBy("doc_id", "label", "weight", "order")
         .agg(F.sum(passages).alias("passages"))
         .toPandas()
@@ -221,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_
     """Fit on documents whose row of ``labels`` satisfies ``learn``.
 
     Labels other than 0 and 1 and contradicting ones are passed over, and so are
-    NULL texts. The driver gets all passages of the sampled documents, one row of
+    NULL texts; of an id on several rows one text is taken. The driver gets all passages of the sampled documents, one row of
     features each; where these would be more than PASSAGES_TO_FIT, fewer
     documents are drawn.
     """
@@ -233,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_
 
     bounded_batches(docs.sparkSession)
     sample = _fitting(docs, sample_ids(labels, label, learn, per_label), PASSAGES_TO_FIT)
-    texts = labelled_texts(docs, sample).where("text is not null")
+    texts = labelled_texts(docs, sample)
     rows = texts.mapInPandas(bags, "doc_id long, label int, weight double, bag array<float>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     sampled = [np.asarray(bag, np.float32).reshape(-1, FEATURES) for bag in rows["bag"]]

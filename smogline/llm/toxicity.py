@@ -168,7 +168,7 @@ def fit(
     """Fit on documents whose row of ``labels`` satisfies ``learn``.
 
     Other than 0 and 1, NULL and contradicting labels are passed over, and so are
-    NULL texts. Without usable labels every text gets one low score. The driver
+    NULL texts; of an id on several rows one text is taken. Without usable labels every text gets one low score. The driver
     gets labels and kept buckets of the sample: at most 2 * per_label * terms numbers.
     """
 
@@ -182,7 +182,7 @@ def fit(
             )
 
     bounded_batches(docs.sparkSession)
-    texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label)).where("text is not null")
+    texts = labelled_texts(docs, sample_ids(labels, label, learn, per_label))
     texts = texts.withColumn("row", F.monotonically_increasing_id())
     sampled = written(texts.mapInArrow(bags, "row long, label int, weight double, bag array<int>"), "term-bags")
     heads = sampled.select("row", "label", "weight").orderBy("row").toPandas()

@@ -148,3 +148,47 @@ def test_nothing_to_learn_from(spark):
     assert quality_mil.fit(docs, one_sided, F.lit(True)).look(quality_mil.encode(None))[0] > 0.9
     empty = docs.limit(0).select(toxicity.score(machine, "text"), quality_mil.score(network, "text"))
     assert empty.count() == 0
+
+
+def test_grams_cross_blocks(monkeypatch):
+    texts = ["one two  three, 4 five", "aa  " * 30, " - ", "É" * 20 + " x", "ab"]
+    whole = [language_id.features(text) for text in texts]
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "BLOCK", size)
+        for text, expected in zip(texts, whole):
+            assert np.allclose(language_id.features(text), expected), (size, text)
+
+
+def test_an_id_on_most_rows_is_learned_from_once(spark):
+    rows = [(7, f"again {i} {'x' * (i % 5)}", "en") for i in range(4000)] + [(i, f"text number {i}", "en") for i in range(100, 160)]
+    rows += [(i, f"texte numéro {i}", "fr") for i in range(200, 230)] + [(None, "sans numéro", "fr"), (7, "encore", "fr"), (8, None, "fr")]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("clash") for c in ("order", "rank", "ids", "share", "label", "weight", "bag")})
+    ids = language_id.sampled(docs.where("doc_id is not null"), 20).collect()
+    assert len(ids) == len(set(ids)) == 40
+    assert len(language_id.sampled(docs.where("doc_id = 7"), 20).collect()) == 2
+    machines = language_id.fit(docs, F.lit(True), per_language=1000)
+    assert machines.languages["germanic"].classes == ["en"] and machines.languages["romance"].classes == ["fr"]
+    labels = spark.createDataFrame([(i, int(i < 120), int(i < 120)) for i in [7, *range(100, 160)]], LABELS)
+    from smogline.llm.common import labelled_texts
+
+    sample = sample_ids(labels, "quality", F.lit(True), 1000)
+    assert labelled_texts(docs.where("lang = 'en'"), sample).count() == 61
+    assert 0 <= toxicity.fit(docs, labels, F.lit(True)).score("text") <= 1
+    assert 0 <= quality_mil.fit(docs, labels, F.lit(True)).look(quality_mil.encode("text"))[0] <= 1
+
+
+def test_no_task_ranks_a_language(spark, docs):
+    few = language_id.sampled(docs.where("lang is not null"), 10)
+    ranked = few.collect()
+    assert len(ranked) == 40
+    # What reaches the ranking is bounded by the number wanted, not by the table.
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("share") > plan.index("row_number")
+
+
+def test_very_long_texts(spark):
+    long = "the house and the garden " * 60_000
+    docs = spark.createDataFrame([(1, long, "en"), (2, "la maison et le jardin " * 50, "fr")], DOCS)
+    machines = language_id.fit(docs, F.lit(True))
+    assert machines.predict(long)[0] == "en" and machines.predict("la maison et le jardin")[0] == "fr"
+    assert np.isfinite(quality_mil.encode(long)).all()
