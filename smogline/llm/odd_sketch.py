@@ -42,6 +42,8 @@ ROWS = 6
 SKETCH_BITS = 1024
 # Pivots that a class is compared with in a round; the search for open pairs finds what others would link.
 PIVOTS = 12
+# Pairs with one pivot that go to one task.
+SPREAD = 32
 # Orders of ids, by XOR with these, that bands take their pivots from.
 ORDERS = (0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -136,20 +138,38 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the wanted documents, written."""
+def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) of the wanted classes, written; each from the text of its first document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingle_set(text, width).view(np.int64) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
-    wanted = docs.select("doc_id", "text").join(
-        small_or_shuffled(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi"
-    )
-    return written(wanted.mapInArrow(run, "id long, shingles array<long>"), "shingle-sets")
+    first = written(nodes.select("id", "doc_id", "key").join(small_or_shuffled(ids), "id", "left_semi"), "firsts")
+    texts = docs.select("doc_id", "text", text_key().alias("key")).join(small_or_shuffled(first), ["doc_id", "key"])
+    sets = written(texts.select("id", "text").mapInArrow(run, "id long, shingles array<long>"), "shingle-sets")
+    if sets.count() > first.count():
+        # Rows that repeat an id and its text.
+        sets = written(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    return sets
+
+
+def _both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the columns of both classes, named _a and _b.
+
+    Many classes are paired with one pivot. Such pairs are dealt in parts by a
+    hash of b, and each part gets the pivot's columns: about one copy for SPREAD
+    pairs, so no task has all pairs of a pivot.
+    """
+    hot = pairs.groupBy("a").agg(F.count("*").alias("pairs")).where(F.col("pairs") > SPREAD)
+    hot = written(hot.select("a", F.ceil(F.col("pairs") / SPREAD).cast("int").alias("parts")), "hot-pivots")
+    part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int")
+    dealt = pairs.join(small_or_shuffled(hot), "a", "left").withColumn("part", part).drop("parts")
+    pivots = rows.join(small_or_shuffled(hot.withColumnRenamed("a", "id")), "id", "left")
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    pivots = pivots.toDF(*("a" if name == "id" else name if name == "part" else f"{name}_a" for name in pivots.columns))
+    return dealt.join(_side(rows, "b"), "b").join(pivots, ["a", "part"]).drop("part")
 
 
 def _distance(left: str, right: str, bits: int = SKETCH_BITS) -> Column:
@@ -168,13 +188,12 @@ def _side(df: DataFrame, side: str) -> DataFrame:
     return df.toDF(*(side if name == "id" else f"{name}_{side}" for name in df.columns))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    sets = _sets(docs, ids, width)
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - shared
-    both = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b")
+    both = _both(pairs, _sets(docs, ids, nodes, width))
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
@@ -217,12 +236,11 @@ def _more_pairs(crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent
 
 def _sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b, distance) of the pairs whose sizes and sketches allow a link."""
-    marks = nodes.select("id", "n", "sketch")
-    both = pairs.join(_side(marks, "a"), "a").join(_side(marks, "b"), "b")
+    both = _both(written(pairs, "pairs"), nodes.select("id", "n", "sketch"))
     return both.where(_near(percent)).select("a", "b", _distance("sketch_a", "sketch_b").alias("distance"))
 
 
-def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
+def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame:
     """Every pair of two components that may be linked, among the classes that still share a band across them.
 
     Of their shingles, put in one order from rare to frequent, two linked sets
@@ -236,7 +254,7 @@ def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int
     unsettled = rows.join(split.select("band"), "band", "left_semi").select("id", "component").distinct()
     unsettled = written(unsettled, "unsettled")
     sets = written(
-        _sets(docs, unsettled.select("id").distinct(), width)
+        _sets(docs, written(unsettled.select("id").distinct(), "unsettled-ids"), nodes, width)
         .join(unsettled, "id")
         .select(F.monotonically_increasing_id().alias("row"), "id", "component", F.size("shingles").alias("n"), "shingles"),
         "unsettled-sets",
@@ -263,6 +281,26 @@ def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, percent: int
     return written(small.join(large, "shingle").where(in_order & sizes & apart & enough).select("a", "b").distinct(), "open-pairs")
 
 
+def _bridged(profiles: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, component) of the classes, after joining components that one doc_id has texts in."""
+    components = written(
+        classes.select("id", "high", "low").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")),
+        "components",
+    )
+    rows = profiles.where("high is not null and doc_id is not null")
+    digest = F.struct("high", "low")
+    several = rows.groupBy("doc_id").agg(F.min(digest).alias("least"), F.max(digest).alias("most")).where("least <> most")
+    several = written(several.select("doc_id"), "several-texts")
+    if several.isEmpty():
+        return components
+    meeting = rows.join(small_or_shuffled(several), "doc_id", "left_semi").join(components, ["high", "low"])
+    meeting = written(meeting.select("doc_id", "component").distinct(), "meeting")
+    first = meeting.groupBy("doc_id").agg(F.min("component").alias("a"))
+    bridges = connected(meeting.join(first, "doc_id").select("a", F.col("component").alias("b")), "bridges")
+    joined = bridges.select(F.col("id").alias("component"), F.col("component").alias("joined"))
+    return components.join(joined, "component", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_IN_SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, key (a hash of the text).
 
@@ -270,18 +308,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
     the two; ``component_id`` is the least doc_id reachable over links. A
     document without words has no shingles and stands alone. Rows that repeat a
     doc_id are one node, linked by any of its texts; a row without doc_id
-    stands alone and is kept. Other columns are not looked at.
+    stands alone and is kept. Very long texts are whole sets like others. Other
+    columns are not looked at.
 
-    ``percent`` of 80 or more keeps the chance of a missed link below 10^-7.
+    A link of similarity 0.8 is missed once in two million, one of 0.85 once in
+    10^10; ``percent`` must be 80 or more.
     """
     if percent < 80:
         raise ValueError("bands are laid out for similarities of 0.8 and more")
     bounded_batches(docs.sparkSession)
     profiles = written(_profiles(docs, width), "profiles")
-    classes = profiles.where("high is not null and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("id"))
+    grouped = profiles.where("high is not null and doc_id is not null").groupBy("high", "low")
+    first = grouped.agg(F.min(F.struct("doc_id", "key", "n_shingles", "sketch", "bands")).alias("first"))
+    # A class is named by a number of its own: an id may have texts in several of them.
     nodes = written(
-        profiles.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "high", "low"], "left_semi").select(
-            F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands"
+        first.select(
+            F.monotonically_increasing_id().alias("id"),
+            "high",
+            "low",
+            F.col("first.doc_id").alias("doc_id"),
+            F.col("first.key").alias("key"),
+            F.col("first.n_shingles").alias("n"),
+            F.col("first.sketch").alias("sketch"),
+            F.col("first.bands").alias("bands"),
         ),
         "classes",
     )
@@ -292,19 +341,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         "shared-bands",
     )
     crowded = written(members.join(small_or_shuffled(shared), "band"), "crowded-bands")
-    links = written(_confirmed(docs, _first_pairs(crowded, nodes, percent), percent, width), "links")
+    links = written(_confirmed(docs, _first_pairs(crowded, nodes, percent), nodes, percent, width), "links")
     labels = written(connected(links), "labels")
     for order in ORDERS:
-        found = _confirmed(docs, _more_pairs(crowded, labels, nodes, percent, order), percent, width)
+        found = _confirmed(docs, _more_pairs(crowded, labels, nodes, percent, order), nodes, percent, width)
         links = written(links.unionByName(found), "links")
         labels = written(connected(links), "labels")
-    open_pairs = _across(docs, crowded, labels, percent, width)
+    open_pairs = _across(docs, crowded, labels, nodes, percent, width)
     likely = written(_sifted(open_pairs, nodes, percent).select("a", "b"), "likely-pairs")
-    all_labels = connected(links.unionByName(_confirmed(docs, likely, percent, width)))
-
-    named = classes.join(all_labels, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return profiles.join(named, ["high", "low"], "left").select(
+    all_labels = connected(links.unionByName(_confirmed(docs, likely, nodes, percent, width)))
+
+    components = written(_bridged(profiles, nodes, all_labels), "bridged")
+    least = nodes.select("id", "doc_id").join(components, "id").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = written(components.join(least, "component").select("high", "low", "component_id"), "named")
+    told = profiles.join(named, ["high", "low"], "left")
+    wordless = profiles.where("high is null and doc_id is not null").select("doc_id").distinct()
+    # An id without words on one row may have some on another.
+    also = told.where("high is not null").join(small_or_shuffled(written(wordless, "wordless")), "doc_id", "left_semi")
+    also = written(also.groupBy("doc_id").agg(F.min("component_id").alias("other")), "also")
+    told = told.join(small_or_shuffled(also), "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "other", "doc_id"))
+    return told.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),

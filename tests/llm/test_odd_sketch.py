@@ -84,6 +84,20 @@ def test_nulls_repeats_and_other_columns(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    rng = random.Random(4)
+    a, b, c, d = ([f"{name}{rng.random()}" for _ in range(80)] for name in "abcd")
+    docs = [(3, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (7, " ".join(b)), (7, None), (8, mutated(rng, b, 1)), (8, " ".join(c))]
+    docs += [(2, mutated(rng, c, 1)), (11, " ".join(d)), (11, ""), (12, ""), (13, mutated(rng, d, 1))] + [(20, " ".join(d))] * 60
+    # Texts of one id are linked with each other, whatever they are.
+    rows = near_duplicates(spark.createDataFrame(docs, DOCS).repartition(3)).collect()
+    assert len(rows) == len(docs)
+    assert {(row.doc_id, row.component_id) for row in rows} == {
+        *((i, 2) for i in (2, 3, 5, 7, 8)), (11, 11), (12, 12), (13, 11), (20, 11)
+    }
+    assert all(row.kept == (row.doc_id == row.component_id) for row in rows)
+
+
 def test_sketches_estimate_high_similarity():
     rng = np.random.default_rng(1)
     signatures = Signatures()
