@@ -2,18 +2,21 @@
 
 The pages of a host are merged into one tree of element paths (tag, class and
 id). Each path has presentation styles (sequences of child elements) and
-contents (texts, link targets, images). A style or content that is spread
-evenly over the host's pages has a high entropy and says little:
+contents (texts, link targets, images). The exponential of an entropy is an
+effective number, which tells the same whether a host has ten pages or a million:
 
-- importance of a content node: 1 - mean entropy of its features, the entropy
-  taken over pages with logarithms to the number of pages;
-- importance of a presentation node: the entropy of its styles, since templates
-  repeat one style;
-- of both together: ``(1 - g^l) * presentation + g^l * content`` for ``l`` styles.
+- a content's spread: the effective number of pages that have it, out of those
+  with the path, or with the main element that the path is in; each page counts
+  once. Importance of a content node: 1 - the mean
+  spread of its contents, each weighted by the pages that have it;
+- importance of a presentation node: 1 - 1 / the effective number of its styles,
+  since templates repeat one style;
+- of both together: ``(1 - g^l) * presentation + g^l * content`` for ``l`` effective styles.
 
 Branches in which both this and the content's importance are low are cut out of
 every page of the host, inside ``article`` and ``main``, too. So are single texts
-of other branches whose own importance is low. Names that announce what an
+of other branches that four fifths of these pages have. A heading that stands before
+main text that is kept stays with it. Names that announce what an
 element is are a prior: ``nav``, ``footer``, ``class="ad"`` and their like have no
 importance; and where nearly all text of an ``article`` or ``main`` would go, the
 page is a copy of others and keeps it.
@@ -27,7 +30,6 @@ measured to fit, else by a join on the host.
 from __future__ import annotations
 
 import html
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -43,8 +45,8 @@ from smogline.llm.common import bounded_batches, slices, written
 DECAY = 0.9
 THRESHOLD = 0.4
 LEAST_PAGES = 5
-# A single text weighs less than a branch: it must be spread wider to be cut.
-TEXT_WEIGHT = 2.0
+# Share of a path's pages that have a single text which is cut.
+TEXT_SHARE = 0.8
 # Of a copy's main text, at most this share is its own.
 OWN_IN_COPY = 0.25
 # Cut paths and texts that are broadcast; each takes a hundred bytes or so in a worker.
@@ -57,7 +59,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var".split()
 )
-IGNORED = set("head nav footer aside form button select option datalist dialog menu svg canvas object audio video math".split())
+IGNORED = set("head nav footer aside form button select option datalist dialog menu svg canvas object audio video".split())
 MAIN = {"article", "main"}
 UNTOUCHED = {"html", "body", *MAIN}
 # An item ends the items named here, but not beyond the elements of WALLS.
@@ -87,6 +89,7 @@ RUNNING = re.compile(r"\d{3,}")
 LETTER = re.compile(r"[^\W\d_]")
 # Short values repeat by their nature.
 CELLS = {"td", "th"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 @dataclass
@@ -97,6 +100,8 @@ class Element:
     main: bool
     # Open wrappers that only a class, an id or being a form makes noise.
     wrappers: tuple[int, ...] = ()
+    # Path of the main element around it, if it is in one.
+    home: str = ""
     children: list[str] = field(default_factory=list)
     features: list[str] = field(default_factory=list)
 
@@ -114,9 +119,13 @@ class Block:
         path = _hash(self.path)
         if path in cut:
             return True
-        if self.path.rpartition(">")[2].split(".")[0] in CELLS or not LETTER.search(self.text):
+        if self.tag in CELLS or not LETTER.search(self.text):
             return False
-        return path ^ _hash(_feature(self.text)) in cut
+        return path ^ _hash(_feature(self.text, self.main)) in cut
+
+    @property
+    def tag(self) -> str:
+        return self.path.rpartition(">")[2].split(".")[0]
 
 
 class Page:
@@ -125,6 +134,7 @@ class Page:
     def __init__(self, source: str | None):
         self.stack = [Element("", "", False, False)]
         self.blocks: list[Block] = []
+        self.homes: dict[str, str] = {}
         self.styles: list[tuple[str, str]] = []
         self.features: list[tuple[str, str]] = []
         self.text: list[str] = []
@@ -177,7 +187,9 @@ class Page:
         if text:
             top = self.stack[-1]
             self.blocks.append(Block(top.path, text, top.noise, top.main, top.wrappers))
-            self.features.append((top.path, _feature(text)))
+            self.features.append((top.path, _feature(text, top.main)))
+            if top.home:
+                self.homes[top.path] = top.home
 
     def open(self, tag: str, attributes: str) -> None:
         pairs = {}
@@ -209,7 +221,8 @@ class Page:
         if named:
             self.opened += 1
             wrappers = (*wrappers, self.opened)
-        self.stack.append(Element(tag, f"{top.path}>{name}", noise, top.main or main, wrappers))
+        path = f"{top.path}>{name}"
+        self.stack.append(Element(tag, path, noise, top.main or main, wrappers, top.home or path * main))
 
     def is_noise(self, tag: str, pairs: dict[str, str], top: Element) -> tuple[bool, bool]:
         """Whether the element is noise for good, and whether it is so by a wrapper's name, which may turn out wrong."""
@@ -262,14 +275,13 @@ class Page:
         """
         left = self.named_main(cut)
         if cut:
-            kept = [block for block in left if not block.cut_by(cut)]
+            kept = _with_headings(left, [not block.cut_by(cut) for block in left])
             size = sum(len(block.text) for block in left if block.main)
             if sum(len(block.text) for block in kept if block.main) < OWN_IN_COPY * size:
                 kept = [block for block in left if block.main or not block.cut_by(cut)]
             left = kept or left
         return "\n".join(block.text for block in left)
 
-
     def named_main(self, cut: frozenset[int] | set[int]) -> list[Block]:
         """The blocks that no name takes out.
 
@@ -291,8 +303,21 @@ class Page:
         return [block for block in blocks if overruled.issuperset(block.wrappers)]
 
 
-def _feature(text: str) -> str:
-    return "t" + NUMBER.sub("0", text.lower())
+def _with_headings(blocks: list[Block], keep: list[bool]) -> list[Block]:
+    """The blocks to keep, and the headings of a main element that stand before one of them."""
+    out = []
+    follows = False
+    for block, kept in zip(reversed(blocks), reversed(keep)):
+        follows = kept or follows and block.main and block.tag in HEADINGS
+        if follows:
+            out.append(block)
+        follows = follows and block.main
+    return out[::-1]
+
+
+def _feature(text: str, main: bool) -> str:
+    """A text as a feature; numbers tell texts apart only in a main element."""
+    return "t" + (text.lower() if main else NUMBER.sub("0", text.lower()))
 
 
 def _hash(text: str) -> int:
@@ -306,20 +331,22 @@ def host_of(url: str | None) -> str:
     return found[1].rpartition("@")[2].split(":")[0].lower() if found else ""
 
 
-#: Kinds of rows that pages emit: the page itself, a style, a content feature that is a link or an image, one that is a text.
-PAGE, STYLE, CONTENT, TEXT = 0, 1, 2, 3
+#: Kinds of rows that pages emit: the page itself, the main element around the path, a style,
+#: a content feature that is a link or an image, one that is a text.
+PAGE, HOME, STYLE, CONTENT, TEXT = 0, 1, 2, 3, 4
 
 
 def _page_rows(page: Page) -> list[tuple[int, int, int, int]]:
-    """(path, kind, feature, count) for every path with text."""
+    """(path, kind, feature, count) for every path with text, and every main element around one."""
     paths = {block.path for block in page.blocks}
-    numbers = {path: _hash(path) for path in paths}
+    homes = set(page.homes.values())
+    numbers = {path: _hash(path) for path in paths | homes}
     rows = [(number, PAGE, 0, 1) for number in numbers.values()]
-    for kind, found in ((STYLE, page.styles), (CONTENT, page.features)):
-        tally = Counter((path, value) for path, value in found if path in paths)
-        for (path, value), count in tally.items():
-            text = kind == CONTENT and value[0] == "t"
-            rows.append((numbers[path], TEXT if text else kind, _hash(value), count))
+    rows += [(numbers[path], HOME, numbers[home], 1) for path, home in page.homes.items()]
+    styles = Counter((path, value) for path, value in page.styles if path in paths)
+    rows += [(numbers[path], STYLE, _hash(value), count) for (path, value), count in styles.items()]
+    contents = {(path, value) for path, value in page.features if path in paths}
+    rows += [(numbers[path], TEXT if value[0] == "t" else CONTENT, _hash(value), 1) for path, value in contents]
     return rows
 
 
@@ -358,7 +385,7 @@ ENTROPY = "ln(total) - spread / total"
 
 
 def tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, styles, presentation, content, importance) for every text path of every host.
+    """(host, path, pages, around, styles, presentation, content, importance) for every text path of every host.
 
     Pages without host are in no tree.
     """
@@ -366,27 +393,34 @@ def tree(pages: DataFrame) -> DataFrame:
 
 
 def _tree(features: DataFrame) -> DataFrame:
-    entropy = F.expr(ENTROPY)
-
     def only(kind: int, value: F.Column) -> F.Column:
         return F.when(F.col("kind") == kind, value)
 
+    content = F.col("kind") >= CONTENT
     paths = features.groupBy("host", "path").agg(
         F.max(only(PAGE, F.col("total"))).cast("long").alias("pages"),
-        F.count(only(STYLE, F.col("total"))).alias("styles"),
+        F.max(only(HOME, F.col("feature"))).alias("home"),
         F.sum(only(STYLE, F.col("total"))).alias("style_total"),
         F.sum(only(STYLE, F.col("total") * F.log("total"))).alias("style_spread"),
-        F.avg(F.when(F.col("kind") >= CONTENT, entropy)).alias("content_entropy"),
+        F.sum(F.when(content, F.col("total"))).alias("content_total"),
+        F.sum(F.when(content, F.col("total") * F.exp(F.expr(ENTROPY)))).alias("content_pages"),
+    )
+    homes = features.where(F.col("kind") == PAGE).select(
+        "host", F.col("path").alias("home"), F.col("total").cast("long").alias("around")
     )
-    base = F.log(F.greatest(F.col("pages"), F.lit(2)).cast("double"))
-    single = F.col("pages") < 2
-    presentation = (F.log("style_total") - F.col("style_spread") / F.col("style_total")) / base
+    paths = paths.where("content_total is not null").join(homes, ["host", "home"], "left")
+    paths = paths.withColumn("around", F.coalesce("around", "pages"))
+    single = F.col("around") < 2
+    styles = F.exp(F.log("style_total") - F.col("style_spread") / F.col("style_total"))
+    others = F.greatest(F.col("around") - 1, F.lit(1))
+    spread = (F.col("content_pages") / F.col("content_total") - 1) / others
     decay = F.pow(F.lit(DECAY), F.col("styles"))
     return (
-        paths.withColumn("presentation", F.when(single, 1.0).otherwise(F.least(presentation, F.lit(1.0))))
-        .withColumn("content", F.when(single, 1.0).otherwise(1 - F.least(F.col("content_entropy") / base, F.lit(1.0))))
+        paths.withColumn("styles", styles)
+        .withColumn("presentation", F.when(single, 1.0).otherwise(1 - 1 / F.col("styles")))
+        .withColumn("content", F.when(single, 1.0).otherwise(1 - F.least(spread, F.lit(1.0))))
         .withColumn("importance", (1 - decay) * F.col("presentation") + decay * F.col("content"))
-        .select("host", "path", "pages", "styles", "presentation", "content", "importance")
+        .select("host", "path", "pages", "around", "styles", "presentation", "content", "importance")
     )
 
 
@@ -396,11 +430,10 @@ def _cut(pages: DataFrame, threshold: float, least_pages: int) -> DataFrame:
     paths = written(_tree(features).where(F.col("pages") >= least_pages), "tree")
     low = F.greatest("importance", "content") < threshold
     # Only texts that some path could cut are joined to the paths.
-    least = (1 - threshold / TEXT_WEIGHT) * math.log(max(2, least_pages))
-    texts = features.where(F.col("kind") == TEXT).select("host", "path", "feature", F.expr(ENTROPY).alias("entropy"))
-    repeated = texts.where(F.col("entropy") > least).join(paths.where(~low), ["host", "path"])
-    importance = 1 - F.col("entropy") / F.log(F.greatest("pages", F.lit(2)).cast("double"))
-    repeated = repeated.where(TEXT_WEIGHT * importance < threshold)
+    texts = features.where(F.col("kind") == TEXT).select("host", "path", "feature", F.exp(F.expr(ENTROPY)).alias("having"))
+    common = texts.where(F.col("having") > TEXT_SHARE * least_pages - 0.5).join(paths.where(~low), ["host", "path"])
+    # Whole pages, without what logarithms lose.
+    repeated = common.where(F.round("having") >= TEXT_SHARE * F.col("around"))
     return written(
         paths.where(low)
         .select("host", "path")
@@ -421,7 +454,8 @@ def extract(
     Blocks are what block elements and line breaks separate; white space inside
     one is a single blank, and blocks are joined by line feeds. NULL and empty
     pages have an empty text; pages without a usable URL are judged by names
-    alone. Repeated pages are rows of their own. Other columns are not looked at.
+    alone. Repeated pages and pages without page_id are rows of their own. Other
+    columns are not looked at.
     """
     bounded_batches(pages.sparkSession)
     cut = _cut(pages, threshold, least_pages)

@@ -1,7 +1,11 @@
+import math
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from smogline.llm.style_tree import Page, extract, host_of, tree
+from smogline.llm.style_tree import Page, _hash, extract, host_of, tree
 
 PAGES = "page_id BIGINT, url STRING, html STRING"
 
@@ -113,6 +117,114 @@ def test_boilerplate_without_a_name_goes_from_articles(spark):
         assert "Share" not in found[i] and "Jane" not in found[i]
 
 
+def brute_tree(pages):
+    """Importance and contents of every path, and what is cut, from whole pages held in one place."""
+    by_host = {}
+    for _, url, source in pages:
+        if source and host_of(url):
+            by_host.setdefault(host_of(url), []).append(Page(source))
+    importance, cut = {}, {}
+    for host, parsed in by_host.items():
+        owners, styles, having, homes = Counter(), {}, {}, {}
+        for page in parsed:
+            paths = {block.path for block in page.blocks}
+            owners.update(paths | set(page.homes.values()))
+            homes.update(page.homes)
+            for path, style in page.styles:
+                styles.setdefault(path, Counter())[style] += 1
+            for path, value in set(page.features):
+                if path in paths:
+                    having.setdefault(path, Counter())[value] += 1
+        for path in having:
+            m = owners[homes.get(path, path)]
+            shares = np.array([*styles[path].values()]) / sum(styles[path].values())
+            effective = math.exp(-(shares * np.log(shares)).sum())
+            ks = np.array([*having[path].values()])
+            content = 1 - ((ks * ks).sum() / ks.sum() - 1) / (m - 1) if m > 1 else 1.0
+            presentation = 1 - 1 / effective if m > 1 else 1.0
+            both = (1 - 0.9**effective) * presentation + 0.9**effective * content
+            importance[host, path] = (owners[path], presentation, content, both)
+            if owners[path] < 5:
+                continue
+            cut.setdefault(host, {0})
+            if max(both, content) < 0.4:
+                cut[host].add(_hash(path))
+            else:
+                cut[host].update(_hash(path) ^ _hash(v) for v, k in having[path].items() if v[0] == "t" and k >= 0.8 * m)
+    return importance, cut
+
+
+def test_tree_and_texts_equal_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [(row.page_id, row.url, row.html) for row in pages.collect()] + guide(12)
+    frame = spark.createDataFrame(rows, PAGES).repartition(4)
+    importance, cut = brute_tree(rows)
+    found = {(row.host, row.path): row for row in tree(frame).collect()}
+    assert len(found) == len(importance)
+    for (host, path), expected in importance.items():
+        row = found[host, _hash(path)]
+        assert np.allclose((row.pages, row.presentation, row.content, row.importance), expected)
+    texts = {row.page_id: row.text for row in extract(frame).collect()}
+    assert texts == {i: Page(source).main_text(cut.get(host_of(url), frozenset())) for i, url, source in rows}
+
+
+def letters(number):
+    return "".join(chr(97 + int(c)) for c in str(number))
+
+
+def guide(count, host="guide.example"):
+    """Articles with sections of which a quarter, and nine tenths, of the pages have the same, and a box without a name."""
+    pages = []
+    for i in range(count):
+        word = letters(i)
+        parts = [f"<h1>All of {word}</h1><p>What {word} is, in {word}s</p>"]
+        if i % 4 == 0:
+            parts.append(f"<h2>Safety</h2><p>Mind the {word} {word}</p>")
+        if i % 10:
+            parts.append(f"<h2>Method</h2><p>Take {word} twice</p>")
+        parts.append("".join(f"<h3>Step {n}</h3><p>Do {word} {letters(n)}</p>" for n in range(1, 4)))
+        parts.append("<p>Thank you for reading our guides</p><div class=q4><p>Written by our editors</p></div>")
+        pages.append((10_000 + i, f"http://{host}/{i}", f"<article>{''.join(parts)}</article><div class=z9>All rights are ours</div>"))
+    return pages
+
+
+def guide_text(i):
+    word = letters(i)
+    lines = [f"All of {word}", f"What {word} is, in {word}s"]
+    lines += ["Safety", f"Mind the {word} {word}"] if i % 4 == 0 else []
+    lines += ["Method", f"Take {word} twice"] if i % 10 else []
+    return "\n".join(lines + [line for n in range(1, 4) for line in (f"Step {n}", f"Do {word} {letters(n)}")])
+
+
+@pytest.mark.parametrize("count", [20, 2000])
+def test_the_size_of_a_host_changes_nothing(spark, count):
+    found = {row.page_id - 10_000: row.text for row in extract(spark.createDataFrame(guide(count), PAGES)).collect()}
+    assert found == {i: guide_text(i) for i in range(count)}
+
+
+def test_a_heading_on_a_quarter_of_the_pages_stays(spark):
+    page = "<article><p>{0} {0}</p>{1}</article>"
+    for count in (40, 2500):
+        rows = [(i, f"http://h.example/{i}", page.format(letters(i), "<h2>Deep dive</h2>" if i % 4 == 0 else "")) for i in range(count)]
+        found = extract(spark.createDataFrame(rows, PAGES)).collect()
+        assert sum("Deep dive" in row.text for row in found) == count / 4
+
+
+def test_border_of_small_hosts(spark):
+    """Below LEAST_PAGES names decide alone; from there on the tree does, over wrappers' names, too."""
+    page = "<p>Same top</p><div class='layout has-sidebar'><div><p>Story {0} is about {0}</p></div></div>"
+    for count, wanted in ((4, "Same top"), (5, "Story {0} is about {0}")):
+        rows = [(None, f"http://h.example/{i}", page.format(letters(i))) for i in range(count)]
+        found = extract(spark.createDataFrame(rows, PAGES)).collect()
+        assert sorted(row.text for row in found) == [wanted.format(letters(i)) for i in range(count)]
+        assert all(row.page_id is None for row in found)
+
+
+def test_formulas_stay():
+    assert text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold</p></article>").replace("\n", " ").split()[0] == "Let"
+    assert "x" in text("<article><p>Let <math><mi>x</mi></math> hold</p></article>")
+
+
 def test_importance(spark):
     rows = {(row.pages, round(row.content, 3)) for row in tree(spark.createDataFrame(site(16), PAGES)).collect()}
     assert (16, 0.0) in rows and max(content for _, content in rows) == 1.0
