@@ -131,8 +131,12 @@ def test_words_and_their_ids():
         found = [(words.distinct.to_pylist() + [None])[n] for n in words.numbers[begin:end]]
         assert found == tokens(text)
         assert ids.tolist() == [i for word in found[:-1] for i in coder.model.encode(word)] + [coder.end]
-        assert coder.passage(words, begin, end).tolist() == ids.tolist()
+        assert coder.sequences(lm.passages(words, [begin], [end]))[0].tolist() == ids.tolist()
+    some = coder.sequences(lm.passages(words, [0, 2, 1], [2, 4, 2]))
+    assert [ids.tolist() for ids in some] == [[*the, *the], [*the, coder.end], the] if (the := coder.model.encode("the")) else None
     assert coder.sequences(lm.words_of(pa.array([], pa.string()))) == []
+    part = lm.words_of(pa.array([f"Ä{i} É" for i in range(3000)]).slice(1024, 700))
+    assert part.distinct.to_pylist() == ["Ä1024", "É", *(f"Ä{i}" for i in range(1025, 1724))]
 
 
 def test_classes_cover_all_ids():
