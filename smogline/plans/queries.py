@@ -785,6 +785,21 @@ def compacted_view(spark: SparkSession, folder: str) -> DataFrame:
     return flat_raw(keyed.current_view(spark, RAW_READINGS, root))
 
 
+@query(SQL_RAW)
+def expired_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Four batches in two compactions; what these made useless is removed before the view is read."""
+    root = new_folder(spark, "expired")
+    rows = to_raw_columns(
+        parse_forecast(streams.numbered_messages(lens.messages(spark, folder), "value", "event_id"))
+    )
+    for number in range(4):
+        keyed.write_batch(rows.filter(F.pmod(F.col("write_order.pos"), F.lit(4)) == number), RAW_READINGS, root, number)
+        if number % 2:
+            keyed.compact(spark, RAW_READINGS, root)
+    keyed.expire(spark, root, grace_seconds=0)
+    return flat_raw(keyed.current_view(spark, RAW_READINGS, root))
+
+
 @query(
     f"SELECT {_sql_place('c_custkey')}, CASE WHEN c_mktsegment = 'BUILDING' THEN n_name ELSE lower(n_name) END AS city,"
     " r_name AS country FROM customer"

@@ -1,4 +1,4 @@
-"""Folders, listed through Hadoop's file systems, so on whatever store a path names."""
+"""Folders and small files, through Hadoop's file systems, so on whatever store a path names."""
 
 from __future__ import annotations
 
@@ -21,10 +21,55 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(found.getPath().getName() for found in files.listStatus(place) if found.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of the files directly in ``path`` and the seconds at which they were written; none if it does not exist."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return {}
+    return {
+        found.getPath().getName(): found.getModificationTime() / 1000 for found in files.listStatus(place) if found.isFile()
+    }
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Write a small file; False if there is one already that is not to be overwritten."""
+    files, place = _file_system(spark, path)
+    if not overwrite and files.exists(place):
+        return False
+    try:
+        stream = files.create(place, overwrite)
+    except Exception as error:  # another writer was faster
+        if overwrite or not files.exists(place):
+            raise error
+        return False
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    return True
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all that is in it, if it is there."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def is_finished(spark: SparkSession, path: str) -> bool:
     """Whether the write that made the folder came to its end."""
-    files, place = _file_system(spark, f"{path}/{FINISHED}")
-    return files.exists(place)
+    return exists(spark, f"{path}/{FINISHED}")
 
 
 def finished_numbers(spark: SparkSession, path: str, name: str) -> list[int]:

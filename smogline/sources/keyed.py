@@ -7,10 +7,12 @@ Layout below a root:
   batch is read and parsed once. A batch overwrites its own folder: a replay
   replaces what the first attempt left.
 - ``settled/upto=B/slice=S``: what batches up to B have settled, one row per
-  key. A slice is a day of the readings, or a part of the keys of a table without
-  time. ``compact`` writes only the slices that the batches since have touched;
-  other slices stay in the generation that wrote them last. A generation counts
-  when it is finished, and is never changed, so readers are not disturbed.
+  key, in buckets by a hash of the key. A slice is a day of the readings, or a
+  part of the keys of a table without time. ``compact`` writes only the slices
+  that the batches since have touched; other slices stay in the generation that
+  wrote them last.
+- ``manifest``: which batches and slices count, see there. Views open what the
+  last one names and list nothing. ``expire`` removes what none names any more.
 
 The write with the greatest order wins, whatever batch it came in. Rows without
 an order follow their batches, and go before rows with one; what is equal in all
@@ -19,13 +21,21 @@ that is decided by content. So batches may be cut anywhere.
 
 from __future__ import annotations
 
+import hashlib
+import time
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.operators.forecast import INCOMPLETE, PAYLOAD, REASON
 from smogline.operators.latest import SECONDS_PER_DAY, last_write
 from smogline.schemas import Table
-from smogline.sources.files import child_folders, finished_numbers
+from smogline.sources import files, manifest
+from smogline.sources.manifest import Manifest
 from smogline.sources.streams import ORDER
 
 BATCH = "batch_id"
@@ -41,6 +51,13 @@ ORDER_TYPE = "STRUCT<at: TIMESTAMP, part: INT, pos: BIGINT>"
 KEY_SLICES = 64
 # Hash of a row, written with it: ties are decided without reading all columns.
 CONTENT = "content_hash"
+# Hash of a row's key, which settled rows are dealt to buckets by.
+KEY_HASH = "key_hash"
+# Buckets of a slice, unless the log was created with another number.
+BUCKETS = 16
+# Folders of removed batches and slices are kept for readers that may have opened them.
+GRACE_SECONDS = 86_400.0
+REMOVERS = 16
 
 
 def _own_schema(table: Table) -> str:
@@ -57,10 +74,32 @@ def _slice(table: Table) -> Column:
     return F.pmod(F.xxhash64(*table.key), F.lit(KEY_SLICES))
 
 
-def create_log(spark: SparkSession, table: Table, root: str) -> None:
-    """An empty log that can be read before its first batch; a no-op if there is one."""
+def _key_hash(table: Table) -> Column:
+    # 0.0 added: -0 and 0 are one key.
+    kinds = table.columns
+    return F.xxhash64(*(F.col(name) + F.lit(0.0) if kinds[name] == "DOUBLE" else F.col(name) for name in table.key))
+
+
+def create_log(spark: SparkSession, table: Table, root: str, buckets: int = BUCKETS) -> None:
+    """An empty log that can be read before its first batch; a no-op if there is one.
+
+    A view that merges settled and later rows has a task for each of the
+    ``buckets``, whatever days it reads, so large tables want as many as cores.
+    """
     empty = spark.createDataFrame([], _log_schema(table)).drop(BATCH, OUTCOME)
     empty.write.mode("ignore").parquet(f"{root}/log/{BATCH}={NO_BATCH}/{OUTCOME}={ACCEPTED}")
+    manifest.commit(spark, root, lambda: _found(spark, root), lambda found: replace(found, buckets=found.buckets or buckets))
+
+
+def _found(spark: SparkSession, root: str) -> Manifest:
+    """The manifest of a log that has none: all its batches, none of them settled."""
+    prefix = f"{BATCH}="
+    names = (name for name in files.child_folders(spark, f"{root}/log") if name.startswith(prefix))
+    return Manifest(batches=manifest.ranges(int(name.removeprefix(prefix)) for name in names))
+
+
+def _manifest(spark: SparkSession, root: str) -> Manifest:
+    return manifest.latest(spark, root) or _found(spark, root)
 
 
 def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
@@ -82,6 +121,15 @@ def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
     # Static, whatever the session says: a replay without rejects must remove the first attempt's.
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(OUTCOME).parquet(f"{root}/log/{BATCH}={batch_id}")
+    spark = df.sparkSession
+    manifest.commit(spark, root, lambda: _found(spark, root), lambda found: _with_batch(found, batch_id))
+
+
+def _with_batch(found: Manifest, batch_id: int) -> Manifest:
+    if found.upto is not None and batch_id <= found.upto:
+        # Settled already; see ``compact`` for why this is no batch that a stream would run again.
+        return found
+    return replace(found, batches=manifest.ranges([*found.batch_ids(), batch_id]))
 
 
 def write_rows(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
@@ -105,93 +153,181 @@ def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
 
 
 def current_view(
-    spark: SparkSession, table: Table, root: str, days: tuple[int, int] | None = None
+    spark: SparkSession, table: Table, root: str, days: tuple[int, int] | None = None, lease_seconds: float | None = None
 ) -> DataFrame:
     """The table as its users see it: the last accepted write of each key.
 
     ``days`` (first and last, since 1970) leaves the other days' folders unread.
-    Building the view only lists folders. Settled rows whose key was not written
-    since are scanned without a shuffle of their own if adaptive execution
-    finds the later keys small; only the others compete with the later writes.
+    Building the view reads one manifest and starts no job. Settled rows stay in
+    their buckets: later writes are dealt to these, and only they move. What the
+    view reads stays in place for ``expire``'s grace period, or for
+    ``lease_seconds`` if that is longer.
     """
-    settled, upto = _settled(spark, table, root)
-    later = _accepted(spark, table, root).filter(F.col(BATCH) > upto)
+    found = _manifest(spark, root)
+    if lease_seconds is not None and found.number >= 0:
+        manifest.lease(spark, root, found.number, lease_seconds)
+    settled = _settled(spark, table, root, found)
+    later = _later(spark, table, root, found.batch_ids())
     if days is not None:
         if not table.newest_first:
             raise ValueError(f"{table.name} has no days")
-        later = later.filter(_slice(table).between(*days))
+        later = later.filter(_slice(table).between(*days)) if later is not None else None
         settled = settled.filter(F.col(SLICE).between(*days)) if settled is not None else None
-    return table.select_from(_last_writes(settled, later, table))
+    return table.select_from(_last_writes(spark, settled, later, table))
 
 
 def compact(spark: SparkSession, table: Table, root: str) -> None:
     """Settle all batches but the last, by rewriting the slices that they touch.
 
     The last batch stays as it is: a stream that stopped between its write and
-    its commit runs it once more. Settled batches' accepted folders, and
-    generations none of whose slices is the latest, are left for the owner to
-    remove. A compaction that failed leaves nothing that counts.
+    its commit runs it once more. What was settled before and is replaced stays
+    until ``expire``. A compaction that failed leaves nothing that counts.
     """
-    _, upto = _settled(spark, table, root)
-    prefix = f"{BATCH}="
-    batches = [int(name.removeprefix(prefix)) for name in child_folders(spark, f"{root}/log") if name.startswith(prefix)]
-    until = max((number for number in batches if number < max(batches)), default=NO_BATCH)
-    if until <= upto:
+    found = _manifest(spark, root)
+    batches = found.batch_ids()
+    settling = [batch for batch in batches if batch < max(batches)]
+    if not any(batch > NO_BATCH for batch in settling):
         return
-    later = _accepted(spark, table, root).filter((F.col(BATCH) > upto) & (F.col(BATCH) <= until))
+    until = max(settling)
+    later = _later(spark, table, root, settling)
     # Days or key slices: as many as there are folders.
     touched = {row[SLICE] for row in later.select(_slice(table).alias(SLICE)).distinct().collect()}
-    before, _ = _settled(spark, table, root, touched)
-    rows = later.drop(OUTCOME)
-    if before is not None:
-        rows = rows.unionByName(before.drop(SLICE).withColumn(BATCH, F.lit(NO_BATCH).cast("bigint")))
-    kept = _newest(rows, table).withColumn(SLICE, _slice(table))
+    before = _settled(spark, table, root, found, touched)
+    kept = _last_writes(spark, before, later, table).withColumn(SLICE, _slice(table))
+    buckets = found.buckets or BUCKETS
+    if touched:
+        _write_generation(spark, kept, table, f"{root}/settled/{GENERATION}={until}", buckets)
+
+    def settle(now: Manifest) -> Manifest:
+        left = [batch for batch in now.batch_ids() if batch > until]
+        return replace(now, batches=manifest.ranges(left), upto=until, slices=now.slices | dict.fromkeys(touched, until), buckets=buckets)
+
+    manifest.commit(spark, root, lambda: found, settle)
+
+
+def _write_generation(spark: SparkSession, rows: DataFrame, table: Table, folder: str, buckets: int) -> None:
+    """One file for each slice and bucket, in key order, newest first."""
+    # What an attempt that did not end has left; no manifest names it.
+    files.delete(spark, folder)
     inside = [F.col(name) for name in table.key if name != table.newest_first]
     inside += [F.desc(table.newest_first)] if table.newest_first else []
-    ordered = kept.drop(BATCH).repartitionByRange(SLICE, *inside).sortWithinPartitions(SLICE, *inside)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SLICE).parquet(
-        f"{root}/settled/{GENERATION}={until}"
-    )
+    bucket = F.pmod(F.hash(KEY_HASH), F.lit(buckets))
+    dealt = rows.withColumn(KEY_HASH, _key_hash(table)).repartition(F.col(SLICE), bucket)
+    ordered = dealt.sortWithinPartitions(SLICE, bucket, *inside)
+    name = _table_name(f"{folder}/{time.time_ns()}")
+    writer = ordered.write.format("parquet").partitionBy(SLICE).bucketBy(buckets, KEY_HASH)
+    writer.option("path", folder).mode("overwrite").saveAsTable(name)
+    # The table only served to write buckets; its files stay.
+    spark.sql(f"DROP TABLE {name}")
 
 
-def _accepted(spark: SparkSession, table: Table, root: str) -> DataFrame:
-    """Accepted rows of all batches with their order."""
-    rows = read_log(spark, table, root).filter(F.col(OUTCOME) == ACCEPTED)
-    return rows.drop(REASON, PAYLOAD)
+def _table_name(text: str) -> str:
+    return f"smogline_{hashlib.md5(text.encode()).hexdigest()}"
+
+
+def expire(spark: SparkSession, root: str, grace_seconds: float = GRACE_SECONDS) -> None:
+    """Remove settled batches' accepted rows, and slices that later generations replaced; rejected rows stay.
+
+    Kept is what the last manifest names, and what readers may have opened: all
+    that a manifest named within the grace period or under a lease. Removing
+    again after a failure goes on where it stopped.
+    """
+    written = manifest.numbers(spark, root)
+    if not written:
+        return
+    since = time.time() - grace_seconds
+    last = max(written)
+    # Until the next one was written, a manifest was the last one.
+    ends = dict(zip(written, [*list(written.values())[1:], float("inf")]))
+    held = {number for number in written if ends[number] >= since} | {last} | manifest.leased(spark, root) & set(written)
+    every = {number: manifest.read(spark, root, number) for number in written}
+    kept = [found for number, found in every.items() if number in held and found is not None]
+    dropped = [found for number, found in every.items() if number not in held and found is not None]
+    batches = {batch for found in dropped for batch in found.batch_ids()} - {b for found in kept for b in found.batch_ids()}
+    named = {(generation, part) for found in kept for part, generation in found.slices.items()}
+    slices = {(generation, part) for found in dropped for part, generation in found.slices.items()} - named
+    still = {generation for generation, _ in named}
+
+    def remove_batch(batch: int) -> None:
+        folder = f"{root}/log/{BATCH}={batch}"
+        rejects = files.exists(spark, f"{folder}/{OUTCOME}={REJECTED}")
+        files.delete(spark, f"{folder}/{OUTCOME}={ACCEPTED}" if rejects else folder)
+
+    with ThreadPoolExecutor(REMOVERS) as removers:
+        list(removers.map(remove_batch, sorted(batches - {NO_BATCH})))
+        gone = {f"{root}/settled/{GENERATION}={g}" + (f"/{SLICE}={part}" if g in still else "") for g, part in slices}
+        list(removers.map(lambda path: files.delete(spark, path), sorted(gone)))
+    for found in dropped:
+        for generation, parts in found.generations().items():
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{root}/{generation}/{parts}')}")
+    # Last, so that a removal that failed is done again.
+    for number in set(written) - held:
+        files.delete(spark, manifest._path(root, number))
+
+
+def _later(spark: SparkSession, table: Table, root: str, batches: list[int]) -> DataFrame | None:
+    """Accepted rows of some batches with their order, and nothing of other ones."""
+    if not batches:
+        return None
+    reader = spark.read.schema(_log_schema(table)).option("basePath", f"{root}/log")
+    rows = reader.parquet(*(f"{root}/log/{BATCH}={batch}" for batch in batches))
+    return rows.filter(F.col(OUTCOME) == ACCEPTED).drop(REASON, PAYLOAD, OUTCOME)
 
 
 def _settled(
-    spark: SparkSession, table: Table, root: str, only: set[int] | None = None
-) -> tuple[DataFrame | None, int]:
-    """Settled rows, each slice from the last generation that wrote it, and the last batch they cover."""
-    generations = finished_numbers(spark, f"{root}/settled", GENERATION)
-    latest: dict[str, int] = {}
-    for number in generations:
-        for folder in child_folders(spark, f"{root}/settled/{GENERATION}={number}"):
-            if folder.startswith(f"{SLICE}="):
-                latest[folder] = number
-    if only is not None:
-        latest = {folder: number for folder, number in latest.items() if int(folder.split("=")[1]) in only}
-    upto = generations[-1] if generations else NO_BATCH
-    if not latest:
-        return None, upto
-    reader = spark.read.schema(f"{_own_schema(table)}, {GENERATION} BIGINT, {SLICE} BIGINT")
-    paths = [f"{root}/settled/{GENERATION}={number}/{folder}" for folder, number in sorted(latest.items())]
-    return reader.option("basePath", f"{root}/settled").parquet(*paths).drop(GENERATION), upto
+    spark: SparkSession, table: Table, root: str, found: Manifest, only: Iterable[int] | None = None
+) -> DataFrame | None:
+    """Settled rows of all slices or some, each from the generation that the manifest names."""
+    parts = []
+    for generation, slices in found.generations().items():
+        slices = [part for part in slices if only is None or part in only]
+        if not slices:
+            continue
+        # Registered as what it is, a bucketed table, so that Spark knows that rows need not move.
+        name = _table_name(f"{root}/{generation}/{slices}")
+        folder = f"{root}/settled/{GENERATION}={generation}"
+        quoted = folder.replace("'", "''")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({_own_schema(table)}, {KEY_HASH} BIGINT, {SLICE} BIGINT) USING parquet"
+            f" PARTITIONED BY ({SLICE}) CLUSTERED BY ({KEY_HASH}) INTO {found.buckets} BUCKETS LOCATION '{quoted}'"
+        )
+        places = " ".join(f"PARTITION ({SLICE}={part}) LOCATION '{quoted}/{SLICE}={part}'" for part in slices)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+        parts.append(spark.table(name))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def _newest(rows: DataFrame, table: Table) -> DataFrame:
     return last_write(rows, table.key, [ORDER, BATCH, CONTENT])
 
 
-def _last_writes(settled: DataFrame | None, later: DataFrame, table: Table) -> DataFrame:
-    """Settled rows whose key was not written since, and the last writes of the keys that were."""
-    later = later.drop(OUTCOME)
+def _last_writes(spark: SparkSession, settled: DataFrame | None, later: DataFrame | None, table: Table) -> DataFrame:
+    """Settled rows, replaced where a later write wins, and the last writes of other keys.
+
+    Rows meet by the hash of their key, which settled rows are in buckets by, and
+    then by the key itself: as two inequalities, since an equality would ask for
+    another distribution.
+    """
+    names = [*table.columns, ORDER, CONTENT]
+    if later is None:
+        return settled.select(*names) if settled is not None else spark.createDataFrame([], _own_schema(table))
+    newest = _newest(later, table).select(*names, BATCH)
     if settled is None:
-        return _newest(later, table)
-    key = list(table.key)
-    rows = settled.drop(SLICE).withColumn(BATCH, F.lit(NO_BATCH).cast("bigint"))
-    keys = later.select(*key).distinct()
-    contested = rows.join(keys, key, "left_semi").select(*later.columns).unionByName(later)
-    untouched = rows.join(keys, key, "left_anti").select(*later.columns)
-    return untouched.unionByName(_newest(contested, table))
+        return newest.select(*names)
+    new = newest.withColumn(KEY_HASH, _key_hash(table)).select(*(F.col(n).alias(f"new_{n}") for n in (*names, BATCH, KEY_HASH)))
+    same = F.col(KEY_HASH) == F.col(f"new_{KEY_HASH}")
+    for name in table.key:
+        same = same & (F.col(name) <= F.col(f"new_{name}")) & (F.col(name) >= F.col(f"new_{name}"))
+    # Settled rows count as written before any batch.
+    order = F.struct(F.col(ORDER), F.lit(NO_BATCH).cast("bigint"), F.col(CONTENT))
+    new_order = F.struct(F.col(f"new_{ORDER}"), F.col(f"new_{BATCH}"), F.col(f"new_{CONTENT}"))
+    wins = F.col(f"new_{KEY_HASH}").isNotNull() & (new_order >= order)
+    merged = settled.join(new.hint("shuffle_hash"), same, "left").select(
+        *(F.col(name) if name in table.key else F.when(wins, F.col(f"new_{name}")).otherwise(F.col(name)).alias(name) for name in names)
+    )
+    # A semi-join by its meaning. As one, or as an inner join, it would get filters below the union of generations,
+    # which then forgets its buckets; a condition that is not deterministic keeps it an outer one.
+    keys = new.select(f"new_{KEY_HASH}", *(f"new_{name}" for name in table.key)).hint("shuffle_hash")
+    met = settled.join(keys, same, "left").where(F.col(f"new_{KEY_HASH}").isNotNull() & (F.rand() < 2)).select(KEY_HASH, *table.key)
+    fresh = new.join(met.hint("shuffle_hash"), same, "left_anti").select(*(F.col(f"new_{name}").alias(name) for name in names))
+    return merged.unionByName(fresh)
