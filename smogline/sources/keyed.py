@@ -53,8 +53,8 @@ KEY_SLICES = 64
 CONTENT = "content_hash"
 # Hash of a row's key, which settled rows are dealt to buckets by.
 KEY_HASH = "key_hash"
-# Buckets of a slice, unless the log was created with another number.
-BUCKETS = 16
+# Buckets of a slice, unless the log was created with another number: few, as a day of a small table is a small file.
+BUCKETS = 4
 # Folders of removed batches and slices are kept for readers that may have opened them.
 GRACE_SECONDS = 86_400.0
 REMOVERS = 16
