@@ -29,13 +29,18 @@ def enrich(
     return enrich_by_key(readings, by_rounded_key(names), fits)
 
 
+def with_keys(readings: DataFrame) -> DataFrame:
+    """The readings with their rounded key."""
+    return readings.withColumns({"lat_key": coord_key("latitude"), "lon_key": coord_key("longitude")})
+
+
 def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool) -> DataFrame:
     """The same for a dictionary that has its rounded keys already.
 
     An entry without city or country matches nothing: both are parts of a key.
     Without a broadcast, the stations with most readings are looked up apart.
     """
-    keyed = readings.withColumns({"lat_key": coord_key("latitude"), "lon_key": coord_key("longitude")})
+    keyed = with_keys(readings)
     usable = lookup.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
     marked = usable.withColumn("found", F.lit(True))
     joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else spread_left_join(keyed, marked)

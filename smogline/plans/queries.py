@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -722,6 +723,89 @@ def stream_enriched_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
 
 
+def _named_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The dictionary with all columns of its table."""
+    names = lens.dictionary(spark, folder)
+    for column in set(GEO_DICTIONARY.columns) - set(names.columns):
+        names = names.withColumn(column, F.lit(None).cast("string"))
+    return names
+
+
+@query(
+    f"SELECT city, country, latitude, longitude, timestamp, {_sql_fields(GEO_COLUMNS, True)}"
+    " FROM (SELECT r.*, CASE WHEN event_id % 2 = 1 THEN lower(city) ELSE city END AS city, country"
+    f" FROM ({SQL_READINGS}) r JOIN ({SQL_DICTIONARY}) d ON c_custkey = user_id)"
+    " QUALIFY row_number() OVER (PARTITION BY city, country, timestamp ORDER BY event_id DESC) = 1"
+)
+def replay_after_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The first batch fails after its choice of a version and runs again when there is a newer one: the choice stands."""
+    root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
+    place = new_folder(spark, "dictionary")
+    names = _named_places(spark, folder)
+
+    def broken(version: int) -> DataFrame:
+        raise RuntimeError(f"version {version} cannot be read just now")
+
+    def run(arrived: DataFrame, wave: int) -> None:
+        called = names.withColumn("city", F.lower("city")) if wave == 1 else names
+        tables.replace_table(called, GEO_DICTIONARY, place, wave)
+        versions = ingest.dictionary_versions(spark, place)
+        if wave == 1:
+            failing = ingest.enriched_stream(arrived, ingest.Versions(versions.current, broken), root, checkpoint, ingest.CATCH_UP)
+            try:
+                failing.awaitTermination()
+            except StreamingQueryException:
+                tables.replace_table(names, GEO_DICTIONARY, place, 2)
+        ingest.enriched_stream(arrived, versions, root, checkpoint, ingest.CATCH_UP).awaitTermination()
+
+    _two_waves(spark, folder, run)
+    return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
+
+
+@query(SQL_ENRICHED)
+def unmatched_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the places are known while the stream runs; the others' readings are named afterwards, twice."""
+    root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
+    place = new_folder(spark, "dictionary")
+    names = _named_places(spark, folder)
+    versions = ingest.dictionary_versions(spark, place)
+    tables.replace_table(names.filter(F.pmod(F.xxhash64("latitude"), F.lit(2)) == 0), GEO_DICTIONARY, place, 1)
+
+    def run(arrived: DataFrame, _: int) -> None:
+        ingest.enriched_stream(arrived, versions, root, checkpoint, ingest.CATCH_UP).awaitTermination()
+
+    _two_waves(spark, folder, run)
+    tables.replace_table(names, GEO_DICTIONARY, place, 2)
+    for _ in range(2):
+        ingest.enrich_unmatched(spark, versions, root, 1, 2)
+    keyed.compact(spark, ENRICHED_READINGS, root)
+    return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
+
+
+@query(
+    f"SELECT 'raw' AS kind, latitude, longitude, timestamp, overall_data_pi AS pi, 'known' AS state FROM ({SQL_RAW})"
+    f" UNION ALL SELECT 'named', latitude, longitude, timestamp, overall_data_pi, city FROM ({SQL_ENRICHED})"
+    f" UNION ALL SELECT 'rejected', latitude, longitude, timestamp, CAST(CAST(value AS FLOAT) AS DOUBLE), 'unmatched' FROM ({SQL_READINGS})"
+    f" WHERE user_id NOT IN (SELECT c_custkey FROM ({SQL_DICTIONARY}))"
+)
+def both_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw and enriched table from one stream that parses each payload once, with what found no name."""
+    raw, enriched, checkpoint = (new_folder(spark, name) for name in ("raw", "enriched", "both-checkpoint"))
+    names = lens.dictionary(spark, folder)
+
+    def run(arrived: DataFrame, _: int) -> None:
+        ingest.both_tables(arrived, names, raw, enriched, checkpoint, ingest.CATCH_UP).awaitTermination()
+
+    _two_waves(spark, folder, run)
+    place = ["latitude", "longitude", "timestamp", F.col("overall_data.pi").cast("double").alias("pi")]
+    parts = (
+        keyed.current_view(spark, RAW_READINGS, raw).select(F.lit("raw").alias("kind"), *place, F.lit("known").alias("state")),
+        keyed.current_view(spark, ENRICHED_READINGS, enriched).select(F.lit("named").alias("kind"), *place, F.col("city").alias("state")),
+        keyed.quarantine(spark, ENRICHED_READINGS, enriched).select(F.lit("rejected").alias("kind"), *place, F.col(REASON).alias("state")),
+    )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(f"SELECT batches, v.* FROM ({SQL_RAW}) v CROSS JOIN (VALUES (1), (2), (5)) b(batches)")
 def raw_in_any_batching(spark: SparkSession, folder: str) -> DataFrame:
     """The same messages cut into one, two and five batches, against their order, half of them compacted."""

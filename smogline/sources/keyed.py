@@ -46,6 +46,8 @@ SLICE = "slice"
 GENERATION = "upto"
 # Before any batch of a stream: an empty log, and rows that are settled.
 NO_BATCH = -1
+# Batches from here on are corrections of earlier ones, made apart from the stream.
+CORRECTIONS = 1 << 40
 ORDER_TYPE = "STRUCT<at: TIMESTAMP, part: INT, pos: BIGINT>"
 # Slices of a table whose key has no time.
 KEY_SLICES = 64
@@ -55,6 +57,8 @@ CONTENT = "content_hash"
 KEY_HASH = "key_hash"
 # Buckets of a slice, unless the log was created with another number: few, as a day of a small table is a small file.
 BUCKETS = 4
+# Below a root, what a batch has chosen to be made from; of no use once it is settled.
+CHOICES = "choices"
 # Folders of removed batches and slices are kept for readers that may have opened them.
 GRACE_SECONDS = 86_400.0
 REMOVERS = 16
@@ -103,7 +107,13 @@ def _manifest(spark: SparkSession, root: str) -> Manifest:
 
 
 def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
-    """Store one batch; safe to repeat.
+    """Store one batch, good rows and rejected ones; safe to repeat. Views show it from then on."""
+    stage_batch(df, table, root, batch_id)
+    publish_batch(df.sparkSession, root, batch_id)
+
+
+def stage_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
+    """Write the rows of one batch, which no view shows yet.
 
     A row with NULL in its key is rejected as incomplete. Rows are rebalanced on
     their way, so that a small batch makes one file for each outcome and a large
@@ -121,7 +131,10 @@ def write_batch(df: DataFrame, table: Table, root: str, batch_id: int) -> None:
     # Static, whatever the session says: a replay without rejects must remove the first attempt's.
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(OUTCOME).parquet(f"{root}/log/{BATCH}={batch_id}")
-    spark = df.sparkSession
+
+
+def publish_batch(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Let views show a batch whose rows are written."""
     manifest.commit(spark, root, lambda: _found(spark, root), lambda found: _with_batch(found, batch_id))
 
 
@@ -146,6 +159,12 @@ def read_log(spark: SparkSession, table: Table, root: str) -> DataFrame:
     return spark.read.schema(_log_schema(table)).parquet(f"{root}/log")
 
 
+def read_batch(spark: SparkSession, table: Table, root: str, batch_id: int) -> DataFrame:
+    """All rows of one batch as they were written, with order, reason and payload."""
+    reader = spark.read.schema(_log_schema(table)).option("basePath", f"{root}/log")
+    return table.select_from(reader.parquet(f"{root}/log/{BATCH}={batch_id}"), ORDER, REASON, PAYLOAD)
+
+
 def quarantine(spark: SparkSession, table: Table, root: str) -> DataFrame:
     """Rejected rows with the reason; only their partitions are read."""
     rows = read_log(spark, table, root).filter(F.col(OUTCOME) == REJECTED)
@@ -184,11 +203,14 @@ def compact(spark: SparkSession, table: Table, root: str) -> None:
     until ``expire``. A compaction that failed leaves nothing that counts.
     """
     found = _manifest(spark, root)
-    batches = found.batch_ids()
-    settling = [batch for batch in batches if batch < max(batches)]
+    streamed = [batch for batch in found.batch_ids() if batch < CORRECTIONS]
+    corrections = [batch for batch in found.batch_ids() if batch >= CORRECTIONS]
+    settling = [batch for batch in streamed if batch < max(streamed)] + corrections
     if not any(batch > NO_BATCH for batch in settling):
         return
-    until = max(settling)
+    until = max((batch for batch in settling if batch < CORRECTIONS), default=found.upto if found.upto is not None else NO_BATCH)
+    # Named after the last batch, and above all generations before: corrections may settle without a new batch.
+    generation = max([until, *(before + 1 for before in found.slices.values())])
     later = _later(spark, table, root, settling)
     # Days or key slices: as many as there are folders.
     touched = {row[SLICE] for row in later.select(_slice(table).alias(SLICE)).distinct().collect()}
@@ -196,11 +218,12 @@ def compact(spark: SparkSession, table: Table, root: str) -> None:
     kept = _last_writes(spark, before, later, table).withColumn(SLICE, _slice(table))
     buckets = found.buckets or BUCKETS
     if touched:
-        _write_generation(spark, kept, table, f"{root}/settled/{GENERATION}={until}", buckets)
+        _write_generation(spark, kept, table, f"{root}/settled/{GENERATION}={generation}", buckets)
 
     def settle(now: Manifest) -> Manifest:
-        left = [batch for batch in now.batch_ids() if batch > until]
-        return replace(now, batches=manifest.ranges(left), upto=until, slices=now.slices | dict.fromkeys(touched, until), buckets=buckets)
+        left = set(now.batch_ids()).difference(settling)
+        slices = now.slices | dict.fromkeys(touched, generation)
+        return replace(now, batches=manifest.ranges(left), upto=until, slices=slices, buckets=buckets)
 
     manifest.commit(spark, root, lambda: found, settle)
 
@@ -252,6 +275,7 @@ def expire(spark: SparkSession, root: str, grace_seconds: float = GRACE_SECONDS)
         folder = f"{root}/log/{BATCH}={batch}"
         rejects = files.exists(spark, f"{folder}/{OUTCOME}={REJECTED}")
         files.delete(spark, f"{folder}/{OUTCOME}={ACCEPTED}" if rejects else folder)
+        files.delete(spark, f"{root}/{CHOICES}/{batch}")
 
     with ThreadPoolExecutor(REMOVERS) as removers:
         list(removers.map(remove_batch, sorted(batches - {NO_BATCH})))
