@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,6 +17,7 @@ from smogline.functions.addresses import city_of, country_of
 from smogline.functions.coordinates import coord_key
 from smogline.operators.forecast import INCOMPLETE, MALFORMED, REASON, parse_json
 from smogline.operators.latest import last_write
+from smogline.operators.sizes import MAX_BROADCAST_BYTES, broadcast_if_small
 from smogline.schemas import CORRUPT, FORWARD_GEOCODE, GEO_DICTIONARY, GEOCODE, LOCALITY_TYPE
 
 Fetch = Callable[[pd.DataFrame], pd.Series]
@@ -43,6 +48,109 @@ def lookup_keys(keys: DataFrame, fetch: Fetch, column: str = "response", paralle
     return spread.mapInPandas(run, schema)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """How a service may be asked by one task: requests at a time and for each second, tries, and seconds for an answer."""
+
+    at_once: int = 8
+    per_second: float | None = None
+    tries: int = 3
+    seconds: float = 30.0
+    pause: float = 0.5
+
+
+class _Pace:
+    """Lets one request go every so many seconds, whoever asks."""
+
+    def __init__(self, per_second: float | None):
+        self.gap = 1 / per_second if per_second else 0.0
+        self.next, self.lock = 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        if not self.gap:
+            return
+        with self.lock:
+            at = max(time.monotonic(), self.next)
+            self.next = at + self.gap
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+NO_ANSWER = "no_answer"
+TOO_LATE = "too_late"
+
+
+def lookup_each(
+    keys: DataFrame,
+    ask: Callable[[dict], str | None],
+    column: str = "response",
+    limits: Limits = Limits(),
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Add ``column`` and ``<column>_failure``: what ``ask`` answers for each row, or why there is no answer.
+
+    Several rows are asked for at a time, in threads, at the pace of ``limits``;
+    an error is tried again after a pause that doubles. A row whose tries all
+    failed, or that took longer than allowed in all, has NULL and a reason
+    (``failed: <error>``, ``no_answer``, ``too_late``); the others are not
+    disturbed, and no row fails the job. Rows keep their order.
+    """
+    failure = f"{column}_failure"
+    schema = T.StructType([*keys.schema.fields, T.StructField(column, T.StringType()), T.StructField(failure, T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pace = _Pace(limits.per_second)
+
+        def answer(row: dict, until: float) -> tuple[str | None, str | None]:
+            reason = None
+            for attempt in range(limits.tries):
+                if attempt:
+                    time.sleep(min(limits.pause * 2 ** (attempt - 1), max(0.0, until - time.monotonic())))
+                if time.monotonic() >= until:
+                    return None, TOO_LATE
+                pace.wait()
+                try:
+                    text = ask(row)
+                except Exception as error:  # whatever the caller's function raises is this row's failure
+                    reason = f"failed: {error}"
+                    continue
+                return (None, NO_ANSWER) if text is None else (text, None)
+            return None, reason
+
+        # Not awaited at the end: a request that hangs must not hold the task.
+        pool = ThreadPoolExecutor(limits.at_once)
+        try:
+            for batch in batches:
+                rows = batch.to_dict("records")
+                found = []
+                # As many in hand as run at once, so that waiting for a place does not count as time for an answer.
+                for at in range(0, len(rows), limits.at_once):
+                    until = time.monotonic() + limits.seconds
+                    asked = [pool.submit(answer, row, until) for row in rows[at : at + limits.at_once]]
+                    found += [_awaited(future, until) for future in asked]
+                    if any(reason == TOO_LATE for _, reason in found[at:]):
+                        pool.shutdown(wait=False, cancel_futures=True)
+                        pool = ThreadPoolExecutor(limits.at_once)
+                yield batch.assign(**{column: [text for text, _ in found], failure: [reason for _, reason in found]})
+        finally:
+            pool.shutdown(wait=False, cancel_futures=True)
+
+    spread = keys.repartition(parallelism) if parallelism else keys
+    return spread.mapInPandas(run, schema)
+
+
+def _awaited(future: Future, until: float) -> tuple[str | None, str | None]:
+    try:
+        return future.result(max(0.0, until - time.monotonic()))
+    except TimeoutError:
+        return None, TOO_LATE
+
+
+def unknown_coords(readings: DataFrame, known: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Coordinates of the readings that are not among the known ones; these are broadcast if measured to fit."""
+    coords = known.select("latitude", "longitude").distinct()
+    return distinct_coords(readings).join(broadcast_if_small(coords, max_broadcast_bytes), ["latitude", "longitude"], "left_anti")
+
+
 def lookup_saved(keys: DataFrame, responses: DataFrame, on: list[str]) -> DataFrame:
     """Add saved responses to keys; a key without one gets NULL."""
     return keys.join(responses, on, "left")

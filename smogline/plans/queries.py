@@ -10,7 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smogline.functions import jsonpath
+from smogline.functions import jsonpath, sqlnames
 from smogline.functions.coordinates import address_request, coord_key
 from smogline.functions.pollutants import flat_fields
 from smogline.operators import cities, dictionary, latest
@@ -37,7 +37,7 @@ from smogline.schemas import (
 )
 from smogline.scratch import new_folder
 from smogline.sources import citylists, keyed, streams, tables
-from smogline.streaming import ingest
+from smogline.streaming import health, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -364,6 +364,52 @@ def dictionary_job(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_version(spark, GEO_DICTIONARY, root)
 
 
+def _describe_later(keys: pd.DataFrame) -> pd.Series:
+    return _describe(keys).str.replace("Cell ", "Later ")
+
+
+@query(
+    "SELECT latitude, longitude, CASE WHEN latitude < 0 THEN 'no_locality' WHEN first THEN 'Cell ' || degree"
+    " ELSE 'Later ' || degree END AS state"
+    " FROM (SELECT *, CAST(CAST(floor(latitude) AS BIGINT) AS VARCHAR) AS degree FROM"
+    f" (SELECT {_sql_place('user_id')}, first FROM"
+    " (SELECT user_id, bool_or(user_id % 3 <> 0) AS first FROM events GROUP BY user_id)))"
+)
+def dictionary_second_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs, the second over more stations: it asks for the new ones alone. Entries and rejects of both."""
+    root = new_folder(spark, "dictionary")
+    readings = lens.stations(spark, folder).withColumnsRenamed({"lat": "latitude", "lon": "longitude"})
+    users = lens.events(spark, folder, "user_id").filter("user_id % 3 <> 0").select(
+        lens.latitude("user_id").alias("latitude"), lens.longitude("user_id").alias("longitude")
+    )
+    cores = spark.sparkContext.defaultParallelism
+    jobs.extend_dictionary(users, _describe, root, 1, cores)
+    found = jobs.extend_dictionary(readings, _describe_later, root, 2, cores)
+    bad = jobs.rejected_responses(spark, root)
+    place = ["latitude", "longitude"]
+    return found.select(*place, F.col("city").alias("state")).unionByName(bad.select(*place, F.col(REASON).alias("state")))
+
+
+def _fussy(row: dict) -> str | None:
+    # A service that fails in the south and knows nothing of every third degree.
+    if row["latitude"] < 0:
+        raise ValueError("south")
+    degree = int(np.floor(row["latitude"]))
+    return f"cell {degree}" if degree % 3 else None
+
+
+@query(
+    "SELECT latitude, longitude, CASE WHEN latitude >= 0 AND degree % 3 <> 0 THEN 'cell ' || degree END AS response,"
+    " CASE WHEN latitude < 0 THEN 'failed: south' WHEN degree % 3 = 0 THEN 'no_answer' END AS response_failure"
+    f" FROM (SELECT *, CAST(floor(latitude) AS BIGINT) AS degree FROM ({SQL_STATIONS}))"
+)
+def lookup_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Some requests fail and some have no answer: their rows say why, and the others are there."""
+    keys = lens.stations(spark, folder).withColumnsRenamed({"lat": "latitude", "lon": "longitude"})
+    limits = dictionary.Limits(tries=2, pause=0.001)
+    return dictionary.lookup_each(keys, _fussy, limits=limits, parallelism=spark.sparkContext.defaultParallelism)
+
+
 SQL_NEAR = (
     "SELECT c_custkey, c_name, c_custkey // 3 AS place, c_custkey % 3 AS nudge FROM customer"
 )
@@ -659,6 +705,27 @@ def files_in_key_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT c_custkey, CAST(round_even(((c_custkey * 611953) % 17000000 - 8500000 + 3e-2) / 100000, 5) AS DOUBLE) AS lat_key,"
+    " n_name AS city, r_name AS country, replace(c_mktsegment || '+' || c_name, ' ', '+') AS joined, true AS header,"
+    " CAST(c_custkey AS VARCHAR) AS inner_key, 2 AS fields"
+    " FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"
+)
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """The library's expressions by their names in SQL."""
+    sqlnames.register_functions(spark, "sl_")
+    view = f"places_{new_folder(spark, 'view').rsplit('-', 1)[1]}"
+    body = F.to_json(F.struct(F.struct(F.col("c_custkey").alias("k")).alias("of"), F.col("n_name")))
+    address = F.concat("n_name", F.lit(", Somewhere, "), "r_name", F.lit(",,"))
+    rows = lens.places(spark, folder).withColumns({"latitude": lens.latitude("c_custkey"), "address": address, "body": body})
+    rows.createOrReplaceTempView(view)
+    return spark.sql(
+        "SELECT c_custkey, CAST(sl_coord_key(latitude) AS DOUBLE) AS lat_key, sl_city_of(address) AS city,"
+        " sl_country_of(address) AS country, sl_plus_joined(c_mktsegment, c_name) AS joined, sl_is_header(n_name) AS header,"
+        f" sl_json_text(body, '$.of.k') AS inner_key, sl_json_length(body) AS fields FROM {view}"
+    )
+
+
 # --- streams and the keyed log ---------------------------------------------
 
 
@@ -852,6 +919,30 @@ def quarantine_table(spark: SparkSession, folder: str) -> DataFrame:
     return kinds.agg(F.count("*").alias("n"))
 
 
+@query(
+    "SELECT count(*) AS messages, count(*) FILTER (reason <> 'none') AS rejected, count(*) AS logged,"
+    f" count(*) FILTER (reason <> 'none') AS quarantined FROM ({SQL_SPOILED})"
+)
+def stream_health(spark: SparkSession, folder: str) -> DataFrame:
+    """What a listener counted while the batches passed, beside what the log holds."""
+    root, landing, checkpoint = (new_folder(spark, name) for name in ("raw", "landing", "health-checkpoint"))
+    lens.spoiled_messages(spark, folder).select("event_id", "value").write.parquet(landing)
+    arrived = streams.file_stream(spark, landing, "event_id BIGINT, value STRING", maxFilesPerTrigger="3")
+    seen = health.Health()
+    spark.streams.addListener(seen)
+    try:
+        ingest.raw_ingest(streams.numbered_messages(arrived, "value", "event_id"), root, checkpoint, ingest.CATCH_UP).awaitTermination()
+        seen.ended.wait(30)
+    finally:
+        spark.streams.removeListener(seen)
+    messages, rejected = seen.totals()
+    log = keyed.read_log(spark, RAW_READINGS, root)
+    counted = log.agg(F.count("*").alias("logged"), F.count_if(F.col(REASON).isNotNull()).alias("quarantined"))
+    return counted.select(
+        F.lit(messages).cast("long").alias("messages"), F.lit(rejected).cast("long").alias("rejected"), "logged", "quarantined"
+    )
+
+
 @query(SQL_RAW)
 def compacted_view(spark: SparkSession, folder: str) -> DataFrame:
     """Three batches, the second one a replay of the first, read after two compactions and one more replay."""
@@ -924,3 +1015,16 @@ def publish_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     )
     sent = accepted(parse_forecast(tables.read_table(spark, path, "text")))
     return sent.select("latitude", "longitude", "timestamp")
+
+
+@query(f"SELECT latitude, longitude, CAST(2 AS BIGINT) AS times FROM ({SQL_STATIONS})")
+def publish_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs of forecasts, each fetched and sent again after its end: every station has one message for each run."""
+    root, path, checkpoint = (new_folder(spark, name) for name in ("outbox", "published", "outbox-checkpoint"))
+    cores = spark.sparkContext.defaultParallelism
+    for run in ("first", "second"):
+        for _ in range(2):
+            jobs.fill_outbox(lens.stations(spark, folder), _forecast, "lat={lat}&lon={lon}", root, run, cores)
+            jobs.send_outbox(spark, root, "text", checkpoint, path).awaitTermination()
+    sent = accepted(parse_forecast(tables.read_table(spark, path, "text")))
+    return sent.groupBy("latitude", "longitude").agg(F.count("*").alias("times"))

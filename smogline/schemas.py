@@ -115,4 +115,11 @@ GEO_DICTIONARY = Table(
     key=("latitude", "longitude"),
 )
 
+# Responses that gave no dictionary entry, and why.
+REJECTED_RESPONSES = Table(
+    "rejected_responses",
+    {"latitude": "DOUBLE", "longitude": "DOUBLE", "payload": "STRING", "reject_reason": "STRING"},
+    key=("latitude", "longitude"),
+)
+
 STATIONS = Table("location_lat_lon", {"lat": "DOUBLE", "lon": "DOUBLE"}, key=("lat", "lon"))

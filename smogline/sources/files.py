@@ -67,6 +67,15 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; one step on a file system that has renames."""
+    files, place = _file_system(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(goal.getParent())
+    if not files.rename(place, goal):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def is_finished(spark: SparkSession, path: str) -> bool:
     """Whether the write that made the folder came to its end."""
     return exists(spark, f"{path}/{FINISHED}")

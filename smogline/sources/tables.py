@@ -51,9 +51,14 @@ def replace_table(df: DataFrame, table: Table, root: str, version: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/{VERSION}={version}")
 
 
-def latest_version(spark: SparkSession, root: str) -> int:
-    """The greatest version whose write came to its end; only folders are listed."""
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """The greatest version whose write came to its end; only folders are listed.
+
+    With ``below`` the greatest one before that, or None; else it is an error if there is none.
+    """
     versions = finished_numbers(spark, root, VERSION)
+    if below is not None:
+        return max((version for version in versions if version < below), default=None)
     if not versions:
         raise ValueError(f"no finished version in {root}")
     return versions[-1]

@@ -37,6 +37,7 @@ from smogline.sources.keyed import (
 )
 from smogline.sources.streams import ORDER
 from smogline.sources.tables import latest_version, read_version
+from smogline.streaming.health import observed
 
 # Fixed value: the pause between micro-batches.
 INTERVAL = {"processingTime": "3 seconds"}
@@ -220,5 +221,5 @@ def console(stream: DataFrame, rows: int = 20) -> DataStreamWriter:
 def _start(
     rows: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
-    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = observed(rows).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or INTERVAL)).start()
