@@ -34,27 +34,30 @@ def with_keys(readings: DataFrame) -> DataFrame:
     return readings.withColumns({"lat_key": coord_key("latitude"), "lon_key": coord_key("longitude")})
 
 
-def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool) -> DataFrame:
+def enrich_by_key(readings: DataFrame, lookup: DataFrame, fits: bool, frequent: DataFrame | None = None) -> DataFrame:
     """The same for a dictionary that has its rounded keys already.
 
     An entry without city or country matches nothing: both are parts of a key.
-    Without a broadcast, the stations with most readings are looked up apart.
+    Without a broadcast, the stations with most readings are looked up apart:
+    those of ``frequent``, or else they are counted first.
     """
     keyed = with_keys(readings)
     usable = lookup.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
     marked = usable.withColumn("found", F.lit(True))
-    joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else spread_left_join(keyed, marked)
+    joined = keyed.join(F.broadcast(marked), KEYS, "left") if fits else spread_left_join(keyed, marked, frequent)
     reason = F.when(F.col("found").isNull(), UNMATCHED)
     if REASON in readings.columns:
         reason = F.coalesce(REASON, reason)
     return joined.withColumn(REASON, reason).drop("found", *KEYS)
 
 
-def spread_left_join(readings: DataFrame, lookup: DataFrame) -> DataFrame:
+def spread_left_join(readings: DataFrame, lookup: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
     """Left join on the rounded key by shuffle, in which no station fills a task.
 
     The stations with most readings are counted, twice as many as there are
     shuffle partitions: any other one has less than half a partition's share.
+    Counting reads the readings twice; where their keys are known from before,
+    ``frequent`` (lat_key, lon_key) has them, not more than can be broadcast.
     Their entries are that many rows at most, and are broadcast. Readings that
     these resolve, and readings without a key, then spread by a hash of their
     content (the same in a retried task) while the rest is joined by key.
@@ -62,8 +65,10 @@ def spread_left_join(readings: DataFrame, lookup: DataFrame) -> DataFrame:
     partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = [name for name in lookup.columns if name not in KEYS]
     has_key = F.col("lat_key").isNotNull() & F.col("lon_key").isNotNull()
-    counts = readings.filter(has_key).groupBy(*KEYS).count()
-    top = counts.orderBy(F.desc("count"), *KEYS).limit(2 * partitions).select(*KEYS, F.lit(True).alias("top"))
+    if frequent is None:
+        counts = readings.filter(has_key).groupBy(*KEYS).count()
+        frequent = counts.orderBy(F.desc("count"), *KEYS).limit(2 * partitions)
+    top = frequent.select(*KEYS, F.lit(True).alias("top"))
     entries = lookup.join(F.broadcast(top.select(*KEYS)), KEYS, "left_semi")
     frequent = top.join(F.broadcast(entries), KEYS, "left").withColumnsRenamed({name: f"top_{name}" for name in values})
     content = F.xxhash64(*[name for name in readings.columns if name not in KEYS])

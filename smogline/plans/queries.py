@@ -790,6 +790,19 @@ def stream_enriched_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
 
 
+@query(SQL_ENRICHED)
+def stream_enriched_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """A dictionary that is not broadcast: the second wave knows the busy stations from the first."""
+    root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
+    names = lens.dictionary(spark, folder)
+
+    def run(arrived: DataFrame, _: int) -> None:
+        ingest.enriched_stream(arrived, names, root, checkpoint, ingest.CATCH_UP, max_broadcast_bytes=0).awaitTermination()
+
+    _two_waves(spark, folder, run)
+    return flat_enriched(keyed.current_view(spark, ENRICHED_READINGS, root))
+
+
 def _named_places(spark: SparkSession, folder: str) -> DataFrame:
     """The dictionary with all columns of its table."""
     names = lens.dictionary(spark, folder)

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from smogline.sources.files import delete
+
 SETTING = "spark.checkpoint.dir"
+# The folder of the run that is going on, if there is one.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,4 +37,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark).rstrip('/')}/smogline/{purpose}-{uuid.uuid4().hex}"
+    place = _RUN.get() or f"{shared_folder(spark).rstrip('/')}/smogline"
+    return f"{place}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[str]:
+    """Remove the intermediate tables that are made inside when it ends.
+
+    For work whose result is written inside, to a place of its own: what reads
+    the tables must not be used afterwards. Runs may be nested.
+    """
+    folder = new_folder(spark, "run")
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        delete(spark, folder)

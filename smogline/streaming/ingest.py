@@ -19,6 +19,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from smogline.operators.dictionary import by_rounded_key
 from smogline.operators.enrich import KEYS, enrich_by_key, with_keys
 from smogline.operators.forecast import PAYLOAD, REASON, UNMATCHED, parse_forecast, to_geo_columns, to_raw_columns
+from smogline.operators.frequent import FrequentStations
 from smogline.operators.sizes import broadcast_if_small, in_memory_bytes
 from smogline.schemas import ENRICHED_READINGS, GEO_DICTIONARY, RAW_COLUMNS, RAW_READINGS
 from smogline.scratch import shared_folder
@@ -129,8 +130,14 @@ def enriched_stream(
     lookup = _Lookup(dictionary, root, max_broadcast_bytes)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows, fits = lookup.of_batch(batch.sparkSession, batch_id)
-        write_batch(enrich_by_key(batch, rows, fits), ENRICHED_READINGS, root, batch_id)
+        session = batch.sparkSession
+        rows, fits = lookup.of_batch(session, batch_id)
+        stations = FrequentStations(session, root)
+        # Known from the batches before, so that this one is parsed once.
+        frequent = None if fits else stations.before(batch_id, 2 * int(session.conf.get("spark.sql.shuffle.partitions")))
+        write_batch(enrich_by_key(batch, rows, fits, frequent), ENRICHED_READINGS, root, batch_id)
+        if not fits:
+            stations.add(batch_id, read_batch(session, ENRICHED_READINGS, root, batch_id))
 
     return _start(to_geo_columns(parse_forecast(messages)), store, checkpoint, trigger)
 
