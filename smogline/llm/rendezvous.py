@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import written
+from smogline.llm.common import in_order, small_or_shuffled, written
 
 # Hex digits of the digest that make a draw: 52 bits, exact in a double.
 DIGITS = 13
-# Parts of a shard that are numbered apart: three hex digits of the key's digest.
+# Rows of a shard go by so many hex digits of the key's digest first.
 PART_DIGITS = 3
 
 
@@ -40,23 +40,16 @@ def greatest_draw(key: Column, weights: Sequence[float]) -> Column:
 def numbered(rows: DataFrame, shard: str, key: str, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``slot``: 0, 1, 2 ... inside each shard, without gaps.
 
-    Each shard is numbered in parts by the key's digest, whose first numbers
-    come from the counts of the parts before: shards x 4,096 counts, however
-    many rows there are. No task holds a whole shard.
+    All rows are put in one order, by shard, the key's digest, key and ties, and
+    dealt to tasks by range; a shard's slots are counted from its first row. No
+    task holds a whole shard, or all rows of a key that is on very many.
     """
     part = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, PART_DIGITS)
-    parted = written(rows.withColumn("part", part), "parted")
-    sizes = parted.groupBy(shard, "part").agg(F.count("*").alias("rows"))
-    before = F.expr(f"sum(rows) OVER (PARTITION BY {shard} ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    firsts = sizes.select(shard, "part", F.coalesce(before, F.lit(0)).alias("first"))
-    order = ", ".join([key, *ties])
-    inside = F.expr(f"row_number() OVER (PARTITION BY {shard}, part ORDER BY {order}) - 1")
-    return (
-        parted.withColumn("inside", inside)
-        .join(F.broadcast(firsts), [shard, "part"])
-        .withColumn("slot", (F.col("first") + F.col("inside")).cast("long"))
-        .drop("part", "first", "inside")
-    )
+    parted = written(rows.withColumns({"part": part, "row": F.monotonically_increasing_id()}), "parted")
+    placed = in_order(parted, *(F.asc_nulls_first(name) for name in (shard, "part", key, *ties, "row")))
+    firsts = written(placed.groupBy(shard).agg(F.min("position").alias("first")), "firsts")
+    slot = (F.col("position") - F.col("first")).cast("long")
+    return placed.join(small_or_shuffled(firsts), shard).withColumn("slot", slot).drop("part", "row", "position", "first")
 
 
 def place(docs: DataFrame, weights: Sequence[float]) -> DataFrame:

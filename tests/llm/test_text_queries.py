@@ -1,15 +1,19 @@
 """The registered queries and the pipeline over the smallest tables."""
 
 import zlib
+from collections import Counter
+from hashlib import sha256
 
 import pandas as pd
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
 from __spark_entry__ import SMOKE_FOLDER, oracle_sql, queries
 from smogline.llm.decontaminate import windows_of
-from smogline.llm.queries import ORACLES, QUERIES
+from smogline.llm.queries import MODEL, ORACLES, QUERIES
 from tests.llm.test_decontaminate import brute as brute_leaks
 from tests.llm.test_odd_sketch import brute as brute_groups
 from tests.llm.test_pii_bootstrap import brute as brute_spans
@@ -32,6 +36,10 @@ COLUMNS = {
 }
 
 
+def sha(text):
+    return sha256(text.encode()).hexdigest()
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return spark.read.parquet(f"{SMOKE_FOLDER}/documents.parquet")
@@ -65,6 +73,20 @@ def test_query(spark, texts, name):
         assert (rows.predicted == (rows.score >= 0.3)).all()
     if kind == "op6":
         assert dict(zip(rows.doc_id, rows.component_id)) == brute_groups(list(texts.items()))
+    if kind == "op5":
+        model = SentencePieceProcessor(model_file=public_tokenizers.path(MODEL))
+        for row in rows.itertuples():
+            ids = model.encode(texts[row.doc_id] or "", add_eos=True)
+            assert row.n_tokens == len(ids) and row.ids_sha256 == sha(" ".join(map(str, ids)))
+            assert row.decoded_sha256 == sha(model.decode(ids))
+    if kind == "op7":
+        for row in rows.itertuples():
+            listed = brute_spans(texts[row.doc_id])
+            kinds = Counter(span.split(":")[0] for span in listed.split(",")) if listed else {}
+            assert row.base_sha256 == sha(listed)
+            assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [kinds.get(k, 0) for k in ("email", "ip", "card", "phone")]
+            # What the method adds stands beside the base spans, which all stay.
+            assert set(filter(None, listed.split(","))) == {span for span in row.spans.split(",") if span and not span.startswith("id:")}
     if kind == "op10":
         for row in rows.itertuples():
             assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == brute_counts(texts[row.doc_id])
