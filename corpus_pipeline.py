@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from smogline.llm import decontaminate, odd_sketch, pii_bootstrap, piece_bpe, toxicity
 from smogline.llm.common import held_out, small_or_shuffled, table, text_key, written
 from smogline.llm.queries import CUT, MODEL
+from smogline.scratch import cleared, new_folder
+from smogline.sources.files import delete
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # No SQL for a fitted machine; tests compare the stages with brute force.
@@ -93,7 +95,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    """The rows of the last stage. What a stage needed on its way goes when its rows are written, and so do those of the stage before."""
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, folder), name)
+        place = new_folder(spark, name)
+        with cleared(spark):
+            rows = stage(spark, docs, folder)
+            rows.write.parquet(place)
+        docs = spark.read.schema(rows.schema).parquet(place)
+        if before is not None:
+            delete(spark, before)
+        before = place
     return docs
