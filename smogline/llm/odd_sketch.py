@@ -282,11 +282,10 @@ def _across(docs: DataFrame, crowded: DataFrame, labels: DataFrame, nodes: DataF
 
 
 def _bridged(profiles: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, component) of the classes, after joining components that one doc_id has texts in."""
-    components = written(
-        classes.select("id", "high", "low").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")),
-        "components",
-    )
+    """(id, high, low, linked, component) of the classes: by links alone, and after joining what one doc_id has texts in."""
+    linked = F.coalesce("component", "id")
+    components = classes.select("id", "high", "low").join(labels, "id", "left")
+    components = written(components.select("id", "high", "low", linked.alias("linked"), linked.alias("component")), "components")
     rows = profiles.where("high is not null and doc_id is not null")
     digest = F.struct("high", "low")
     several = rows.groupBy("doc_id").agg(F.min(digest).alias("least"), F.max(digest).alias("most")).where("least <> most")
@@ -302,14 +301,16 @@ def _bridged(profiles: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_IN_SHINGLE) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, key (a hash of the text).
+    """One row per document: doc_id, n_shingles, component_id, kept, key (a hash of the text), text_kept.
 
     Documents are linked if 100 * shared shingles >= percent * all shingles of
     the two; ``component_id`` is the least doc_id reachable over links. A
     document without words has no shingles and stands alone. Rows that repeat a
     doc_id are one node, linked by any of its texts; a row without doc_id
-    stands alone and is kept. Very long texts are whole sets like others. Other
-    columns are not looked at.
+    stands alone and is kept. ``text_kept`` looks at the row's text alone: it is
+    true for the rows of the least doc_id of those whose texts are linked, so of
+    an id with several texts some may stay. Very long texts are whole sets like
+    others. Other columns are not looked at.
 
     A link of similarity 0.8 is missed once in two million, one of 0.85 once in
     10^10; ``percent`` must be 80 or more.
@@ -353,7 +354,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
 
     components = written(_bridged(profiles, nodes, all_labels), "bridged")
     least = nodes.select("id", "doc_id").join(components, "id").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = written(components.join(least, "component").select("high", "low", "component_id"), "named")
+    by_text = nodes.select("id", "doc_id").join(components, "id").groupBy("linked").agg(F.min("doc_id").alias("text_id"))
+    named = components.join(least, "component").join(by_text, "linked").select("high", "low", "component_id", "text_id")
+    named = written(named, "named")
     told = profiles.join(named, ["high", "low"], "left")
     wordless = profiles.where("high is null and doc_id is not null").select("doc_id").distinct()
     # An id without words on one row may have some on another.
@@ -367,4 +370,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WORDS_
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         "key",
+        F.coalesce(F.col("doc_id") == F.col("text_id"), F.lit(True)).alias("text_kept"),
     )

@@ -156,7 +156,7 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return odd_sketch.near_duplicates(table(spark, folder, "documents")).drop("key")
+    return odd_sketch.near_duplicates(table(spark, folder, "documents")).drop("key", "text_kept")
 
 
 @query()
