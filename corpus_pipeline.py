@@ -51,7 +51,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     docs = _numbered(docs)
-    left = _without(docs, odd_sketch.near_duplicates(docs).where("not kept"))
+    left = _without(docs, odd_sketch.near_duplicates(docs).where("not text_kept"))
     return left.withColumn("doc_id", F.when(~F.col("numbered"), F.col("doc_id"))).select(*COLUMNS)
 
 
