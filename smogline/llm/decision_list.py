@@ -256,7 +256,8 @@ def judge(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
 
     NULL and empty texts have no words and fail the base. Labels other than 0
     and 1 and contradicting ones are passed over; without labels the base alone
-    decides. Repeated documents are judged each; other columns are not looked at.
+    decides. Repeated documents are judged each, and very long texts are counted
+    whole; other columns are not looked at.
     """
     all_counts = written(counts(docs.select("doc_id", "text")), "text-counts")
     agreed = (

@@ -116,7 +116,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WORDS_IN_WINDOW,
     ids, as text, with a window in the document. NULL and empty texts have no
     words. Items without id or words are passed over; rows that repeat an
     item_id add up; without items nothing is hit. Repeated documents are rows
-    of their own. Other columns are not looked at.
+    of their own, and very long texts are scanned whole. Other columns are not
+    looked at.
     """
     bounded_batches(docs.sparkSession)
     windows = written(_windows(items, width), "windows")

@@ -201,7 +201,10 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, sample
 
 
 def identify(hierarchy: Hierarchy, text: Column | str) -> Column:
-    """(lang, score): a learned language, or ``und`` with score 0 for NULL and texts without a letter."""
+    """(lang, score): a learned language, or ``und`` with score 0 for NULL and texts without a letter.
+
+    Very long texts count whole, in blocks. Every row is predicted by its own text.
+    """
 
     @F.pandas_udf("lang string, score double")
     def identified(texts: pd.Series) -> pd.DataFrame:

@@ -242,7 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_
 def score(network: Network, text: Column | str) -> Column:
     """(score, passages, passage, attention): chance of label 1, number of passages, the most attended one and its weight.
 
-    NULL and empty texts are one empty passage.
+    NULL and empty texts are one empty passage; a very long one has as many
+    passages as it takes. Every row has a score of its own, whatever its id.
     """
 
     @F.pandas_udf("score double, passages long, passage long, attention double")

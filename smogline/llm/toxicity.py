@@ -200,7 +200,10 @@ def fit(
 
 
 def score(machine: Machine, text: Column | str) -> Column:
-    """Chance between 0 and 1 that the text is toxic; NULL and empty texts get the bias."""
+    """Chance between 0 and 1 that the text is toxic; NULL and empty texts get the bias.
+
+    Words of very long texts all count. Every row is scored by its own text.
+    """
     shared = machine
 
     @F.arrow_udf("double")
