@@ -172,8 +172,9 @@ class Pieces:
         # Ids are remembered as two or four bytes each.
         self.code, self.kind = ("H", np.uint16) if model.vocab_size() <= 1 << 16 else ("I", np.uint32)
         self.end = array(self.code, [model.eos_id()]).tobytes()
-        # Until a piece is unknown that has no bytes either: then ids decode to something else.
-        self.lossless = True
+        # By id, the bytes that it decodes to, and whether it begins with a space mark.
+        self.surfaces = pa.array([self._surface(i) for i in ids], pa.large_binary())
+        self.marked = np.array([i not in self.special and self.text_of[i].startswith(SPACE) for i in ids])
 
     def _number(self, size: int) -> None:
         """The automaton over pieces that merge to themselves; by piece, its length and the next shorter prefix.
@@ -384,9 +385,11 @@ class Pieces:
                 ids.extend(self.id_of_byte[byte] for byte in self.text_of[number].encode("utf-8"))
             else:
                 ids.append(self.unknown)
-                self.lossless = False
         return ids
 
+    def _surface(self, i: int) -> bytes:
+        return bytes([self.byte_of[i]]) if i in self.byte_of else self.surface([i]).encode("utf-8")
+
     def surface(self, ids: list[int]) -> str:
         """The pieces' text with spaces for their marks; runs of bytes as UTF-8."""
         if self.special.isdisjoint(ids):
@@ -413,7 +416,7 @@ class Pieces:
         self.chunks = Generations(CHUNK_BYTES)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
-        """All ids with the end id, and what they decode to."""
+        """All ids with the end id, and what these decode to."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[tuple[np.ndarray, str]]:
@@ -423,18 +426,12 @@ class Pieces:
         known = [list(map(self.chunks.young.get, chunks)) for chunks in cut]
         new = {chunk: b"" for chunks, ids in zip(cut, known) if None in ids for chunk, found in zip(chunks, ids) if found is None}
         self._work_out(new)
-        out = []
-        for text, chunks, ids in zip(normal, cut, known):
+        rows = []
+        for chunks, ids in zip(cut, known):
             if None in ids:
                 ids = [new[chunk] if found is None else found for chunk, found in zip(chunks, ids)]
-            packed = np.frombuffer(b"".join([*ids, self.end]), self.kind)
-            if self.lossless:
-                # Pieces and bytes decode to the text that they stand for.
-                decoded = text.replace(SPACE, " ")
-            else:
-                decoded = "".join(self.surface(np.frombuffer(part, self.kind).tolist()) for part in ids)
-            out.append((packed, decoded[1:] if decoded.startswith(" ") else decoded))
-        return out
+            rows.append(np.frombuffer(b"".join([*ids, self.end]), self.kind))
+        return list(zip(rows, self.decode_all(rows)))
 
     def _work_out(self, new: dict[str, bytes]) -> None:
         """Fill in the ids of chunks that are not in the young generation, and remember them."""
@@ -462,6 +459,25 @@ class Pieces:
         leads = first is not None and first not in self.byte_of and self.text_of[first].startswith(SPACE)
         return decoded[1:] if leads else decoded
 
+    def decode_all(self, rows: list[np.ndarray]) -> list[str]:
+        """What ``decode`` gives for each of many rows of ids without a control id before their end, all at a time."""
+        if not rows:
+            return []
+        found = self.surfaces.take(pa.array(np.concatenate(rows)))
+        _, places, joined = found.buffers()
+        ends = np.cumsum([0, *map(len, rows)])
+        places = np.frombuffer(places, np.int64)[ends].tolist()
+        joined = memoryview(joined or b"")
+        out = []
+        for ids, begin, end in zip(rows, places, places[1:]):
+            leads = len(ids) and self.marked[ids[0]]
+            try:
+                out.append(str(joined[begin + 1 if leads else begin : end], "utf-8"))
+            except UnicodeDecodeError:
+                # A run of byte pieces that is no text.
+                out.append(self.decode(ids.tolist()))
+        return out
+
 
 def _utf8(run: bytes) -> str:
     """UTF-8, with one replacement character for each byte that begins no valid character."""

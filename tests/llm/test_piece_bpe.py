@@ -2,6 +2,7 @@ import random
 import time
 from array import array
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,22 @@ def test_any_ids_decode_as_the_library_does(pieces):
         assert pieces.decode(ids) == pieces.model.decode(ids), ids
 
 
+def test_what_is_decoded_are_the_ids():
+    coder = Pieces(MODEL)
+    # Ids that do not belong to their chunk: a decoded text that came from the text would hide it.
+    other = [*coder.model.encode("other"), *coder.model.encode("日\U0001F600"), coder.id_of_byte[0xE6], coder.unknown]
+    coder.chunks.put(f"{SPACE}same", array(coder.code, other).tobytes())
+    for (ids, decoded), text in zip(coder.encode_all(["same", "the same\nsame", None]), ["same", "the same\nsame", ""]):
+        assert decoded == coder.model.decode(ids.tolist()) and decoded != text or not text
+
+
+def test_many_ids_decode_as_the_library_does(pieces):
+    rng = random.Random(12)
+    rows = [[rng.choice([rng.randrange(3, 32000), rng.randrange(3, 259), 0, 28705]) for _ in range(rng.randint(0, 8))] + [2] for _ in range(2000)]
+    assert pieces.decode_all([np.array(ids, pieces.kind) for ids in rows]) == [pieces.model.decode(ids) for ids in rows]
+    assert pieces.decode_all([]) == []
+
+
 def test_cache_is_bounded(pieces):
     cache = Generations(10)
     for n in range(1000):
