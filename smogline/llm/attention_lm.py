@@ -13,8 +13,9 @@ many documents go through the network together, under one causal mask.
 
 Training is spread: in each round every task takes the common weights, runs Adam
 over the round's windows among its own rows, and sends the weights back; Spark
-averages them. So a round's work grows with the corpus and nothing but weights
-comes to the driver. Word and subword counts are taken over all training texts.
+averages them. Every window of every training text is in one of the rounds. So a
+round's work grows with the corpus and nothing but weights comes to the driver.
+Word and subword counts are taken over all training texts.
 """
 
 from __future__ import annotations
@@ -42,13 +43,10 @@ HEADS = 1
 # Ids with a class of their own, and classes for all others: of a token that is read, and of one that is predicted.
 READ = (1024, 64)
 PREDICTED = (96, 32)
-# Texts are cut into passages of so many words; each round learns from one passage of PERIOD,
-# evenly spread over the whole length of every text.
-PASSAGE = 32
-PERIOD = 64
+# The windows of a text are dealt to the rounds by turns, so that each is learned from once.
 ROUNDS = 4
 # Windows of one step, and the steps that a task should have windows for; one with fewer goes over them again.
-BATCH = 64
+BATCH = 128
 LEAST_STEPS = 24
 RATE = 0.02
 ABSENT = 0xFFFFFFFF
@@ -58,6 +56,8 @@ FREQUENT_BYTES = 64
 # Rows of distinct words that a worker sums before it sends them on.
 COUNTED = 1_000_000
 NOTHING = pa.table({"word": pa.array([], pa.large_string()), "n": pa.array([], pa.int64())})
+# Below this, exponents of float32 numbers can be added up.
+STEEP = 60
 # Windows that are scored together.
 STEP = 128
 FIXED_POINT = 1 << 20
@@ -102,6 +102,8 @@ class Subwords:
         self.model = SentencePieceProcessor(model_file=model_path)
         self.size = self.model.vocab_size()
         self.start, self.end = self.model.bos_id(), self.model.eos_id()
+        # Windows are written down in two bytes a place if these tell all ids from an absent one.
+        self.kind = np.dtype(np.uint16 if self.size < 0xFFFF else np.uint32)
 
     def spelled(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The words' ids one after the other, and how many each has."""
@@ -328,15 +330,16 @@ class Network:
         targets = windows[:, SPAN + 1 :].ravel()
         there = targets != ABSENT
         logits = s["logits"]
-        logits -= logits.max(axis=1, keepdims=True)
+        if not abs(logits).max() < STEEP:
+            logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        logits[np.arange(len(logits)), self.predicted[np.where(there, targets, 0)]] -= 1
-        logits *= (there / max(1, there.sum())).astype(np.float32)[:, None]
+        share = (there / max(1, there.sum())).astype(logits.dtype)
+        logits *= (share / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
+        logits[np.arange(len(logits)), self.predicted[np.where(there, targets, 0)]] -= share
         d_hidden = logits @ w["out"].T
         d_bend = d_hidden * (1 - s["bend"] ** 2)
         flat = s["x"][:, SPAN:].reshape(-1, WIDTH)
-        out = {"out": s["hidden"].T @ logits, "out_bias": logits.sum(axis=0), "m": flat.T @ d_bend, "o": s["mixed"].T @ d_bend, "m_bias": d_bend.sum(axis=0)}
+        out = {"out": s["hidden"].T @ logits, "out_bias": np.ones(len(logits), logits.dtype) @ logits, "m": flat.T @ d_bend, "o": s["mixed"].T @ d_bend, "m_bias": d_bend.sum(axis=0)}
         d_new = d_hidden + d_bend @ w["m"].T
         d_mixed = (d_bend @ w["o"].T).reshape(n, SPAN, HEADS, -1).transpose(0, 2, 1, 3)
         attention = s["attention"]
@@ -348,12 +351,13 @@ class Network:
         d_energy *= np.float32((WIDTH // HEADS) ** -0.5)
         d_q, d_k = d_energy @ s["k"], d_energy.transpose(0, 1, 3, 2) @ s["q"]
 
-        def back(name: str, part: np.ndarray, slope: np.ndarray) -> np.ndarray:
-            slope = slope.transpose(0, 2, 1, 3).reshape(-1, WIDTH)
-            out[name] = part.reshape(-1, WIDTH).T @ slope
-            return (slope @ w[name].T).reshape(part.shape)
+        def back(names: str, part: np.ndarray, *slopes: np.ndarray) -> np.ndarray:
+            """Slopes of some maps of one input, and of that input."""
+            slope = np.concatenate([slope.transpose(0, 2, 1, 3).reshape(-1, WIDTH) for slope in slopes], axis=1)
+            out.update(zip(names, np.split(part.reshape(-1, WIDTH).T @ slope, len(names), axis=1)))
+            return (slope @ np.concatenate([w[name].T for name in names])).reshape(part.shape)
 
-        d_x = back("k", s["x"], d_k) + back("v", s["x"], d_v)
+        d_x = back("kv", s["x"], d_k, d_v)
         d_x[:, SPAN:] += back("q", s["x"][:, SPAN:], d_q) + d_new.reshape(n, SPAN, WIDTH)
         code = np.zeros_like(w["code"])
         read, d_flat = s["read"].ravel(), d_x.reshape(-1, WIDTH)
@@ -383,7 +387,7 @@ class Adam:
 
 
 def _prepare(model_path: str):
-    """Counts of the words, and each round's windows, packed."""
+    """Counts of the words, and each round's windows, packed: all windows of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = subwords(model_path)
@@ -392,7 +396,7 @@ def _prepare(model_path: str):
         gathered: list[list[np.ndarray]] = [[] for _ in range(ROUNDS)]
 
         def rows(total: pa.Table) -> pa.RecordBatch:
-            packed = [np.concatenate(part).tobytes() if part else b"" for part in gathered]
+            packed = [np.concatenate(part).astype(coder.kind).tobytes() if part else b"" for part in gathered]
             kept = [number for number in range(ROUNDS) if packed[number]]
             for part in gathered:
                 part.clear()
@@ -415,17 +419,11 @@ def _prepare(model_path: str):
             words = words_of(batch.column("text"))
             n = np.bincount(words.numbers, minlength=len(words.distinct) + 1)[:-1]
             counted.append(pa.table({"word": words.distinct, "n": n}, NOTHING.schema))
-            taken = []
-            for name, begin, end in zip(batch.column("doc_id").to_pylist(), words.begins.tolist(), words.ends.tolist()):
-                turn = crc32(str(name).encode())
+            for name, ids in zip(batch.column("doc_id").to_pylist(), coder.sequences(words)):
+                windows = cutter.windows(ids)
+                turn = crc32(str(name).encode()) % ROUNDS
                 for number in range(ROUNDS):
-                    for at in range(begin + (number - turn) % PERIOD * PASSAGE, end, PERIOD * PASSAGE):
-                        taken.append((number, at > begin, at, min(end, at + PASSAGE)))
-            parts = passages(words, [row[2] for row in taken], [row[3] for row in taken])
-            for (number, inside, *_), ids in zip(taken, coder.sequences(parts)):
-                # What goes before a passage is not known: only a text's first window goes without context.
-                windows = cutter.windows(ids)[int(inside) :]
-                gathered[number].append(windows)
+                    gathered[number].append(windows[(number - turn) % ROUNDS :: ROUNDS])
                 held += len(windows)
             if sum(map(len, counted)) < COUNTED and held < 1 << 14:
                 continue
@@ -442,7 +440,12 @@ def _prepare(model_path: str):
     return run
 
 
-def _train(shared, number: int):
+def _unpacked(packed: bytes, kind: np.dtype) -> np.ndarray:
+    windows = np.frombuffer(packed, kind).reshape(-1, 2 * SPAN + 1)
+    return np.where(windows == np.iinfo(kind).max, np.uint32(ABSENT), windows.astype(np.uint32))
+
+
+def _train(shared, number: int, kind: np.dtype):
     """One task's weights after its windows of the round, as whole numbers times the tokens behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,7 +456,7 @@ def _train(shared, number: int):
         tokens, left = 0, np.empty((0, 2 * SPAN + 1), np.uint32)
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                new = np.frombuffer(packed, np.uint32).reshape(-1, 2 * SPAN + 1)
+                new = _unpacked(packed, kind)
                 tokens += int((new[:, SPAN + 1 :] != ABSENT).sum())
                 left = np.concatenate([left, new])
                 if len(first) < LEAST_STEPS:
@@ -519,13 +522,13 @@ def fit(docs: DataFrame, learn: Column, model_path: str) -> LanguageModel:
         frequency[row["id"]] += row["n"]
     network = Network.untrained(frequency, coder.start)
     packed = prepared.where("round >= 0").groupBy("round").agg(F.sum(F.octet_length("windows")).alias("bytes"))
-    sizes = {row["round"]: row["bytes"] // (4 * (2 * SPAN + 1)) for row in packed.collect()}
+    sizes = {row["round"]: row["bytes"] // (coder.kind.itemsize * (2 * SPAN + 1)) for row in packed.collect()}
     for number in range(ROUNDS):
         shared = spark.sparkContext.broadcast(network)
         # As many tasks as there are windows for, at most one for each split.
         tasks = max(1, sizes.get(number, 0) // (BATCH * LEAST_STEPS))
         own = prepared.where(F.col("round") == number).select("windows").coalesce(tasks)
-        learned = own.mapInArrow(_train(shared, number), "place int, value long, tokens long")
+        learned = own.mapInArrow(_train(shared, number, coder.kind), "place int, value long, tokens long")
         means = learned.groupBy("place").agg((F.sum("value") / F.sum("tokens") / FIXED_POINT).alias("value")).toPandas()
         if len(means):
             network = network.with_flat(means.sort_values("place")["value"].to_numpy())

@@ -139,6 +139,23 @@ def test_words_and_their_ids():
     assert part.distinct.to_pylist() == ["Ä1024", "É", *(f"Ä{i}" for i in range(1025, 1724))]
 
 
+def test_training_sees_every_window_once():
+    coder = lm.subwords(PATH)
+    texts = [" ".join(f"w{i}{j}" for j in range(n)) for i, n in enumerate([0, 1, 40, 700, 3000])] + [None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([*range(5), None], pa.int64()), "text": pa.array(texts)})
+    cutter = lm.Network({}, *[np.empty(0)] * 3, coder.start)
+    wanted = Counter(w.tobytes() for text in texts for ids in coder.sequences(lm.words_of(pa.array([text], pa.string()))) for w in cutter.windows(ids))
+    found = [row for out in lm._prepare(PATH)(iter([batch])) for row in out.to_pylist() if row["round"] >= 0]
+    assert {row["round"] for row in found} == set(range(lm.ROUNDS))
+    sizes, seen = Counter(), Counter()
+    for row in found:
+        windows = lm._unpacked(row["windows"], coder.kind)
+        sizes[row["round"]] += len(windows)
+        seen.update(w.tobytes() for w in windows)
+    assert seen == wanted
+    assert max(sizes.values()) - min(sizes.values()) <= len(texts)
+
+
 def test_classes_cover_all_ids():
     counts = np.array([5, 0, 100, 7, 7, 0, 1, 50])
     of = lm.classes(counts, 2, 3)
