@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 
-from smogline.llm.common import bounded_batches, slices
+from smogline.llm.common import bounded_batches, give_back, slices
 
 SPACE = "▁"
 CHUNKS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -412,8 +412,9 @@ class Pieces:
         return "".join(out)
 
     def forget(self) -> None:
-        """Give up the chunks that are remembered."""
-        self.chunks = Generations(CHUNK_BYTES)
+        """Give up the chunks that are remembered, and the pairs, of which ``after`` knows what fitted."""
+        self.chunks, self.pairs = Generations(CHUNK_BYTES), Generations(PAIRS)
+        give_back()
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
         """All ids with the end id, and what these decode to."""

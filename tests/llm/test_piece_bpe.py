@@ -1,6 +1,8 @@
 import random
+import re
 import time
 from array import array
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -116,6 +118,20 @@ def test_many_ids_decode_as_the_library_does(pieces):
     assert pieces.decode_all([]) == []
 
 
+def test_a_worker_gives_its_memory_back():
+    coder = Pieces(MODEL)
+
+    def held():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) >> 10
+
+    # Blocks below the allocator's limit for maps of their own, the last of which stays.
+    blocks = [bytearray(100_000) for _ in range(1500)]
+    last, before = bytearray(100_000), held()
+    del blocks
+    coder.forget()
+    assert len(coder.pairs.young) + len(coder.chunks.young) == 0 and before - held() > 100 and last
+
+
 def test_cache_is_bounded(pieces):
     cache = Generations(10)
     for n in range(1000):
