@@ -34,6 +34,7 @@ from smogline.schemas import (
     RAW_READINGS,
     STATIONS,
     UNMEASURED_POLLUTANTS,
+    Table,
 )
 from smogline.scratch import new_folder
 from smogline.sources import citylists, keyed, streams, tables
@@ -729,6 +730,16 @@ def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams and the keyed log ---------------------------------------------
 
 
+# Messages of a landed file, and the files that a batch of a stream takes for each core at most.
+FILE_MESSAGES = 50_000
+FILES_PER_CORE = 4
+
+
+def _as_many_buckets_as_cores(spark: SparkSession, table: Table, root: str) -> None:
+    """An empty log whose views have a task for each core."""
+    keyed.create_log(spark, table, root, max(keyed.BUCKETS, spark.sparkContext.defaultParallelism))
+
+
 def _halves(df: DataFrame) -> list[DataFrame]:
     """The odd messages, then the even ones: keys recur with other values, and arrival contradicts the order."""
     return [df.filter(F.col("event_id") % 2 == rest) for rest in (1, 0)]
@@ -939,8 +950,12 @@ def quarantine_table(spark: SparkSession, folder: str) -> DataFrame:
 def stream_health(spark: SparkSession, folder: str) -> DataFrame:
     """What a listener counted while the batches passed, beside what the log holds."""
     root, landing, checkpoint = (new_folder(spark, name) for name in ("raw", "landing", "health-checkpoint"))
-    lens.spoiled_messages(spark, folder).select("event_id", "value").write.parquet(landing)
-    arrived = streams.file_stream(spark, landing, "event_id BIGINT, value STRING", maxFilesPerTrigger="3")
+    messages = lens.spoiled_messages(spark, folder).select("event_id", "value")
+    messages.write.option("maxRecordsPerFile", FILE_MESSAGES).parquet(landing)
+    # A batch has work for all cores once there are many files, and is one of several when there are few.
+    landed = len(spark.read.parquet(landing).inputFiles())
+    each = max(3, min(landed // 3, FILES_PER_CORE * spark.sparkContext.defaultParallelism))
+    arrived = streams.file_stream(spark, landing, "event_id BIGINT, value STRING", maxFilesPerTrigger=str(each))
     seen = health.Health()
     spark.streams.addListener(seen)
     try:
