@@ -903,9 +903,14 @@ def raw_in_any_batching(spark: SparkSession, folder: str) -> DataFrame:
     rows = to_raw_columns(
         parse_forecast(streams.numbered_messages(lens.messages(spark, folder), "value", "event_id"))
     )
+    # Parsed once for all eight batches.
+    parsed = new_folder(spark, "parsed")
+    rows.write.parquet(parsed)
+    rows = spark.read.schema(rows.schema).parquet(parsed)
     views = []
     for count in (1, 2, 5):
         root = new_folder(spark, "cut")
+        _as_many_buckets_as_cores(spark, RAW_READINGS, root)
         for number in range(count):
             part = F.pmod(-F.col("write_order.pos"), F.lit(count)) == number
             keyed.write_batch(rows.filter(part), RAW_READINGS, root, number)
