@@ -857,6 +857,7 @@ def replay_after_refresh(spark: SparkSession, folder: str) -> DataFrame:
 def unmatched_backfill(spark: SparkSession, folder: str) -> DataFrame:
     """Half of the places are known while the stream runs; the others' readings are named afterwards, twice."""
     root, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "enriched-checkpoint")
+    _as_many_buckets_as_cores(spark, ENRICHED_READINGS, root)
     place = new_folder(spark, "dictionary")
     names = _named_places(spark, folder)
     versions = ingest.dictionary_versions(spark, place)
