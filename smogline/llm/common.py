@@ -13,6 +13,8 @@ from smogline.scratch import new_folder
 
 # Rows that one executor may hold of a broadcast side of a few numbers each.
 MAX_BROADCAST_ROWS = 500_000
+# Rows of a few numbers or words each that a file of an intermediate table should have.
+FILE_ROWS = 100_000
 
 
 # Bytes of a batch on its way to or from a worker. Texts differ in length by
@@ -32,13 +34,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, most: int | None = None) -> DataFrame:
     """The rows, written once to the shared folder and read from there.
 
     Cuts lineage, and survives lost executors: later stages reread the files.
+    Of a table that has ``most`` rows at most there are no more files than these
+    fill: each is another process or request of the file system, however small.
     """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
+    if most is not None:
+        df = df.coalesce(1 + most // FILE_ROWS)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -237,7 +237,7 @@ def _mentions(profiles: DataFrame) -> DataFrame:
 
 
 # Kinds of patterns.
-BEFORE, TWO_BEFORE, GAP, AFTER, BOTH = range(5)
+PATTERN_KINDS = BEFORE, TWO_BEFORE, GAP, AFTER, BOTH = range(5)
 
 
 def _pattern(kind: int, *words: Column | str) -> Column:
@@ -303,9 +303,10 @@ def trusted_instances(docs: DataFrame, mentions: DataFrame, rounds: int = ROUNDS
     candidates are gone over again. What a candidate lends a pattern does not
     come back to it.
     """
-    edges = written(_edges(mentions), "pattern-edges")
+    edges = written(_edges(mentions), "pattern-edges", len(PATTERN_KINDS) * mentions.count())
     links = written(edges.where("not seed").select("pattern", "instance", "times"), "candidate-edges")
-    wanted = written(links.select("pattern").distinct(), "candidate-patterns")
+    most = links.count()
+    wanted = written(links.select("pattern").distinct(), "candidate-patterns", most)
     words = _occurrences(docs, wanted)
     held = edges.join(wanted, "pattern", "left_semi").groupBy("pattern").agg(
         F.sum(F.when(F.col("seed"), F.col("times")).otherwise(0)).alias("seeds"),
@@ -314,14 +315,14 @@ def trusted_instances(docs: DataFrame, mentions: DataFrame, rounds: int = ROUNDS
     )
     # Values that begin or end within a word are not among the words; they count all the same.
     total = F.greatest(F.coalesce("words", F.lit(0)) + F.col("wide"), F.col("mentions"))
-    totals = written(held.join(words, "pattern", "left").select("pattern", "seeds", total.alias("total")), "pattern-totals")
+    totals = written(held.join(words, "pattern", "left").select("pattern", "seeds", total.alias("total")), "pattern-totals", most)
     trust = links.select("instance").distinct().withColumn("trust", F.lit(0.0))
     for _ in range(rounds):
         own = links.join(trust, "instance").select("pattern", "instance", (F.col("trust") * F.col("times")).alias("own"))
         lent = own.groupBy("pattern").agg(F.sum("own").alias("lent")).join(totals, "pattern")
         share = F.greatest((F.col("seeds") + F.col("lent") - F.col("own")) / F.col("total"), F.lit(0.0))
         doubt = F.sum(F.log1p(-F.least(share, F.lit(0.999999))))
-        trust = written(own.join(lent, "pattern").groupBy("instance").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust")
+        trust = written(own.join(lent, "pattern").groupBy("instance").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust", most)
     return trust
 
 

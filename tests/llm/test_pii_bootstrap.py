@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from smogline.llm import common
+from smogline.llm import common, pii_bootstrap
 from smogline.llm.pii_bootstrap import (
     AFTER,
     BEFORE,
@@ -210,6 +210,24 @@ def test_the_main_path_has_no_python(spark):
         assert "Python" not in frame._jdf.queryExecution().toString()
 
 
+def test_small_tables_have_few_files(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(pii_bootstrap, "written", lambda *a: made.append(common.written(*a)) or made[-1])
+    texts = [f"please mail user{i}@example.com today" for i in range(40)] + [f"word{i} KEY{i}AA11BB22CC next{i}" for i in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts)], DOCS).coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = personal_data(docs).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(rows) == 80 and len(made) > 5
+    assert all(len(table.inputFiles()) == 1 for table in made)
+
+
 @pytest.mark.parametrize("text", [None, "", "none", "😀 a@b.co and 1.1.1.1, a@b.co 4111111111111111!"])
 def test_redaction(spark, text):
     rows = personal_data(spark.createDataFrame([(1, text)], DOCS)).select("doc_id", "spans")
