@@ -14,8 +14,10 @@ their steps together, in arrays.
 No piece contains the space mark after another character, nor a line feed, so
 texts are cut at those places and each distinct chunk is encoded once per
 worker and generation of a bounded cache. Runs of space marks have one and the
-same score in some vocabularies; ties go to the leftmost pair, which pairwise
-checks cannot see, so chunks that begin with a run are merged directly.
+same score in some vocabularies, and ties go to the leftmost pair, which pairwise
+checks need not see: whether they find the same parts is tried when a vocabulary
+is loaded, and only where they do not are chunks that begin with a run merged
+directly.
 """
 
 from __future__ import annotations
@@ -167,6 +169,7 @@ class Pieces:
         self.pairs, self.chunks = Generations(PAIRS), Generations(CHUNK_BYTES)
         self._number(len(self.text_of))
         self.choices = _Choices(self.fitting)
+        self.tied = self._tied()
         # By character, its number; 0 is not looked up yet.
         self.number_of = np.zeros(0x110000, np.int32)
         # Ids are remembered as two or four bytes each.
@@ -199,6 +202,25 @@ class Pieces:
             self.shorter[self.id_of[piece]] = self.single[piece[0]] if found is None else found
         self.matches.make_automaton()
 
+    def _tied(self) -> bool:
+        """Whether runs of space marks have equal scores, and backtracking may not part them as merging does.
+
+        It does if runs merge after all else and every length up to four times the longest piece comes out alike:
+        what a word takes of a run it has taken before then.
+        """
+        runs = [piece for piece in self.rank if len(piece) > 1 and not piece.strip(SPACE)]
+        ranks = {self.rank[piece] for piece in runs}
+        if len(ranks) == len(runs):
+            return False
+        if min(ranks) <= max((rank for piece, rank in self.rank.items() if piece.strip(SPACE)), default=-math.inf):
+            return True
+        texts = (SPACE * n for n in range(2, 4 * max(map(len, runs)) + 1))
+        return any([self.text_of[i] for i in self.backtracked(text)] != self.merged(text) for text in texts)
+
+    def direct(self, chunk: str) -> bool:
+        """Whether a chunk is merged directly."""
+        return self.tied and chunk.startswith(SPACE * 2)
+
     def merged(self, text: str) -> list[str]:
         """The text's parts after merging best score first, leftmost among equals."""
         return self._scanned(text) if len(text) <= SCANNED else self._queued(text)
@@ -366,7 +388,7 @@ class Pieces:
 
     def chunk(self, text: str) -> list[int]:
         """Ids of a chunk."""
-        if text.startswith(SPACE * 2):
+        if self.direct(text):
             parts = self.merged(text)
             numbers = [self.single[part] if len(part) == 1 else self.id_of[part] for part in parts]
         else:
@@ -440,7 +462,7 @@ class Pieces:
         for chunk, found in zip(new, list(map(self.chunks.old.get, new))):
             if found is not None:
                 new[chunk] = found
-            elif len(chunk) <= TOGETHER and not chunk.startswith(SPACE * 2) and chunk != "\n":
+            elif len(chunk) <= TOGETHER and not self.direct(chunk) and chunk != "\n":
                 short.append(chunk)
             else:
                 new[chunk] = array(self.code, self.chunk(chunk)).tobytes()

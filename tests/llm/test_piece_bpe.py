@@ -42,6 +42,27 @@ def test_runs_of_blanks(pieces):
         check(pieces, " " * n + "x" + " " * n + "\n" + " " * n)
 
 
+def test_runs_of_blanks_are_backtracked(monkeypatch):
+    coder, rng = Pieces(MODEL), random.Random(13)
+    merged, asked = coder.merged, []
+    monkeypatch.setattr(coder, "merged", lambda text: asked.append(text) or merged(text))
+    for n in range(2, 200):
+        check(coder, "a" + " " * n + rng.choice(["", "x", "the", "1", "é", "日", "😀", "\n", coder.text_of[rng.randrange(300, 32000)]]))
+    # Only pairs of pieces are merged, never a chunk.
+    assert asked and max(map(len, asked)) <= 2 * max(len(piece) for piece in coder.id_of)
+
+
+def test_vocabularies_whose_runs_tie_otherwise_are_merged(pieces):
+    coder = Pieces(MODEL)
+    assert not coder.tied
+    # A word that merges later than runs may find them merged.
+    coder.rank["a" + "b"] = 2 * coder.rank[SPACE * 2]
+    assert coder._tied()
+    coder.tied = True
+    for n in (2, 15, 31, 40):
+        assert coder.chunk(SPACE * n + "the") == pieces.chunk(SPACE * n + "the")
+
+
 def test_random_texts(pieces):
     rng = random.Random(5)
     for _ in range(3000):
