@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from smogline.llm.common import bounded_batches, slices, written
+from smogline.llm.common import bounded_batches, kept_memory, slices, written
 
 # New tokens of a window; as many before them are context.
 SPAN = 16
@@ -449,6 +449,11 @@ def _train(shared, number: int, kind: np.dtype):
     """One task's weights after its windows of the round, as whole numbers times the tokens behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A step's arrays are of the same sizes as those of the step before.
+        with kept_memory():
+            yield from learned(batches)
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = shared.value
         network = network.with_flat(network.flat())
         descent = Adam(network, RATE / (1 + number / 2))
@@ -551,6 +556,10 @@ def _frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[DataFrame, Colum
 
 def _score(model_path: str, shared, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with kept_memory():
+            yield from scored(batches)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, network = subwords(model_path), shared.value
         spelling = frequent.value
         for batch in slices(batches, 1024):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,10 @@ FILE_ROWS = 100_000
 BATCH_BYTES = 2 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_DEFAULT = "67108864b"
+# The C library's names for when freed memory goes back to the system, and when memory is mapped by itself; its default for both.
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD = -1, -3
+MALLOC_DEFAULT = 128 << 10
+KEPT_BYTES = 32 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -143,6 +148,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     give_back()
 
 
+@contextmanager
+def kept_memory() -> Iterator[None]:
+    """Let this worker keep what it frees meanwhile, up to KEPT_BYTES: large arrays that come again and again need no new pages."""
+    libc = ctypes.CDLL(None)
+    settings = (M_TRIM_THRESHOLD, M_MMAP_THRESHOLD) if hasattr(libc, "mallopt") else ()
+    for setting in settings:
+        libc.mallopt(setting, KEPT_BYTES)
+    try:
+        yield
+    finally:
+        for setting in settings:
+            libc.mallopt(setting, MALLOC_DEFAULT)
+        give_back()
+
+
 def give_back() -> None:
     """Return what this worker has freed to the system: it goes on to wait, and others need the memory."""
     pa.default_memory_pool().release_unused()

@@ -2,8 +2,10 @@
 
 import math
 import re
+import resource
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -225,3 +227,15 @@ def test_odd_rows(spark):
     assert lm.score(empty, lm.fit(empty, ~away, PATH), away).count() == 0
     untaught = lm.score(docs, lm.fit(docs, F.lit(False), PATH), away).collect()
     assert all(row.n_known == 0 and row.train_tokens == 0 and math.isfinite(row.score) for row in untaught)
+
+
+def test_steps_take_no_new_memory():
+    numbers = np.random.default_rng(7)
+    network = lm.Network.untrained(numbers.integers(1, 1000, 32000), 1)
+    windows = numbers.integers(3, 32000, (lm.BATCH * lm.LEAST_STEPS, 2 * lm.SPAN + 1)).astype(np.uint16)
+    batch = pa.record_batch({"windows": [windows.tobytes()]})
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    assert list(lm._train(SimpleNamespace(value=network), 0, windows.dtype)([batch]))
+    pages = resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before
+    # A step's arrays are of 1,500 pages and more; only the first ones need new pages.
+    assert pages < 500 * lm.LEAST_STEPS
