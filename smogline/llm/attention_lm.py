@@ -53,9 +53,13 @@ ABSENT = 0xFFFFFFFF
 # Words whose counts go to all workers, and their greatest length; the other words' counts are joined.
 FREQUENT = 1 << 18
 FREQUENT_BYTES = 64
-# Rows of distinct words that a worker sums before it sends them on.
+# Rows of distinct words that a worker sums before it sends them on, and windows that it holds.
 COUNTED = 1_000_000
+HELD = 1 << 14
 NOTHING = pa.table({"word": pa.array([], pa.large_string()), "n": pa.array([], pa.int64())})
+# Windows of one row, and bytes of a row group: whoever reads a round holds a group at a time, and a writer a page of 100 rows at least.
+ROW_WINDOWS = 512
+GROUP_BYTES = 4 << 20
 # Below this, exponents of float32 numbers can be added up.
 STEEP = 60
 # Windows that are scored together.
@@ -396,23 +400,26 @@ def _prepare(model_path: str):
         gathered: list[list[np.ndarray]] = [[] for _ in range(ROUNDS)]
 
         def rows(total: pa.Table) -> pa.RecordBatch:
-            packed = [np.concatenate(part).astype(coder.kind).tobytes() if part else b"" for part in gathered]
-            kept = [number for number in range(ROUNDS) if packed[number]]
-            for part in gathered:
+            numbers, packed = [], []
+            for number, part in enumerate(gathered):
+                whole = np.concatenate(part).astype(coder.kind) if part else []
+                for at in range(0, len(whole), ROW_WINDOWS):
+                    numbers.append(number)
+                    packed.append(whole[at : at + ROW_WINDOWS].tobytes())
                 part.clear()
-            word, n = (total.column(name).combine_chunks() for name in ("word", "n_sum"))
+            word, n = (total.column(name).combine_chunks() for name in ("word", "n"))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.array([-1] * len(word) + kept), pa.int32()),
-                    pa.concat_arrays([word.cast(pa.string()), pa.nulls(len(kept), pa.string())]),
-                    pa.concat_arrays([n, pa.array([0] * len(kept), pa.int64())]),
-                    pa.concat_arrays([pa.nulls(len(word), pa.binary()), pa.array([packed[number] for number in kept], pa.binary())]),
+                    pa.array(np.array([-1] * len(word) + numbers), pa.int32()),
+                    pa.concat_arrays([word.cast(pa.string()), pa.nulls(len(numbers), pa.string())]),
+                    pa.concat_arrays([n, pa.array([0] * len(numbers), pa.int64())]),
+                    pa.concat_arrays([pa.nulls(len(word), pa.binary()), pa.array(packed, pa.binary())]),
                 ],
                 ["round", "word", "n", "windows"],
             )
 
         def summed() -> pa.Table:
-            return pa.concat_tables([NOTHING, *counted]).group_by("word").aggregate([("n", "sum")])
+            return pa.concat_tables([NOTHING, *counted]).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         held = 0
         for batch in slices(batches, 1024):
@@ -425,16 +432,16 @@ def _prepare(model_path: str):
                 for number in range(ROUNDS):
                     gathered[number].append(windows[(number - turn) % ROUNDS :: ROUNDS])
                 held += len(windows)
-            if sum(map(len, counted)) < COUNTED and held < 1 << 14:
-                continue
-            held = 0
-            total = summed()
-            if len(total) < COUNTED // 2:
-                counted = [total.rename_columns(["word", "n"])]
-                total = total.slice(0, 0)
-            else:
-                counted = []
-            yield rows(total)
+            total = NOTHING
+            if sum(map(len, counted)) >= COUNTED:
+                total = summed()
+                if len(total) < COUNTED // 2:
+                    counted, total = [total], NOTHING
+                else:
+                    counted = []
+            if len(total) or held >= HELD:
+                held = 0
+                yield rows(total)
         yield rows(summed())
 
     return run
@@ -505,7 +512,7 @@ def fit(docs: DataFrame, learn: Column, model_path: str) -> LanguageModel:
     spark = docs.sparkSession
     bounded_batches(spark)
     taught = docs.where(learn).select("doc_id", "text")
-    prepared = written(taught.mapInArrow(_prepare(model_path), "round int, word string, n long, windows binary"), "prepared")
+    prepared = written(taught.mapInArrow(_prepare(model_path), "round int, word string, n long, windows binary"), "prepared", group_bytes=GROUP_BYTES)
     counts = written(prepared.where("round = -1").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     texts = taught.count()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()

@@ -39,18 +39,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str, most: int | None = None) -> DataFrame:
+def written(df: DataFrame, purpose: str, most: int | None = None, group_bytes: int | None = None) -> DataFrame:
     """The rows, written once to the shared folder and read from there.
 
     Cuts lineage, and survives lost executors: later stages reread the files.
     Of a table that has ``most`` rows at most there are no more files than these
     fill: each is another process or request of the file system, however small.
+    Row groups are of about ``group_bytes``, if given: a task that reads long
+    values holds all that a group has of them.
     """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
     if most is not None:
         df = df.coalesce(1 + most // FILE_ROWS)
-    df.write.parquet(folder)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

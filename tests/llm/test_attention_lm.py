@@ -10,11 +10,12 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from smogline.llm import attention_lm as lm
-from smogline.llm.common import held_out
+from smogline.llm.common import held_out, written
 from smogline.llm.queries import MODEL
 
 PATH = public_tokenizers.path(MODEL)
@@ -158,6 +159,46 @@ def test_training_sees_every_window_once():
     assert max(sizes.values()) - min(sizes.values()) <= len(texts)
 
 
+def test_parts_of_a_task_add_up(monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 40)
+    monkeypatch.setattr(lm, "ROW_WINDOWS", 8)
+    coder = lm.subwords(PATH)
+    texts = [" ".join(f"w{(i + j) % 90} same" for j in range(60)) for i in range(30)]
+    cutter = lm.Network({}, *[np.empty(0)] * 3, coder.start)
+    windows = Counter(w.tobytes() for ids in coder.sequences(lm.words_of(pa.array(texts))) for w in cutter.windows(ids))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [text]}) for i, text in enumerate(texts)]
+    for counted in (1, 150, 1000, 10_000):
+        monkeypatch.setattr(lm, "COUNTED", counted)
+        counts, seen = Counter(), Counter()
+        for out in lm._prepare(PATH)(iter(batches)):
+            rows = [row for row in out.to_pylist() if row["round"] >= 0]
+            assert all(len(row["windows"]) <= 8 * (2 * lm.SPAN + 1) * coder.kind.itemsize for row in rows)
+            held = [w.tobytes() for row in rows for w in lm._unpacked(row["windows"], coder.kind)]
+            assert len(held) < 40 + 60
+            seen.update(held)
+            for row in out.to_pylist():
+                counts.update({row["word"]: row["n"]} if row["round"] < 0 else {})
+        assert counts == Counter(word for text in texts for word in text.split()) and seen == windows
+
+
+def test_a_round_is_read_in_small_parts(spark, monkeypatch):
+    files = []
+
+    def noted(df, purpose, **options):
+        out = written(df, purpose, **options)
+        files.extend(out.inputFiles() if purpose == "prepared" else [])
+        return out
+
+    monkeypatch.setattr(lm, "written", noted)
+    docs = spark.range(0, 600, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 1000), x -> conv(hash(id, x), 10, 36))) AS text")
+    lm.fit(docs, F.lit(True), PATH)
+    groups = [(group.num_rows, group.column(3)) for file in files for meta in [pq.ParquetFile(file.removeprefix("file://")).metadata] for group in map(meta.row_group, range(meta.num_row_groups))]
+    assert all(column.path_in_schema == "windows" for _, column in groups)
+    sizes = [column.total_uncompressed_size for _, column in groups]
+    # Readers and writers hold a group's values at a time.
+    assert sum(sizes) > 3 * lm.GROUP_BYTES and max(sizes) < 2 * lm.GROUP_BYTES
+
+
 def test_classes_cover_all_ids():
     counts = np.array([5, 0, 100, 7, 7, 0, 1, 50])
     of = lm.classes(counts, 2, 3)
