@@ -535,10 +535,11 @@ def fit(docs: DataFrame, learn: Column, model_path: str) -> LanguageModel:
     network = Network.untrained(frequency, coder.start)
     packed = prepared.where("round >= 0").groupBy("round").agg(F.sum(F.octet_length("windows")).alias("bytes"))
     sizes = {row["round"]: row["bytes"] // (coder.kind.itemsize * (2 * SPAN + 1)) for row in packed.collect()}
+    files = len(prepared.inputFiles())
     for number in range(ROUNDS):
         shared = spark.sparkContext.broadcast(network)
-        # As many tasks as there are windows for, at most one for each split.
-        tasks = max(1, sizes.get(number, 0) // (BATCH * LEAST_STEPS))
+        # As many tasks as there are windows for, at most one for each file, however many row groups it has: more tasks learn less each.
+        tasks = max(1, min(files, sizes.get(number, 0) // (BATCH * LEAST_STEPS)))
         own = prepared.where(F.col("round") == number).select("windows").coalesce(tasks)
         learned = own.mapInArrow(_train(shared, number, coder.kind), "place int, value long, tokens long")
         means = learned.groupBy("place").agg((F.sum("value") / F.sum("tokens") / FIXED_POINT).alias("value")).toPandas()
