@@ -57,6 +57,9 @@ CONTENT = "content_hash"
 KEY_HASH = "key_hash"
 # Buckets of a slice, unless the log was created with another number: few, as a day of a small table is a small file.
 BUCKETS = 4
+# Later writes go into hash tables, which must fit in memory, up to these bytes of files for each bucket; more are sorted,
+# which may spill. The content hash does not compress, so a megabyte holds fewer than 200,000 keys.
+HASHED_BYTES = 1 << 20
 # Below a root, what a batch has chosen to be made from; of no use once it is settled.
 CHOICES = "choices"
 # Folders of removed batches and slices are kept for readers that may have opened them.
@@ -192,7 +195,7 @@ def current_view(
             raise ValueError(f"{table.name} has no days")
         later = later.filter(_slice(table).between(*days)) if later is not None else None
         settled = settled.filter(F.col(SLICE).between(*days)) if settled is not None else None
-    return table.select_from(_last_writes(spark, settled, later, table))
+    return table.select_from(_last_writes(spark, settled, later, table, found.buckets or BUCKETS))
 
 
 def compact(spark: SparkSession, table: Table, root: str) -> None:
@@ -215,8 +218,8 @@ def compact(spark: SparkSession, table: Table, root: str) -> None:
     # Days or key slices: as many as there are folders.
     touched = {row[SLICE] for row in later.select(_slice(table).alias(SLICE)).distinct().collect()}
     before = _settled(spark, table, root, found, touched)
-    kept = _last_writes(spark, before, later, table).withColumn(SLICE, _slice(table))
     buckets = found.buckets or BUCKETS
+    kept = _last_writes(spark, before, later, table, buckets).withColumn(SLICE, _slice(table))
     if touched:
         _write_generation(spark, kept, table, f"{root}/settled/{GENERATION}={generation}", buckets)
 
@@ -325,12 +328,20 @@ def _newest(rows: DataFrame, table: Table) -> DataFrame:
     return last_write(rows, table.key, [ORDER, BATCH, CONTENT])
 
 
-def _last_writes(spark: SparkSession, settled: DataFrame | None, later: DataFrame | None, table: Table) -> DataFrame:
+def _join_hint(later: DataFrame, buckets: int) -> str:
+    """How later rows meet settled ones: hashed if their files, which are listed already, are small, else sorted."""
+    size = later._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return "shuffle_hash" if size <= HASHED_BYTES * buckets else "merge"
+
+
+def _last_writes(
+    spark: SparkSession, settled: DataFrame | None, later: DataFrame | None, table: Table, buckets: int = BUCKETS
+) -> DataFrame:
     """Settled rows, replaced where a later write wins, and the last writes of other keys.
 
     Rows meet by the hash of their key, which settled rows are in buckets by, and
     then by the key itself: as two inequalities, since an equality would ask for
-    another distribution.
+    another distribution. Either kind of join leaves settled rows in their buckets.
     """
     names = [*table.columns, ORDER, CONTENT]
     if later is None:
@@ -339,6 +350,7 @@ def _last_writes(spark: SparkSession, settled: DataFrame | None, later: DataFram
     if settled is None:
         return newest.select(*names)
     new = newest.withColumn(KEY_HASH, _key_hash(table)).select(*(F.col(n).alias(f"new_{n}") for n in (*names, BATCH, KEY_HASH)))
+    how = _join_hint(later, buckets)
     same = F.col(KEY_HASH) == F.col(f"new_{KEY_HASH}")
     for name in table.key:
         same = same & (F.col(name) <= F.col(f"new_{name}")) & (F.col(name) >= F.col(f"new_{name}"))
@@ -346,12 +358,12 @@ def _last_writes(spark: SparkSession, settled: DataFrame | None, later: DataFram
     order = F.struct(F.col(ORDER), F.lit(NO_BATCH).cast("bigint"), F.col(CONTENT))
     new_order = F.struct(F.col(f"new_{ORDER}"), F.col(f"new_{BATCH}"), F.col(f"new_{CONTENT}"))
     wins = F.col(f"new_{KEY_HASH}").isNotNull() & (new_order >= order)
-    merged = settled.join(new.hint("shuffle_hash"), same, "left").select(
+    merged = settled.join(new.hint(how), same, "left").select(
         *(F.col(name) if name in table.key else F.when(wins, F.col(f"new_{name}")).otherwise(F.col(name)).alias(name) for name in names)
     )
     # A semi-join by its meaning. As one, or as an inner join, it would get filters below the union of generations,
     # which then forgets its buckets; a condition that is not deterministic keeps it an outer one.
-    keys = new.select(f"new_{KEY_HASH}", *(f"new_{name}" for name in table.key)).hint("shuffle_hash")
+    keys = new.select(f"new_{KEY_HASH}", *(f"new_{name}" for name in table.key)).hint(how)
     met = settled.join(keys, same, "left").where(F.col(f"new_{KEY_HASH}").isNotNull() & (F.rand() < 2)).select(KEY_HASH, *table.key)
-    fresh = new.join(met.hint("shuffle_hash"), same, "left_anti").select(*(F.col(f"new_{name}").alias(name) for name in names))
+    fresh = new.join(met.hint(how), same, "left_anti").select(*(F.col(f"new_{name}").alias(name) for name in names))
     return merged.unionByName(fresh)

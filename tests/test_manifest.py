@@ -162,3 +162,31 @@ def test_slices_of_several_generations_keep_their_buckets(spark, tmp_path):
     keyed.write_batch(batch(spark, *late), RAW_READINGS, root, 4)
     rows = {(row.latitude, row.timestamp // day): row.pm_data.pi for row in keyed.current_view(spark, RAW_READINGS, root).collect()}
     assert len(rows) == 36 and rows[3.0, 101] == 50.0 and rows[4.0, 101] == 1.0
+
+
+def test_many_later_rows_are_sorted_and_few_hashed(spark, tmp_path):
+    """A hash table of later rows must fit in a task's memory, whatever their number; sorted rows may spill."""
+    root = str(tmp_path)
+    keyed.create_log(spark, RAW_READINGS, root, 1)
+
+    def write(first, last, number):
+        kinds = RAW_READINGS.columns
+        given = {"latitude": "CAST(id AS DOUBLE)", "longitude": "0.0D", "timestamp": "1700000000L"}
+        values = f"CAST(named_struct('value_upm', NULL, 'pi', {number}, 'aqi', NULL, 'aqi_cn', NULL) AS {kinds['pm_data']})"
+        columns = [f"{given.get(name, values)} AS {name}" for name in kinds]
+        keyed.write_rows(spark.range(first, last).selectExpr(*columns), RAW_READINGS, root, number)
+
+    def shown(joins, no_joins):
+        rows = keyed.current_view(spark, RAW_READINGS, root)
+        above = ancestors(plan(rows), "smogline_")
+        assert len(above) >= 2 and not any("Exchange" in name for names in above for name in names), plan(rows)
+        assert joins in plan(rows) and no_joins not in plan(rows)
+        return {row["pi"]: row["count"] for row in rows.groupBy("pm_data.pi").count().collect()}
+
+    write(0, 50_000, 0)
+    write(20_000, 200_000, 1)
+    keyed.compact(spark, RAW_READINGS, root)
+    assert shown("SortMergeJoin", "ShuffledHashJoin") == {0.0: 20_000, 1.0: 180_000}
+    write(199_990, 200_010, 2)
+    keyed.compact(spark, RAW_READINGS, root)
+    assert shown("ShuffledHashJoin", "SortMergeJoin") == {0.0: 20_000, 1.0: 179_990, 2.0: 20}
